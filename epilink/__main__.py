@@ -11,7 +11,7 @@ from .operators.metrics import metrics_row, observe_ingestion
 from .plans import ingest, jobs
 from .session import get_session
 from .sinks import append_metrics, publish
-from .streaming import default_sources, run_all
+from .streaming import default_sources, run_all, topic_location
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -24,6 +24,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--servers", default=vocabulary.BOOTSTRAP_SERVERS)
     c.add_argument("--interval", default=vocabulary.TRIGGER_INTERVAL)
     c.add_argument("--available-now", action="store_true")
+    c.add_argument("--folder", help="read topics as text files below this folder instead of a broker")
     c.add_argument("--console", action="store_true", help="also print every batch of the keyed sources")
 
     c = commands.add_parser("publish", help="complete raw rows of a Parquet table and send them to their topic")
@@ -31,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--input", required=True)
     c.add_argument("--servers", default=vocabulary.BOOTSTRAP_SERVERS)
     c.add_argument("--metrics-log", required=True)
+    c.add_argument("--folder", help="write topics as text files below this folder instead of a broker")
 
     c = commands.add_parser("link", help="link cases with weather and alerts")
     c.add_argument("--base", required=True)
@@ -69,13 +71,14 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = get_session()
     if args.command == "harmonize":
-        sources = default_sources(args.base, args.checkpoints, servers=args.servers, tee=args.console)
+        sources = default_sources(args.base, args.checkpoints, folder=args.folder, servers=args.servers, tee=args.console)
         run_all(spark, sources, available_now=args.available_now, interval=args.interval)
     elif args.command == "publish":
         raw = spark.read.parquet(args.input)
         valid = F.col("value").isNotNull() if args.kind == "weather" else F.lit(True)
         counted, observed = observe_ingestion(raw, args.kind, valid)
-        publish(_records(args.kind, counted.where(valid)), vocabulary.TOPICS[args.kind], args.servers)
+        topic, form = topic_location(args.kind, args.folder)
+        publish(_records(args.kind, counted.where(valid)), topic, args.servers, format=form)
         counts = observed.get
         row = metrics_row(
             spark, vocabulary.METRIC_TAGS[args.kind], counts["records_attempted"], counts["records_succeeded"]

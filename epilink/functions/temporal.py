@@ -111,7 +111,7 @@ _MONTH_STARTS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
 _DAY_FIRST = rf"(?i)^(\d{{1,2}})(?:st|nd|rd|th)?\s+(?:of\s+)?({_MONTHS})\.?,?\s+(\d{{4}})$"
 _MONTH_FIRST = rf"(?i)^({_MONTHS})\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}})$"
 _ANY_DATE = (
-    r"(?i)\b(?:"
+    r"(?i)\b(?=[\djfmasond])(?:"
     r"\d{4}-\d{2}-\d{2}(?!T?\d)|\d{4}-W\d{2}"
     rf"|\d{{1,2}}(?:st|nd|rd|th)?\s+(?:of\s+)?(?:{_MONTHS})\.?,?\s+\d{{4}}"
     rf"|(?:{_MONTHS})\.?\s+\d{{1,2}}(?:st|nd|rd|th)?,?\s+\d{{4}}"
@@ -128,8 +128,9 @@ def _parts(found: Column) -> Column:
 def _day_or_week(parts: Column) -> Column:
     """Parts to a struct of the day they name, or the week key if they are a year and a week."""
     month = F.get(parts, F.lit(1))
-    named = ((F.instr(F.lit(_MONTH_STARTS), F.left(month, F.lit(3))) + F.lit(2)) / F.lit(3)).cast("int")
-    number = F.coalesce(month.try_cast("int"), named)
+    place = F.instr(F.lit(_MONTH_STARTS), F.left(month, F.lit(3)))
+    # Text is cast to a number only where it is one; a failing cast costs an exception.
+    number = F.when(place > 0, ((place + F.lit(2)) / F.lit(3)).cast("int")).otherwise(month.try_cast("int"))
     day = F.concat_ws("-", F.get(parts, F.lit(0)), number, F.get(parts, F.lit(2))).try_cast("date")
     return F.struct(
         F.when(F.size(parts) == 2, F.array_join(parts, "-")).alias("week"),
@@ -146,8 +147,8 @@ def extract_temporal_key(text: Column, fallback: Column | None = None) -> Column
     """
     found = F.regexp_extract_all(text, F.lit(_ANY_DATE), F.lit(0))
     named = F.transform(F.transform(found, _parts), _day_or_week)
-    first = F.get(F.filter(named, lambda n: n["week"].isNotNull() | n["day"].isNotNull()), F.lit(0))
-    key = F.coalesce(first["week"], week_key(first["day"]))
+    keys = F.transform(named, lambda n: F.coalesce(n["week"], week_key(n["day"])))
+    key = F.get(F.filter(keys, lambda k: k.isNotNull()), F.lit(0))
     return key if fallback is None else F.coalesce(key, fallback)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 # Fixed value: what Python counts as white space (Java's Unicode class plus FS..US).
 _BLANK = r"[\s\x1c-\x1f]"
 _CASED = r"[\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
+_UNCASED = r"[^\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
 
 
 def python_strip(c: Column) -> Column:
@@ -27,10 +28,12 @@ def squeeze(c: Column) -> Column:
 
 def python_title(c: Column) -> Column:
     """Title case in which every uncased character starts a new word (``O'Neil``, ``D.G``)."""
-    runs = F.regexp_extract_all(c, F.lit(f"{_CASED}+|[^\\p{{IsLowercase}}\\p{{IsUppercase}}\\p{{Lt}}]+"), F.lit(0))
-    return F.array_join(
+    runs = F.regexp_extract_all(c, F.lit(f"{_CASED}+|{_UNCASED}+"), F.lit(0))
+    by_run = F.array_join(
         F.transform(runs, lambda run: F.when(run.rlike(f"^{_CASED}"), F.initcap(run)).otherwise(run)), ""
     )
+    # initcap() only starts words after blanks, which is the same for plain letters and blanks.
+    return F.when(c.rlike("^[A-Za-z ]*$"), F.initcap(c)).otherwise(by_run)
 
 
 def contains_either_way(a: Column, b: Column) -> Column:
@@ -52,6 +55,16 @@ def local_name(c: Column) -> Column:
     return F.substring_index(c, "/", -1)
 
 
+def exponent_text(power: Column) -> Column:
+    """``e+07``, ``e-12``, ``e+300``"""
+    digits = F.abs(power).cast("string")
+    return F.concat(
+        F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+        F.when(F.length(digits) < 2, F.lit("0")).otherwise(F.lit("")),
+        digits,
+    )
+
+
 def float_text(c: Column) -> Column:
     """Shortest text of a double in positional form from 1e-4 up to 1e16, else ``1e+16``."""
     x = c.cast("double")
@@ -60,8 +73,7 @@ def float_text(c: Column) -> Column:
     mantissa = F.regexp_replace(F.substring_index(raw, "E", 1), r"\.0$", "")
     scientific = F.concat(
         mantissa,
-        F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
+        exponent_text(exponent),
     )
     positional = F.regexp_replace(x.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1")
     return (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import vocabulary
@@ -10,12 +11,17 @@ from .lookup import left_lookup
 from .names import resolve_names
 
 
+def _fixed_table(spark: SparkSession, key: str, rows: list[tuple[str, float, float]]) -> DataFrame:
+    keys, lats, lons = zip(*rows)
+    return spark.createDataFrame(pa.table({key: keys, "lat": lats, "lon": lons}))
+
+
 def gazetteer_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(vocabulary.GAZETTEER, "key STRING, lat DOUBLE, lon DOUBLE")
+    return _fixed_table(spark, "key", vocabulary.GAZETTEER)
 
 
 def collection_points(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(vocabulary.COLLECTION_POINTS, "name STRING, lat DOUBLE, lon DOUBLE")
+    return _fixed_table(spark, "name", vocabulary.COLLECTION_POINTS)
 
 
 def geocode(
@@ -35,19 +41,23 @@ def geocode(
     has one row per key.
     """
     spark = df.sparkSession
-    # The built-in dictionaries are of fixed size; others are measured.
-    gazetteer = gazetteer if gazetteer is not None else F.broadcast(gazetteer_table(spark))
-    fallback = fallback if fallback is not None else F.broadcast(collection_points(spark))
     kept = [c for c in df.columns if c not in ("lat", "lon", "geocode_source")]
-    cached = gazetteer.select(F.col("key").alias("_key"), F.struct("lat", "lon").alias("_cached"))
-    listed = fallback.select(F.lower("name").alias("_raw"), F.struct("lat", "lon").alias("_listed"))
+    cached = (gazetteer if gazetteer is not None else gazetteer_table(spark)).select(F.col("key").alias("_key"), F.struct("lat", "lon").alias("_cached"))
+    listed = (fallback if fallback is not None else collection_points(spark)).select(F.lower("name").alias("_raw"), F.struct("lat", "lon").alias("_listed"))
     keyed = df.select(
         *kept,
         gazetteer_key(F.col(name_col), F.lit(country)).alias("_key"),
         F.lower(python_strip(F.col(raw_col or name_col))).alias("_raw"),
     )
-    found = left_lookup(keyed, cached, ["_key"], compute_once=False)
-    found = left_lookup(found, listed, ["_raw"], compute_once=False)
+    # The built-in dictionaries have a fixed size; a given one is measured.
+    if gazetteer is None:
+        found = keyed.join(F.broadcast(cached), "_key", "left")
+    else:
+        found = left_lookup(keyed, cached, ["_key"], compute_once=False)
+    if fallback is None:
+        found = found.join(F.broadcast(listed), "_raw", "left")
+    else:
+        found = left_lookup(found, listed, ["_raw"], compute_once=False)
     return found.select(
         *kept,
         F.coalesce("_cached", "_listed")["lat"].alias("lat"),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from .. import vocabulary
 from ..functions.text import normalize_name, python_strip, python_title, squeeze
@@ -66,14 +68,36 @@ def resolve_names(
     the first one; ``min_len`` sets how long the shorter text of a containment
     must be.
     """
-    aliases = aliases if aliases is not None else alias_table(df.sparkSession)
-    exact = _by_alias(aliases)
+    exact = _by_alias(aliases) if aliases is not None else None
     # One row more than the limit is enough to know that the dictionary is larger.
-    head = exact.limit(inline_limit + 1).collect()
+    head = _built_in(df.sparkSession) if exact is None else exact.limit(inline_limit + 1).collect()
     if len(head) <= inline_limit:
-        small = df.sparkSession.createDataFrame(head, exact.schema)
-        return _resolve_inline(df, name_col, small, head, min_len)
-    return _resolve_by_joins(df, name_col, exact, min_len)
+        return _resolve_inline(df, name_col, head, min_len)
+    return _resolve_by_joins(df, name_col, exact if exact is not None else _by_alias(alias_table(df.sparkSession)), min_len)
+
+
+_BUILT_IN: list[Row] = []
+
+
+def _built_in(spark: SparkSession) -> list[Row]:
+    """The built-in dictionary, normalised once per process."""
+    if not _BUILT_IN:
+        _BUILT_IN.extend(_by_alias(alias_table(spark)).collect())
+    return _BUILT_IN
+
+
+def _small_table(spark: SparkSession, key: str, place: str, rows: dict[str, Row]) -> DataFrame:
+    """A local table of at most ``inline_limit`` places by key."""
+    canonical = [p["canonical"] for p in rows.values()]
+    province = [p["province"] for p in rows.values()]
+    table = pa.table(
+        {
+            key: pa.array(list(rows), pa.string()),
+            "canonical": pa.array(canonical, pa.string()),
+            "province": pa.array(province, pa.string()),
+        }
+    )
+    return F.broadcast(spark.createDataFrame(table).select(key, F.struct("canonical", "province").alias(place)))
 
 
 def _finish(name: Column, place: Column) -> list[Column]:
@@ -88,23 +112,19 @@ def _finish(name: Column, place: Column) -> list[Column]:
     ]
 
 
-def _resolve_inline(df, name_col, exact, head, min_len) -> DataFrame:
+def _resolve_inline(df, name_col, head, min_len) -> DataFrame:
     """Small dictionary: two broadcast lookups and one expression, no shuffle of the names."""
     kept = [c for c in df.columns if c not in _RESOLVED]
-    tight = _by_tight_alias(exact)
+    if not head:
+        return df.select(*kept, *_finish(F.col(name_col), F.lit(None).cast("struct<canonical:string,province:string>")))
     ordered = sorted(head, key=lambda row: (row["rank"], row["alias"]))
-    place_type = "STRUCT<canonical: STRING, province: STRING>"
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(row["alias"]).alias("alias"),
-                F.struct(
-                    F.lit(row["place"]["canonical"]).cast("string").alias("canonical"),
-                    F.lit(row["place"]["province"]).cast("string").alias("province"),
-                ).alias("place"),
-            )
-            for row in ordered
-        ]
+    exact = {row["alias"]: row["place"] for row in head}
+    # Of several aliases that coincide without blanks the last entry counts.
+    tight = {row["alias"].replace(" ", ""): row["place"] for row in sorted(head, key=lambda row: row["last"])}
+    # A constant of the plan, written as JSON to build it in one step.
+    listed = [{"alias": row["alias"], "place": row["place"].asDict()} for row in ordered]
+    entries = F.from_json(
+        F.lit(json.dumps(listed)), "array<struct<alias:string,place:struct<canonical:string,province:string>>>"
     )
     name = F.col(name_col)
     norm = F.col("_norm")
@@ -115,12 +135,18 @@ def _resolve_inline(df, name_col, exact, head, min_len) -> DataFrame:
             F.contains(alias, norm) & (F.length(norm) >= min_len)
         )
 
-    contained = F.get(F.filter(entries, related), F.lit(0))["place"].cast(place_type) if ordered else F.lit(None).cast(place_type)
+    # Two cheap tests, one per direction, spare most unknown names the walk through the entries.
+    # Normalised names hold no line break, so a name is in the joined text only if one alias has it.
+    holds_alias = norm.rlike("|".join(f"\\Q{row['alias']}\\E" for row in ordered))
+    held_by_alias = F.contains(F.lit("\n".join(row["alias"] for row in ordered)), norm)
+    first = F.get(F.filter(entries, related), F.lit(0))["place"]
+    contained = F.when(holds_alias | held_by_alias, first)
     named = df.select(*kept, normalize_name(name).alias("_norm"))
-    looked_up = named.join(
-        F.broadcast(exact.select(F.col("alias").alias("_norm"), F.col("place").alias("_exact"))), "_norm", "left"
-    ).withColumn("_tight_name", squeeze(norm)).join(
-        F.broadcast(tight.select(F.col("alias").alias("_tight_name"), F.col("place").alias("_tight"))), "_tight_name", "left"
+    spark = df.sparkSession
+    looked_up = (
+        named.join(_small_table(spark, "_norm", "_exact", exact), "_norm", "left")
+        .withColumn("_tight_name", squeeze(norm))
+        .join(_small_table(spark, "_tight_name", "_tight", tight), "_tight_name", "left")
     )
     place = F.coalesce(F.col("_exact"), F.col("_tight"), contained)
     return looked_up.select(*kept, place.alias("_place")).select(*kept, *_finish(name, F.col("_place")))

@@ -41,7 +41,8 @@ def triples_from(df: DataFrame, statements: Sequence[Statement]) -> DataFrame:
     repeats in every task before the shuffle, so a class triple repeated by each
     row travels once per task.
     """
-    exploded = df.select(F.inline(F.array(*[_term(s) for s in statements])))
+    # The array is made in a projection of its own, where shared parts of terms are computed once.
+    exploded = df.select(F.array(*[_term(s) for s in statements]).alias("t")).select(F.inline("t"))
     return exploded.where(F.col("s").isNotNull() & F.col("o").isNotNull()).distinct()
 
 

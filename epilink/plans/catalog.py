@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas, vocabulary
 from ..functions import numeric, records, temporal, text
@@ -67,8 +68,14 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
+    # Schemas by path: a footer is read once, not for every use of a table.
+    _schemas: dict[str, StructType] = {}
+
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.folder, f"{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in self._schemas:
+            self._schemas[path] = read_table(self.spark, path).schema
+        return read_table(self.spark, path, schema=self._schemas[path])
 
     def _placed_orders(self) -> DataFrame:
         return self.orders.join(self.customer, F.col("o_custkey") == F.col("c_custkey")).withColumns(

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import vocabulary
+from ..functions.text import exponent_text
 from ..operators.lookup import left_lookup
 from ..session import settle
 
@@ -77,8 +78,7 @@ def _scientific(c: Column) -> Column:
     return F.concat(
         F.when(F.startswith(c, F.lit("-")), F.lit("-")).otherwise(F.lit("")),
         mantissa,
-        F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.lpad(F.abs(power).cast("string"), 2, "0"),
+        exponent_text(power),
     )
 
 

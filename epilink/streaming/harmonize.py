@@ -34,21 +34,32 @@ class SourceConfig:
     tee: bool = False
 
 
-def default_sources(base: str, checkpoints: str, **overrides) -> list[SourceConfig]:
-    """The five sources with their topics and table folders."""
+def topic_location(name: str, folder: str | None = None) -> tuple[str, str]:
+    """Topic and format of a source: on the broker, or as text files below ``folder``."""
+    topic = vocabulary.TOPICS[name]
+    return (topic, "kafka") if folder is None else (f"{folder}/{topic}", "text")
+
+
+def default_sources(base: str, checkpoints: str, *, folder: str | None = None, tee: bool = False, **overrides) -> list[SourceConfig]:
+    """The five sources with their topics and table folders; ``tee`` prints the keyed ones."""
     kinds = {"surveillance": "week", "weather": "week", "alerts": "week", "policy": "month", "news": "plain"}
-    return [
-        SourceConfig(
-            name=name,
-            topic=vocabulary.TOPICS[name],
-            schema=schemas.MESSAGES[name],
-            kind=kind,
-            path=f"{base}/{vocabulary.TABLE_FOLDERS[name]}",
-            checkpoint=f"{checkpoints}/{name}",
-            **overrides,
+    sources = []
+    for name, kind in kinds.items():
+        topic, form = topic_location(name, folder)
+        sources.append(
+            SourceConfig(
+                name=name,
+                topic=topic,
+                format=form,
+                schema=schemas.MESSAGES[name],
+                kind=kind,
+                path=f"{base}/{vocabulary.TABLE_FOLDERS[name]}",
+                checkpoint=f"{checkpoints}/{name}",
+                tee=tee and kind != "plain",
+                **overrides,
+            )
         )
-        for name, kind in kinds.items()
-    ]
+    return sources
 
 
 def harmonize(messages: DataFrame, schema: StructType, kind: str, value_col: str = "value") -> DataFrame:
