@@ -30,4 +30,5 @@ from .text import (
     python_strip,
     python_title,
     squeeze,
+    underscored,
 )

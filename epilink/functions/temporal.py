@@ -102,21 +102,23 @@ def timex_to_week_key(value: Column) -> Column:
     )
 
 
-# English month names, and the written forms of a date.
+# English month names and their short forms, and the written forms of a date.
 _MONTHS = (
-    "January|February|March|April|May|June|July|August|September|October|November|December|"
-    "Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec"
+    "(?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|"
+    "aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
 _MONTH_STARTS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
-_DAY_FIRST = rf"(?i)^(\d{{1,2}})(?:st|nd|rd|th)?\s+(?:of\s+)?({_MONTHS})\.?,?\s+(\d{{4}})$"
-_MONTH_FIRST = rf"(?i)^({_MONTHS})\.?\s+(\d{{1,2}})(?:st|nd|rd|th)?,?\s+(\d{{4}})$"
+_ORDINAL = "(?:st|nd|rd|th)?"
 _ANY_DATE = (
     r"(?i)\b(?=[\djfmasond])(?:"
     r"\d{4}-\d{2}-\d{2}(?!T?\d)|\d{4}-W\d{2}"
-    rf"|\d{{1,2}}(?:st|nd|rd|th)?\s+(?:of\s+)?(?:{_MONTHS})\.?,?\s+\d{{4}}"
-    rf"|(?:{_MONTHS})\.?\s+\d{{1,2}}(?:st|nd|rd|th)?,?\s+\d{{4}}"
+    rf"|\d{{1,2}}{_ORDINAL}\s+(?:of\s+)?{_MONTHS}\.?,?\s+\d{{4}}"
+    rf"|{_MONTHS}\.?\s+\d{{1,2}}{_ORDINAL},?\s+\d{{4}}"
     r")\b"
 )
+# Parts of a text that is known to be a date.
+_DAY_FIRST = r"^(\d{1,2})\p{Alpha}*\s+(?:[oO][fF]\s+)?(\p{Alpha}+)[.,]*\s+(\d{4})$"
+_MONTH_FIRST = r"^(\p{Alpha}+)\.?\s+(\d{1,2})\p{Alpha}*,?\s+(\d{4})$"
 
 
 def _parts(found: Column) -> Column:

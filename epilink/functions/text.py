@@ -45,9 +45,14 @@ def gazetteer_key(name: Column, country: Column) -> Column:
     return F.concat(F.lower(python_strip(name)), F.lit("|"), F.lower(country))
 
 
+def underscored(name: Column) -> Column:
+    """Name as part of an IRI: blanks become underscores, nothing else is encoded."""
+    return F.replace(name, F.lit(" "), F.lit("_"))
+
+
 def mint_iri(namespace: str, kind: str, name: Column) -> Column:
-    """IRI of an entity; blanks become underscores, nothing else is encoded."""
-    return F.concat(F.lit(f"{namespace}{kind}/"), F.replace(name, F.lit(" "), F.lit("_")))
+    """IRI of an entity: namespace, kind, slash and name."""
+    return F.concat(F.lit(f"{namespace}{kind}/"), underscored(name))
 
 
 def local_name(c: Column) -> Column:

@@ -5,45 +5,53 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import vocabulary
-from ..functions.text import float_text, mint_iri
 from ..functions.numeric import whole_number
+from ..functions.text import float_text, underscored
 
 
 @dataclass(frozen=True)
-class Statement:
-    """One triple per input row: a subject and predicate IRI and an object term."""
+class Form:
+    """The fixed part of a triple: all of it but the two local texts."""
 
-    subject: Column
+    subject: str
     predicate: str
-    object: Column
+    object: str = ""
     kind: str = "iri"
     datatype: str | None = None
 
 
-def _term(statement: Statement) -> Column:
-    return F.struct(
-        statement.subject.alias("s"),
-        F.lit(statement.predicate).alias("p"),
-        statement.object.alias("o"),
-        F.lit(statement.kind).alias("o_kind"),
-        F.lit(statement.datatype).cast("string").alias("o_datatype"),
-    )
+@dataclass(frozen=True)
+class Statement:
+    """One triple per input row: a form, filled with a subject and an object text."""
 
+    form: Form
+    subject: Column
+    object: Column
 
-def triples_from(df: DataFrame, statements: Sequence[Statement]) -> DataFrame:
-    """The set of triples that the statements make of each row, in one scan.
 
-    Statements with a missing subject or object are left out. ``distinct`` merges
-    repeats in every task before the shuffle, so a class triple repeated by each
-    row travels once per task.
+def triples_of(*sources: tuple[DataFrame, Sequence[Statement]]) -> DataFrame:
+    """The set of triples that the statements make of the rows of each source.
+
+    Every source is scanned once. Rows become ``(form number, subject text,
+    object text)``; only these short texts are merged, first within each task and
+    then in one shuffle, and the distinct ones are spelled out as IRIs. A class
+    triple that each row repeats so travels once per task. Statements with a
+    missing subject or object are left out.
     """
-    # The array is made in a projection of its own, where shared parts of terms are computed once.
-    exploded = df.select(F.array(*[_term(s) for s in statements]).alias("t")).select(F.inline("t"))
-    return exploded.where(F.col("s").isNotNull() & F.col("o").isNotNull()).distinct()
+    forms = list(dict.fromkeys(s.form for _, statements in sources for s in statements))
+    short = reduce(DataFrame.unionAll, [_short(df, statements, forms) for df, statements in sources])
+    spelled = _spell_out(short.distinct(), forms)
+    return spelled.distinct() if any(_may_coincide(a, b) for a, b in combinations(forms, 2)) else spelled
+
+
+def triples_from(df: DataFrame, statements: Sequence[Statement]) -> DataFrame:
+    """The set of triples of one source."""
+    return triples_of((df, statements))
 
 
 def union_triples(*parts: DataFrame) -> DataFrame:
@@ -51,58 +59,108 @@ def union_triples(*parts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).distinct()
 
 
-def typed(subject: Column, class_iri: str) -> Statement:
-    return Statement(subject, vocabulary.RDF_TYPE, F.lit(class_iri))
+def _short(df: DataFrame, statements: Sequence[Statement], forms: Sequence[Form]) -> DataFrame:
+    filled = [
+        F.struct(
+            F.lit(forms.index(s.form)).alias("form"),
+            s.subject.cast("string").alias("subject"),
+            s.object.cast("string").alias("object"),
+        )
+        for s in statements
+    ]
+    # The array is made in a projection of its own, where texts used twice are computed once.
+    rows = df.select(F.array(*filled).alias("t")).select(F.inline("t"))
+    return rows.where(F.col("subject").isNotNull() & F.col("object").isNotNull())
+
+
+def _spell_out(short: DataFrame, forms: Sequence[Form]) -> DataFrame:
+    def fixed(name: str) -> Column:
+        values = F.array(*[F.lit(getattr(form, name)).cast("string") for form in forms])
+        return F.get(values, F.col("form"))
+
+    text = F.when(fixed("datatype") == vocabulary.XSD_DOUBLE, float_text(F.col("object"))).otherwise(F.col("object"))
+    return short.select(
+        F.concat(fixed("subject"), F.col("subject")).alias("s"),
+        fixed("predicate").alias("p"),
+        F.concat(fixed("object"), text).alias("o"),
+        fixed("kind").alias("o_kind"),
+        fixed("datatype").alias("o_datatype"),
+    )
+
+
+def _may_coincide(a: Form, b: Form) -> bool:
+    """True if two different forms could spell the same triple."""
+
+    def overlap(x: str, y: str) -> bool:
+        return x.startswith(y) or y.startswith(x)
+
+    return (
+        (a.predicate, a.kind, a.datatype) == (b.predicate, b.kind, b.datatype)
+        and overlap(a.subject, b.subject)
+        and overlap(a.object, b.object)
+    )
+
+
+class Entity:
+    """A kind of subject, named by a column: ``<namespace><kind>/<name>``."""
 
+    def __init__(self, ns: str, kind: str, name: Column):
+        self.prefix, self.name = f"{ns}{kind}/", underscored(name)
 
-def integer(subject: Column, predicate: str, value: Column) -> Statement:
-    return Statement(subject, predicate, whole_number(value).cast("string"), "literal", vocabulary.XSD_INTEGER)
+    def is_a(self, class_iri: str) -> Statement:
+        return Statement(Form(self.prefix, vocabulary.RDF_TYPE, class_iri), self.name, F.lit(""))
 
+    def relates(self, predicate: str, other: Entity) -> Statement:
+        return Statement(Form(self.prefix, predicate, other.prefix), self.name, other.name)
 
-def double(subject: Column, predicate: str, value: Column) -> Statement:
-    return Statement(subject, predicate, float_text(value), "literal", vocabulary.XSD_DOUBLE)
+    def has_text(self, predicate: str, value: Column) -> Statement:
+        return Statement(Form(self.prefix, predicate, kind="literal"), self.name, value)
 
+    def has_integer(self, predicate: str, value: Column) -> Statement:
+        form = Form(self.prefix, predicate, kind="literal", datatype=vocabulary.XSD_INTEGER)
+        return Statement(form, self.name, whole_number(value))
 
-def text(subject: Column, predicate: str, value: Column) -> Statement:
-    return Statement(subject, predicate, value, "literal")
+    def has_double(self, predicate: str, value: Column) -> Statement:
+        form = Form(self.prefix, predicate, kind="literal", datatype=vocabulary.XSD_DOUBLE)
+        return Statement(form, self.name, value.cast("double"))
 
 
 def surveillance_statements(ns: str = vocabulary.NAMESPACE) -> list[Statement]:
     """Counts hang on the place alone, so equal counts of a place coincide."""
-    place = mint_iri(ns, "district", F.col("district_canonical"))
-    disease = mint_iri(ns, "disease", F.col("disease"))
+    place = Entity(ns, "district", F.col("district_canonical"))
+    disease = Entity(ns, "disease", F.col("disease"))
     return [
-        typed(place, ns + "District"),
-        typed(disease, ns + "Disease"),
-        Statement(place, ns + "hasDisease", disease),
-        integer(place, ns + "caseCount", F.col("case_count")),
+        place.is_a(ns + "District"),
+        disease.is_a(ns + "Disease"),
+        place.relates(ns + "hasDisease", disease),
+        place.has_integer(ns + "caseCount", F.col("case_count")),
     ]
 
 
 def weather_statements(ns: str = vocabulary.NAMESPACE) -> list[Statement]:
-    place = mint_iri(ns, "district", F.col("district_canonical"))
+    place = Entity(ns, "district", F.col("district_canonical"))
     return [
-        double(place, ns + "temperature", F.col("temperature_c")),
-        double(place, ns + "humidity", F.col("humidity_pct")),
+        place.has_double(ns + "temperature", F.col("temperature_c")),
+        place.has_double(ns + "humidity", F.col("humidity_pct")),
     ]
 
 
 def alert_statements(ns: str = vocabulary.NAMESPACE) -> list[Statement]:
-    place = mint_iri(ns, "district", F.col("district_canonical"))
-    disaster = mint_iri(ns, "disaster", F.col("event_type"))
+    place = Entity(ns, "district", F.col("district_canonical"))
+    disaster = Entity(ns, "disaster", F.col("event_type"))
     return [
-        typed(disaster, ns + "Disaster"),
-        Statement(place, ns + "hasDisaster", disaster),
-        text(place, ns + "severity", F.col("severity")),
+        disaster.is_a(ns + "Disaster"),
+        place.relates(ns + "hasDisaster", disaster),
+        place.has_text(ns + "severity", F.col("severity")),
     ]
 
 
 def policy_statements(ns: str = vocabulary.NAMESPACE) -> list[Statement]:
-    policy = mint_iri(ns, "policy", F.col("title"))
+    policy = Entity(ns, "policy", F.col("title"))
     return [
-        typed(policy, ns + "Policy"),
-        text(policy, ns + "title", F.col("title")),
-        text(policy, ns + "status", F.col("status")),
+        policy.is_a(ns + "Policy"),
+        policy.has_text(ns + "title", F.col("title")),
+        policy.has_text(ns + "status", F.col("status")),
     ]
 
 
@@ -114,9 +172,9 @@ def knowledge_graph(
     ns: str = vocabulary.NAMESPACE,
 ) -> DataFrame:
     """All triples of the four harmonised tables."""
-    return union_triples(
-        triples_from(cases, surveillance_statements(ns)),
-        triples_from(weather, weather_statements(ns)),
-        triples_from(alerts, alert_statements(ns)),
-        triples_from(policy, policy_statements(ns)),
+    return triples_of(
+        (cases, surveillance_statements(ns)),
+        (weather, weather_statements(ns)),
+        (alerts, alert_statements(ns)),
+        (policy, policy_statements(ns)),
     )

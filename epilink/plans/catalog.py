@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from .. import schemas, vocabulary
 from ..functions import numeric, records, temporal, text
 from ..operators import aggregates, geo, graph, link, metrics, names, patterns, topn, triples
-from ..session import scratch_path
+from ..session import scratch_path, settle
 from ..sinks import (
     append_metrics,
     ntriples_lines,
@@ -124,10 +124,10 @@ class Tables:
     def small_graph(self) -> DataFrame:
         """Triples of alerts, policies and rounded weather."""
         readings = self.weather().withColumn("humidity_pct", F.col("precipitation_mm"))
-        return triples.union_triples(
-            triples.triples_from(readings, triples.weather_statements()),
-            triples.triples_from(self.alerts(), triples.alert_statements()),
-            triples.triples_from(self.policy(), triples.policy_statements()),
+        return triples.triples_of(
+            (readings, triples.weather_statements()),
+            (self.alerts(), triples.alert_statements()),
+            (self.policy(), triples.policy_statements()),
         )
 
     def graph(self) -> DataFrame:
@@ -645,7 +645,7 @@ def graph_pattern(t: Tables) -> DataFrame:
     """Places that share a disease and a disaster with their classes."""
     ns = vocabulary.NAMESPACE
     return patterns.bgp(
-        t.graph(),
+        settle(t.graph()),
         [
             ("?place", ns + "hasDisease", "?disease"),
             ("?disease", vocabulary.RDF_TYPE, ns + "Disease"),
@@ -670,13 +670,13 @@ def ntriples_text(t: Tables) -> DataFrame:
 
 @query
 def turtle(t: Tables) -> DataFrame:
-    return turtle_blocks(t.small_graph()).select("s", "value")
+    return turtle_blocks(settle(t.small_graph())).select("s", "value")
 
 
 @query
 def rdfxml(t: Tables) -> DataFrame:
     ns = vocabulary.NAMESPACE
-    rows = rdfxml_rows(t.small_graph(), [vocabulary.RDF_TYPE, ns + "hasDisaster", ns + "status"])
+    rows = rdfxml_rows(settle(t.small_graph()), [vocabulary.RDF_TYPE, ns + "hasDisaster", ns + "status"])
     return rows.select(
         F.col("`_rdf:about`").alias("s"),
         F.array_join(F.col("`rdf:type`")["_rdf:resource"], " ").alias("types"),
@@ -698,7 +698,7 @@ def property_edges(t: Tables) -> DataFrame:
 @query
 def property_graph_round_trip(t: Tables) -> DataFrame:
     """Degree of every node of the property graph as stored."""
-    nodes, edges = write_graph(*graph.property_graph(t.graph()), scratch_path(t.spark, "property-graph"))
+    nodes, edges = write_graph(*graph.property_graph(settle(t.graph())), scratch_path(t.spark, "property-graph"))
     ends = read_table(t.spark, edges).select(
         F.inline(
             F.array(

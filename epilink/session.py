@@ -27,7 +27,7 @@ def get_session(app_name: str = "epilink", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that every executor sees: ``spark.checkpoint.dir`` of the session.
+    """Folder that every executor sees: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
     Only a local master may fall back to a temporary folder, because there the
     driver and the executors are one process on one machine.
@@ -35,6 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -1,4 +1,7 @@
-"""Triples as N-Triples, Turtle and RDF/XML files."""
+"""Triples as N-Triples, Turtle and RDF/XML files.
+
+Turtle and RDF/XML pass over the triples twice, so give them a stored or settled graph.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import vocabulary
 from ..functions.text import exponent_text
 from ..operators.lookup import left_lookup
-from ..session import settle
 
 # Turtle and RDF/XML write a subject as one block. A subject with more statements than
 # this is written as several blocks, which mean the same, so no task holds them all.
@@ -99,7 +101,7 @@ def turtle_blocks(
     is_type = F.col("p") == vocabulary.RDF_TYPE
     verb = F.when(is_type, F.lit("a")).otherwise(_short(F.col("p"), ns))
     rows = (
-        _blocks(settle(triples), per_block)
+        _blocks(triples, per_block)
         .select(
             "s",
             "block",
@@ -122,9 +124,9 @@ def turtle_blocks(
 def write_turtle(
     triples: DataFrame, path: str, ns: str = vocabulary.NAMESPACE, per_block: int = STATEMENTS_PER_BLOCK
 ) -> str:
-    """Turtle files, sorted by subject; every file starts with the prefixes and stands alone."""
+    """Turtle files, each sorted by subject; every file starts with the prefixes and stands alone."""
     prefixes = f"@prefix ex: <{ns}> .\n@prefix xsd: <{vocabulary.XSD_NAMESPACE}> .\n\n"
-    ordered = turtle_blocks(triples, ns, per_block).orderBy("s", "block")
+    ordered = turtle_blocks(triples, ns, per_block).sortWithinPartitions("s", "block")
     # The low 33 bits count the rows of a partition, so they are zero on its first row.
     row_in_file = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     headed = ordered.select(
@@ -147,7 +149,7 @@ def rdfxml_rows(
         F.col("o_datatype").alias("_rdf:datatype"),
         F.when(~is_iri, F.col("o")).alias("_VALUE"),
     )
-    rows = _blocks(settle(triples), per_block).select("s", "block", "p", term.alias("term"))
+    rows = _blocks(triples, per_block).select("s", "block", "p", term.alias("term"))
 
     def tag(p: str) -> str:
         return "rdf:type" if p == vocabulary.RDF_TYPE else f"ex:{p.removeprefix(ns)}"
