@@ -26,6 +26,14 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(per_row)).first()[0] or 0
 
 
+def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """``df``, marked for broadcast if it measures at most ``limit_bytes``.
+
+    It is measured and used, so give it a stored or settled table.
+    """
+    return F.broadcast(df) if measured_bytes(df) <= limit_bytes else df
+
+
 def left_lookup(
     left: DataFrame,
     right: DataFrame,
@@ -42,6 +50,4 @@ def left_lookup(
     right = right.dropna(subset=list(on))
     if compute_once:
         right = settle(right)
-    if measured_bytes(right) <= limit_bytes:
-        right = F.broadcast(right)
-    return left.join(right, list(on), "left")
+    return left.join(broadcast_if_small(right, limit_bytes), list(on), "left")

@@ -184,7 +184,12 @@ def _resolve_by_joins(df, name_col, exact, min_len) -> DataFrame:
         .join(hits, "alias")
         .select("_norm", "hit")
     )
-    sizes = F.filter(F.sequence(F.lit(0), F.length("alias")), lambda n: n >= min_len)
+    # Only substrings as long as some unmatched name can equal one.
+    name_lengths = [r[0] for r in rest.select(F.length("_norm")).distinct().collect()]
+    sizes = F.filter(
+        F.array(*[F.lit(n) for n in sorted(name_lengths)]).cast("array<int>"),
+        lambda n: (n <= F.length("alias")) & (n >= min_len),
+    )
     first_by_piece = (
         hits.select(F.explode(_substrings(F.col("alias"), sizes)).alias("_norm"), "hit")
         .groupBy("_norm")

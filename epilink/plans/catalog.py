@@ -176,8 +176,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
-    """Register a function of the tables under its own name."""
-    QUERIES[fn.__name__] = lambda spark, folder: fn(Tables(spark, folder))
+    """Register a function of the tables under its own name, without the suffix ``_query``."""
+    QUERIES[fn.__name__.removesuffix("_query")] = lambda spark, folder: fn(Tables(spark, folder))
     return fn
 
 
@@ -319,14 +319,14 @@ EVENT_MESSAGE = schemas.fields(event_id=schemas.L, event_type=schemas.S, value=s
 
 
 @query
-def parse_messages(t: Tables) -> DataFrame:
+def parse_events(t: Tables) -> DataFrame:
     rows = parse_json(_event_messages(t), EVENT_MESSAGE).where(F.col("event_id").isNotNull())
     k = F.from_json("props", "k INT")["k"].alias("k")
     return records.with_defaults(rows.select("event_id", "event_type", "value", k), {"event_type": "none", "k": -1})
 
 
 @query
-def malformed_messages(t: Tables) -> DataFrame:
+def quarantine(t: Tables) -> DataFrame:
     """What stays of messages that cannot be parsed: a row of nulls, or the part before the fault."""
     good, bad = quarantine_json(_event_messages(t), EVENT_MESSAGE)
     counted = [
@@ -337,7 +337,7 @@ def malformed_messages(t: Tables) -> DataFrame:
 
 
 @query
-def flatten_weather_payload(t: Tables) -> DataFrame:
+def flatten_weather_query(t: Tables) -> DataFrame:
     reading = F.to_json(
         F.struct(
             F.struct(
@@ -353,13 +353,13 @@ def flatten_weather_payload(t: Tables) -> DataFrame:
 
 
 @query
-def message_round_trip(t: Tables) -> DataFrame:
+def to_messages_query(t: Tables) -> DataFrame:
     rows = t.orders.withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("5-LOW")))
     return parse_json(to_messages(rows), rows.schema)
 
 
 @query
-def json_map_entries(t: Tables) -> DataFrame:
+def json_map(t: Tables) -> DataFrame:
     """Customers' own small gazetteers, one JSON object each, as rows."""
     coordinates = F.struct((F.col("c_nationkey") + F.lit(0.5)).alias("lat"), F.col("c_acctbal").alias("lon"))
     entry = F.create_map(text.gazetteer_key(F.col("c_name"), F.lit("Pakistan")), coordinates, F.lit("home"), coordinates)
@@ -468,8 +468,6 @@ def upsert_by_key_query(t: Tables) -> DataFrame:
     return upsert_by_key(old, new, "s_suppkey", "seq")
 
 
-QUERIES["upsert_by_key"] = QUERIES.pop("upsert_by_key_query")
-
 
 @query
 def surveillance_records(t: Tables) -> DataFrame:
@@ -562,18 +560,18 @@ def summarize_metrics(t: Tables) -> DataFrame:
 
 @query
 def harmonize_week(t: Tables) -> DataFrame:
-    day = F.col("o_orderdate")
+    day = F.col("ts")
     return _stream_table(
-        t.spark, t.folder, "surveillance", "week", schemas.SURVEILLANCE, "weekly", "orders.parquet",
+        t.spark, t.folder, "surveillance", "week", schemas.SURVEILLANCE, "weekly", "events.parquet",
         [
-            F.col("o_orderkey").cast("string").alias("record_id"),
-            F.lit("orders").alias("source"),
+            F.col("event_id").cast("string").alias("record_id"),
+            F.lit("events").alias("source"),
             temporal.epi_year(day).alias("epi_year"),
             temporal.epi_week(day).alias("epi_week"),
-            F.col("o_orderpriority").alias("district"),
-            F.col("o_orderstatus").alias("disease"),
-            F.col("o_custkey").alias("case_count"),
-            F.col("o_totalprice").alias("idsr_compliance_pct"),
+            F.col("event_type").alias("district"),
+            F.col("props").alias("disease"),
+            F.col("user_id").alias("case_count"),
+            F.col("value").alias("idsr_compliance_pct"),
         ],
     ).select("record_id", "source", "district", "district_canonical", "disease", "case_count", "idsr_compliance_pct", "epi_week_key")
 
@@ -604,11 +602,11 @@ def harmonize_plain(t: Tables) -> DataFrame:
 
 
 @query
-def table_round_trip(t: Tables) -> DataFrame:
-    """Weekly partitions written, then read as one table of files without the partition column."""
-    rows = t.cases()
-    path = write_table(rows, scratch_path(t.spark, "cases"), "epi_week_key")
-    return read_table(t.spark, path, recursive=True, schema=rows.drop("epi_week_key").schema)
+def write_table_query(t: Tables) -> DataFrame:
+    """Monthly partitions written, then read as one table of files without the partition column."""
+    rows = t.orders.withColumn("report_month_label", temporal.month_label(F.col("o_orderdate")))
+    path = write_table(rows, scratch_path(t.spark, "orders"), "report_month_label")
+    return read_table(t.spark, path, recursive=True, schema=rows.drop("report_month_label").schema)
 
 
 @query
@@ -626,7 +624,7 @@ def with_record_id(t: Tables) -> DataFrame:
 
 
 @query
-def knowledge_graph(t: Tables) -> DataFrame:
+def triples_query(t: Tables) -> DataFrame:
     return t.graph()
 
 
@@ -641,7 +639,7 @@ def policy_status(t: Tables) -> DataFrame:
 
 
 @query
-def graph_pattern(t: Tables) -> DataFrame:
+def bgp(t: Tables) -> DataFrame:
     """Places that share a disease and a disaster with their classes."""
     ns = vocabulary.NAMESPACE
     return patterns.bgp(
@@ -669,12 +667,12 @@ def ntriples_text(t: Tables) -> DataFrame:
 
 
 @query
-def turtle(t: Tables) -> DataFrame:
+def turtle_blocks_query(t: Tables) -> DataFrame:
     return turtle_blocks(settle(t.small_graph())).select("s", "value")
 
 
 @query
-def rdfxml(t: Tables) -> DataFrame:
+def rdfxml_rows_query(t: Tables) -> DataFrame:
     ns = vocabulary.NAMESPACE
     rows = rdfxml_rows(settle(t.small_graph()), [vocabulary.RDF_TYPE, ns + "hasDisaster", ns + "status"])
     return rows.select(

@@ -183,19 +183,19 @@ ORACLE: dict[str, str] = {
     "alert_sentences": f"""
         SELECT o_orderkey, upper(o_orderstatus) || ' reported in ' || o_orderpriority || ' on ' ||
           {_long_date('o_orderdate')} || '; severity minor.' AS description FROM orders""",
-    "parse_messages": """
+    "parse_events": """
         SELECT event_id, CASE WHEN event_id % 10 = 2 THEN 'none' ELSE event_type END AS event_type,
           CASE WHEN event_id % 10 NOT IN (1, 2) THEN value END AS value,
           CASE WHEN event_id % 10 NOT IN (1, 2) THEN CAST(json_extract(props, '$.k') AS INTEGER) ELSE -1 END AS k
         FROM events WHERE event_id % 10 <> 0""",
-    "malformed_messages": """
+    "quarantine": """
         SELECT CASE WHEN event_id % 10 IN (0, 2) THEN 'bad' ELSE 'good' END AS kind, count(*) AS n FROM events GROUP BY ALL""",
-    "flatten_weather_payload": """
+    "flatten_weather": """
         SELECT l_orderkey, l_linenumber, l_quantity AS temperature_c, l_extendedprice AS humidity_pct,
           l_tax AS wind_speed_kmh, CASE WHEN l_linenumber > 1 THEN l_discount ELSE 0.0 END AS precipitation_mm
         FROM lineitem""",
-    "message_round_trip": "SELECT * REPLACE (nullif(o_orderpriority, '5-LOW') AS o_orderpriority) FROM orders",
-    "json_map_entries": """
+    "to_messages": "SELECT * REPLACE (nullif(o_orderpriority, '5-LOW') AS o_orderpriority) FROM orders",
+    "json_map": """
         SELECT c_custkey, unnest([lower(c_name) || '|pakistan', 'home']) AS key,
           c_nationkey + 0.5::DOUBLE AS lat, c_acctbal AS lon FROM customer""",
     "feed_items": """
@@ -268,35 +268,35 @@ ORACLE: dict[str, str] = {
         SELECT event_type AS source, count(DISTINCT CAST(ts AS DATE)) AS runs, count(*) AS records_attempted,
           count(*) FILTER (value > 5) AS records_succeeded FROM events GROUP BY 1""",
     "harmonize_week": f"""
-        SELECT CAST(o_orderkey AS VARCHAR) AS record_id, 'orders' AS source, o_orderpriority AS district,
-          CAST(NULL AS VARCHAR) AS district_canonical, o_orderstatus AS disease, CAST(o_custkey AS INTEGER) AS case_count,
-          o_totalprice AS idsr_compliance_pct, {_week('o_orderdate')} AS epi_week_key FROM orders""",
+        SELECT CAST(event_id AS VARCHAR) AS record_id, 'events' AS source, event_type AS district,
+          CAST(NULL AS VARCHAR) AS district_canonical, props AS disease, CAST(user_id AS INTEGER) AS case_count,
+          value AS idsr_compliance_pct, {_week('ts')} AS epi_week_key FROM events""",
     "harmonize_month": """
         SELECT CAST(o_orderkey AS VARCHAR) AS record_id, o_orderpriority AS title, CAST(month(o_orderdate) AS INTEGER) AS report_month,
           strftime(o_orderdate, '%Y-%m') AS report_month_label, unnest([o_orderstatus, o_orderpriority]) AS sector FROM orders""",
     "harmonize_plain": """
         SELECT source, text AS title, CAST(doc_id AS VARCHAR) AS link, '' AS published FROM documents""",
-    "table_round_trip": _with("SELECT record_id, district_canonical, disease, case_count FROM cases"),
+    "write_table": "SELECT * FROM orders",
     "with_record_id": """
         SELECT 'orders' AS source, o_orderkey, h AS record_id, 'NDMA-' || upper(h[:8]) AS alert_id
         FROM (SELECT o_orderkey, sha256(concat_ws(chr(31), '=' || o_orderkey, '=' || o_orderstatus, '=' || o_orderpriority)) AS h FROM orders)""",
-    "knowledge_graph": _kg("SELECT * FROM kg"),
+    "triples": _kg("SELECT * FROM kg"),
     "triple_count": _kg("SELECT count(*) AS triples FROM kg"),
     "policy_status": _with("SELECT DISTINCT replace(title, ' ', '_') AS policy, status FROM policy"),
-    "graph_pattern": _kg(
+    "bgp": _kg(
         f"""SELECT a.s AS place, a.o AS disease, b.o AS disaster FROM kg a
         JOIN kg c ON c.s = a.o AND c.p = '{RDF_TYPE}' AND c.o = '{NS}Disease'
         JOIN kg b ON b.s = a.s AND b.p = '{NS}hasDisaster' WHERE a.p = '{NS}hasDisease'"""
     ),
     "ntriples_round_trip": _kg("SELECT * FROM kg"),
     "ntriples_text": f"SELECT '{NS}policy/' || doc_id AS s, text AS o FROM documents",
-    "turtle": _kg(
+    "turtle_blocks": _kg(
         """SELECT s, '<' || s || '> ' || string_agg(line, ' ;' || chr(10) || '    ' ORDER BY place, line) || ' .' || chr(10) AS value
         FROM verbs GROUP BY s""",
         ("weather", "alerts", "policy"),
         _TURTLE,
     ),
-    "rdfxml": _kg(
+    "rdfxml_rows": _kg(
         f"""SELECT s, coalesce(string_agg(o, ' ' ORDER BY o) FILTER (p = '{RDF_TYPE}'), '') AS types,
           coalesce(string_agg(o, ' ' ORDER BY o) FILTER (p = '{NS}hasDisaster'), '') AS disasters,
           coalesce(string_agg(o, ' ' ORDER BY o) FILTER (p = '{NS}status'), '') AS statuses FROM kg GROUP BY s""",

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
+from ..operators.lookup import broadcast_if_small
 from ..operators.topn import latest_per
+from ..session import settle
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> str:
@@ -33,11 +33,12 @@ def upsert_by_key(old: DataFrame, new: DataFrame, key: str, order_by: str | None
     """Dictionary after an update: new entries win, other old ones stay.
 
     ``old`` has one row per key. Where ``new`` repeats a key, the row with the
-    largest ``order_by`` counts. The old side is only filtered, so a small update
-    of a large dictionary shuffles nothing large. Write the result to a new path.
+    largest ``order_by`` counts. The changes are computed once; if their keys are
+    few the old side is filtered where it lies and nothing of it is shuffled.
+    Write the result to a new path.
     """
-    changes = latest_per(new, [key], order_by) if order_by else new.dropDuplicates([key])
-    kept = old.join(changes.select(key), key, "left_anti")
+    changes = settle(latest_per(new, [key], order_by) if order_by else new.dropDuplicates([key]))
+    kept = old.join(broadcast_if_small(changes.select(key)), key, "left_anti")
     return kept.unionByName(changes)
 
 
