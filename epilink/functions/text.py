@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Fixed value: what Python counts as white space (Java's Unicode class plus FS..US).
-_BLANK = r"[\s\x1c-\x1f]"
+# Fixed value: the characters that Python counts as white space.
+_BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 _CASED = r"[\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
 _UNCASED = r"[^\p{IsLowercase}\p{IsUppercase}\p{Lt}]"
 
 
 def python_strip(c: Column) -> Column:
     """Remove white space of any script at both ends."""
-    return F.regexp_replace(c, f"(?U)^{_BLANK}+|{_BLANK}+$", "")
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def normalize_name(c: Column) -> Column:
     """Lower case, punctuation ``. - _ ,`` as blanks, blanks collapsed and trimmed."""
-    spaced = F.translate(F.lower(c), ".-_,", "    ")
-    return F.trim(F.regexp_replace(spaced, f"(?U){_BLANK}+", " "))
+    to_blank = _BLANKS + ".-_,"
+    spaced = F.translate(F.lower(c), to_blank, " " * len(to_blank))
+    return F.trim(F.regexp_replace(spaced, " {2,}", " "))
 
 
 def squeeze(c: Column) -> Column:
@@ -32,8 +36,11 @@ def python_title(c: Column) -> Column:
     by_run = F.array_join(
         F.transform(runs, lambda run: F.when(run.rlike(f"^{_CASED}"), F.initcap(run)).otherwise(run)), ""
     )
-    # initcap() only starts words after blanks, which is the same for plain letters and blanks.
-    return F.when(c.rlike("^[A-Za-z ]*$"), F.initcap(c)).otherwise(by_run)
+    # initcap() starts words after blanks only, which is the same unless the text leaves plain
+    # ASCII or a letter follows another character (listed as such, as Java is slow on negated classes).
+    beyond_ascii = F.octet_length(c) != F.length(c)
+    letter_after_other = c.rlike(r"[\x00-\x1f!-@\[-`{-\x7f][A-Za-z]")
+    return F.when(beyond_ascii | letter_after_other, by_run).otherwise(F.initcap(c))
 
 
 def contains_either_way(a: Column, b: Column) -> Column:

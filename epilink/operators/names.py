@@ -100,23 +100,36 @@ def _small_table(spark: SparkSession, key: str, place: str, rows: dict[str, Row]
     return F.broadcast(spark.createDataFrame(table).select(key, F.struct("canonical", "province").alias(place)))
 
 
-def _finish(name: Column, place: Column) -> list[Column]:
-    found = place.isNotNull() & _has_text(name)
-    return [
-        F.when(~_has_text(name) | name.isNull(), F.lit(vocabulary.UNKNOWN))
-        .when(found, place["canonical"])
-        .otherwise(python_title(python_strip(name)))
+def _any_of(texts: list[str]) -> str:
+    """Pattern that finds any of the texts; a look at the first character rules out most places."""
+    firsts = "".join(f"\\x{{{ord(t[0]):x}}}" for t in texts if t)
+    quoted = "|".join(f"\\Q{t}\\E" for t in texts)
+    return f"(?=[{firsts}])(?:{quoted})" if all(texts) else ""
+
+
+def _finished(df: DataFrame, name_col: str, kept: list[str]) -> DataFrame:
+    """The kept columns and the result columns, from the place found (``_place``) or the name itself."""
+    # Stripped in a projection of its own: the title case below looks at it several times.
+    ready = df.select(*kept, "_place", python_strip(F.col(name_col)).alias("_stripped"))
+    has_text = _has_text(F.col(name_col))
+    found = F.col("_place").isNotNull() & has_text
+    return ready.select(
+        *kept,
+        F.when(found, F.col("_place.canonical"))
+        .when(has_text, python_title(F.col("_stripped")))
+        .otherwise(F.lit(vocabulary.UNKNOWN))
         .alias("canonical"),
-        F.when(found, place["province"]).otherwise(F.lit(vocabulary.UNKNOWN)).alias("province"),
+        F.when(found, F.col("_place.province")).otherwise(F.lit(vocabulary.UNKNOWN)).alias("province"),
         found.alias("matched"),
-    ]
+    )
 
 
 def _resolve_inline(df, name_col, head, min_len) -> DataFrame:
     """Small dictionary: two broadcast lookups and one expression, no shuffle of the names."""
     kept = [c for c in df.columns if c not in _RESOLVED]
     if not head:
-        return df.select(*kept, *_finish(F.col(name_col), F.lit(None).cast("struct<canonical:string,province:string>")))
+        place = F.lit(None).cast("struct<canonical:string,province:string>")
+        return _finished(df.withColumn("_place", place), name_col, kept)
     ordered = sorted(head, key=lambda row: (row["rank"], row["alias"]))
     exact = {row["alias"]: row["place"] for row in head}
     # Of several aliases that coincide without blanks the last entry counts.
@@ -137,7 +150,7 @@ def _resolve_inline(df, name_col, head, min_len) -> DataFrame:
 
     # Two cheap tests, one per direction, spare most unknown names the walk through the entries.
     # Normalised names hold no line break, so a name is in the joined text only if one alias has it.
-    holds_alias = norm.rlike("|".join(f"\\Q{row['alias']}\\E" for row in ordered))
+    holds_alias = norm.rlike(_any_of([row["alias"] for row in ordered]))
     held_by_alias = F.contains(F.lit("\n".join(row["alias"] for row in ordered)), norm)
     first = F.get(F.filter(entries, related), F.lit(0))["place"]
     contained = F.when(holds_alias | held_by_alias, first)
@@ -149,7 +162,7 @@ def _resolve_inline(df, name_col, head, min_len) -> DataFrame:
         .join(_small_table(spark, "_tight_name", "_tight", tight), "_tight_name", "left")
     )
     place = F.coalesce(F.col("_exact"), F.col("_tight"), contained)
-    return looked_up.select(*kept, place.alias("_place")).select(*kept, *_finish(name, F.col("_place")))
+    return _finished(looked_up.withColumn("_place", place), name_col, kept)
 
 
 def _resolve_by_joins(df, name_col, exact, min_len) -> DataFrame:
@@ -205,7 +218,7 @@ def _resolve_by_joins(df, name_col, exact, min_len) -> DataFrame:
     )
     kept = [c for c in df.columns if c not in _RESOLVED]
     joined = left_lookup(df.select(*kept), mapping, [name_col])
-    return joined.select(*kept, *_finish(F.col(name_col), F.col("_place")))
+    return _finished(joined, name_col, kept)
 
 
 def _substrings(text: Column, sizes: Column) -> Column:
