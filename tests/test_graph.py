@@ -201,3 +201,13 @@ def test_other_namespace(spark):
     df = spark.createDataFrame([("T 1", "Draft")], "title string, status string")
     made = triples_from(df, policy_statements("http://kg.test/")).where(F.col("p") == "http://kg.test/status").first()
     assert made.s == "http://kg.test/policy/T_1"
+
+
+def test_forms_that_may_spell_the_same_triple_stay_a_set(spark):
+    from epilink.operators.triples import Form, Statement, triples_of
+
+    wide = Statement(Form("http://x/", "p", kind="literal"), F.col("whole"), F.col("v"))
+    narrow = Statement(Form("http://x/a/", "p", kind="literal"), F.col("part"), F.col("v"))
+    df = spark.createDataFrame([("a/1", "1", "t"), ("a/2", "3", "t")], "whole string, part string, v string")
+    got = [r.s for r in triples_of((df, [wide, narrow])).collect()]
+    assert sorted(got) == ["http://x/a/1", "http://x/a/2", "http://x/a/3"]
