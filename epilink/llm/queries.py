@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epilink.llm import decontaminate, exact_dedup, mixing, order_minhash, toxicity
+from epilink.llm import chat_format, decontaminate, exact_dedup, mixing, order_minhash, pii, secrets_scan, toxicity
 from epilink.llm.tables import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.findings(table(spark, sf_dir, "documents")))
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -17,6 +25,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold marks of the template and a backslash."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    hard = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return chat_format.digest(chat_format.read_back(chat_format.format_turns(turns.unionByName(hard))))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -30,6 +46,6 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op4_mixing, op6_exact_dedup, op9_decontamination, op10_order_minhash)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op3_toxicity, op4_mixing, op5_chat_format, op6_exact_dedup, op9_decontamination, op10_order_minhash)}
 
 ORACLE: dict[str, str] = {}
