@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epilink.llm import chat_format, decontaminate, exact_dedup, mixing, order_minhash, pii, secrets_scan, toxicity
+from epilink.llm import chat_format, decontaminate, exact_dedup, html_text, mixing, order_minhash, pii, quality, secrets_scan, toxicity
 from epilink.llm.tables import table
 
 
@@ -37,6 +37,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), "html", ["page_id"])
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.contamination(docs, items, ["doc_id"]))
@@ -46,6 +54,20 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_secrets, op3_toxicity, op4_mixing, op5_chat_format, op6_exact_dedup, op9_decontamination, op10_order_minhash)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pii,
+        op2_secrets,
+        op3_toxicity,
+        op4_mixing,
+        op5_chat_format,
+        op6_exact_dedup,
+        op7_quality,
+        op8_html_text,
+        op9_decontamination,
+        op10_order_minhash,
+    )
+}
 
 ORACLE: dict[str, str] = {}
