@@ -8,10 +8,15 @@ verified by a banded alignment of the two whole sequences: the longest common su
 within the band in which enough matches can lie, and the similarity ``c / (n + m - c)``, which
 for texts without moves is the Jaccard similarity of the runs.
 
-Equal word sequences are collapsed before. In each bucket of a sketch all members meet one
-leader first; only members that did not join its component meet the leaders of the other
-components, and members of two larger components meet each other, so no link between different
-texts is lost and a large group of copies costs a number of pairs in proportion to its size.
+Equal word sequences are collapsed before. All members of a bucket meet its leader first,
+which joins most of a group of copies into one component with a number of pairs in proportion to
+its size. Then those of different components that have the same leader meet, but only where they
+can be similar. Let the core of the group be the runs that more than half of its members have,
+``e`` the number of runs of a text beyond the core, and ``m`` the number of core runs that the text
+lacks. Two texts without a common run beyond the core differ in at least ``e + e' + |m - m'|`` runs, so
+either that is little enough or they share one of their rarest runs beyond the core. Both are
+joins on keys; they leave out no link, and few pairs of the copies that differ too much to be
+linked.
 
 Defined cases: texts without words (null, empty, only marks) are equal to each other only if the
 same after trimming white space, null as empty; texts of one to four words are one run and have
@@ -27,7 +32,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from epilink.llm.tables import stored
@@ -86,34 +91,44 @@ def sketches(runs: np.ndarray) -> list[int]:
     return out
 
 
-def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
-    """Similarity of two sequences of distinct runs, 0 where it is below ``threshold``."""
+def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
+    """Whether the similarity of two sequences of distinct runs reaches ``threshold``."""
     n, m = len(a), len(b)
     least = int(np.ceil(threshold * (n + m) / (1 + threshold) - 1e-9))
-    if least > min(n, m):
-        return 0.0
     _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
     # With ``least`` matches in order, a match is at most as far off the diagonal as runs may be left over.
     near = (i - j <= n - least) & (j - i <= m - least)
     if near.sum() < least:
-        return 0.0
+        return False
     i, j = i[near], j[near]
     j = j[np.argsort(i)]
     if (np.diff(j) > 0).all():
-        c = len(j)
-    else:
-        tails: list[int] = []
-        for x in j.tolist():
-            k = bisect_left(tails, x)
-            tails[k : k + 1] = [x]
-        c = len(tails)
-    s = c / (n + m - c)
-    return s if c >= least else 0.0
+        return True
+    tails: list[int] = []
+    for x in j.tolist():
+        k = bisect_left(tails, x)
+        tails[k : k + 1] = [x]
+    return len(tails) >= least
 
 
 _SEEN = "_id long, _hash long, _key binary, _n int, _runs binary, _sketches array<long>"
 
 
+#: Bits of the filter by which texts without a candidate are left out early; 4 MB, whatever the input.
+_FILTER_BITS = 25
+
+
+def _id_filter(ids: DataFrame) -> np.ndarray:
+    """A bit for the hash of each id ``id``, as 64-bit words. Other ids may share a bit, none is missed."""
+    bit = F.shiftrightunsigned(F.xxhash64("id"), 64 - _FILTER_BITS)
+    mask = F.expr("shiftleft(1L, cast(bit & 63 as int))")
+    rows = ids.select(bit.alias("bit")).select(F.shiftright("bit", 6).alias("at"), mask.alias("mask")).groupBy("at").agg(F.bit_or("mask").alias("mask"))
+    out = np.zeros(1 << (_FILTER_BITS - 6), dtype=np.int64)
+    found = rows.toArrow()
+    out[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return out
+
+
 def _read(texts: DataFrame, with_runs: bool) -> DataFrame:
     """Key of the word sequence, number of runs, and either the runs or the sketches of each text.
 
@@ -149,18 +164,111 @@ def _read(texts: DataFrame, with_runs: bool) -> DataFrame:
     return texts.select("_id", "_hash", "_text").mapInArrow(run, _SEEN)
 
 
+def _filtered(texts: DataFrame, bits: np.ndarray) -> DataFrame:
+    """The rows of ``texts`` whose id may be in the filter."""
+    sent = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        for batch in batches:
+            bit = batch.column(0).to_numpy(zero_copy_only=False)
+            keep = (sent.value[bit >> 6] >> (bit & 63)) & 1
+            yield batch.select(["_id", "_hash", "_text"]).filter(pa.array(keep == 1))
+
+    bit = F.shiftrightunsigned(F.xxhash64("_id"), 64 - _FILTER_BITS)
+    rows = texts.filter("_id is not null").select(bit.alias("_bit"), "_id", "_hash", "_text")
+    return rows.mapInArrow(run, texts.schema)
+
+
 def _verified(pairs: DataFrame, runs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose alignment reaches the threshold."""
+    """The pairs ``(a, b)``, and whether they are ``linked`` by their alignment."""
 
     def run(batches):
         for batch in batches:
             x, y = ([np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(k)] for k in (2, 3))
-            keep = [aligned(p, q, threshold) > 0 for p, q in zip(x, y)]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            found = [aligned(p, q, threshold) for p, q in zip(x, y)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found, pa.bool_())],
+                names=["a", "b", "linked"],
+            )
 
     left = runs.select(F.col("_id").alias("a"), F.col("_runs").alias("x"))
     right = runs.select(F.col("_id").alias("b"), F.col("_runs").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
+
+
+def _each_run(members: DataFrame, runs: DataFrame) -> DataFrame:
+    """``(head, id, run)``: all runs of the members of groups."""
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                own = [np.frombuffer(v.as_buffer(), np.int64) for v in part.column(2)]
+                count = [len(v) for v in own]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(np.repeat(part.column(k).to_numpy(), count)) for k in (0, 1)), pa.array(np.concatenate(own))], names=["head", "id", "run"]
+                )
+
+    rows = members.select("head", "id").join(runs.select(F.col("_id").alias("id"), "_runs"), "id").select("head", "id", "_runs")
+    return rows.mapInArrow(run, "head long, id long, run long")
+
+
+#: Width of the bins in which members of a group look for others.
+_BIN = 8
+
+
+def _open_pairs(members: DataFrame, met: DataFrame, found: DataFrame, runs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs that have the same leader, are in different components, may be similar and did not meet yet.
+
+    Members of all components of a group but its largest look for others. With ``f = e + m`` and
+    ``g = e - m``, ``f + g'`` and ``f' + g`` are both at most the number of runs in which a similar pair
+    may differ, or the pair shares a run that is among the rarest ones of both.
+    """
+    own = members.join(found.select("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    sizes = own.groupBy("head", "component").agg(F.count("*").alias("size"))
+    groups = sizes.groupBy("head").agg(F.sum("size").alias("rows"), F.count("*").alias("k"), F.max(F.struct("size", "component")).alias("largest"))
+    # The leader has met all others of its length: with one other there is nothing left to do.
+    groups = groups.filter("rows > 2 and k > 1").select("head", "rows", F.col("largest.component").alias("largest"))
+    own = stored(own.join(groups, "head").withColumn("seeks", F.col("component") != F.col("largest")).drop("largest"), "groups")
+
+    each = stored(_each_run(own, runs), "runs")
+    often = each.groupBy("head", "run").agg(F.count("*").alias("often"))
+    often = often.join(own.select("head", "rows").distinct(), "head").select("head", "run", "often", (F.col("often") * 2 > F.col("rows")).alias("core"))
+    often = stored(often.filter("often > 1"), "often")
+    core = often.filter("core").groupBy("head").agg(F.count("*").alias("n_core"))
+    # Runs that are alone in the group come first among the rarest, and meet nobody.
+    common = stored(each.join(often, ["head", "run"]), "common")
+    counts = common.groupBy("head", "id").agg(F.count("*").alias("n_common"), F.count_if("core").alias("in_core"))
+    own = own.join(counts, ["head", "id"], "left").join(core, "head", "left").fillna(0, ["n_common", "in_core", "n_core"])
+    e, m = F.col("n") - F.col("in_core"), F.col("n_core") - F.col("in_core")
+    own = own.select("head", "id", "n", "component", "seeks", (F.col("n") - F.col("n_common")).alias("alone"), (e + m).alias("f"), (e - m).alias("g"))
+    own = stored(own.withColumn("bin", F.floor(F.col("g") / _BIN)), "open")
+
+    farthest = (1 - threshold) / threshold
+
+    def side(rows: DataFrame, name: str, *keys: str) -> DataFrame:
+        return rows.select(*keys, *(F.col(c).alias(f"{c}_{name}") for c in ("id", "n", "component", "seeks", "f", "g")))
+
+    different = (F.col("component_a") != F.col("component_b")) & (~F.col("seeks_b") | (F.col("component_a") < F.col("component_b"))) & _alike(threshold)
+    may_differ = (F.col("n_a") + F.col("n_b")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    near = (F.col("f_a") + F.col("g_b") <= may_differ) & (F.col("f_b") + F.col("g_a") <= may_differ)
+    seeking = own.filter("seeks").withColumn("upto", F.floor((F.col("n") * farthest - F.col("f")) / _BIN)).drop("bin")
+    seeking = seeking.join(own.select("head", "bin").distinct(), "head").filter("bin <= upto")
+    by_bin = side(seeking, "a", "head", "bin").join(side(own, "b", "head", "bin"), ["head", "bin"]).filter(different & near)
+
+    rank = F.row_number().over(Window.partitionBy("head", "id").orderBy("often", "run"))
+    rare = own.join(common.filter("not core").withColumn("rank", rank), ["head", "id"])
+    rare = rare.filter(F.col("rank") + F.col("alone") <= F.floor(F.col("n") * farthest + 1e-6) + 1)
+    by_run = side(rare.filter("seeks"), "a", "head", "run").join(side(rare, "b", "head", "run"), ["head", "run"]).filter(different & ~near)
+
+    both = by_bin.select("id_a", "id_b").union(by_run.select("id_a", "id_b"))
+    both = both.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    return both.join(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+
+
+def _alike(threshold: float):
+    """Lengths of a pair that do not rule out a similarity of ``threshold``."""
+    return F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -201,48 +309,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     single = stored(single.dropDuplicates(["_key", "_first"]), "single")
     single = single.select(F.col("_first").alias("id"), F.col("_n").alias("n"), F.explode("_sketches").alias("bucket"))
-    shared = single.groupBy("bucket").agg(F.count("*").alias("_size"), F.min(F.struct("id", "n")).alias("leader")).filter("_size > 1").drop("_size")
-    members = stored(single.join(shared, "bucket"), "buckets")
-
-    like = (F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b")) & (F.col("a") != F.col("b"))
-    pairs_1 = members.select(F.col("leader.id").alias("a"), F.col("leader.n").alias("n_a"), F.col("id").alias("b"), F.col("n").alias("n_b")).filter(like)
-    pairs_1 = stored(pairs_1.select("a", "b").distinct(), "pairs")
-    needed = members.select(F.col("id").alias("_id")).distinct()
-    runs = _read(plain.join(needed, "_id"), True).select("_id", "_key", "_runs")
+    shared = single.groupBy("bucket").agg(F.count("*").alias("_size"), F.min("id").alias("head")).filter("_size > 1").drop("_size")
+    members = stored(single.join(shared, "bucket").select("id", "n", "head").distinct(), "members")
+    lengths = members.select("id", "n").distinct()
+    # Few texts are candidates. The filter spares a shuffle of all the others; the join below is exact.
+    runs = _read(_filtered(plain, _id_filter(lengths)), True).select("_id", "_key", "_runs")
+    runs = runs.join(lengths.select(F.col("id").alias("_id")).distinct(), "_id")
     runs = runs.join(firsts.select("_key", F.col("_first").alias("_id")), ["_key", "_id"])
     runs = stored(runs.groupBy("_id").agg(F.min_by("_runs", "_key").alias("_runs")), "runs")
-    edges = stored(_verified(pairs_1, runs, threshold), "edges")
-    found = components(edges)
-
-    def split(found: DataFrame) -> DataFrame:
-        """Members of the buckets that hold several components, with the leader of their component there."""
-        own = members.select("bucket", "id", "n").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        heads = own.groupBy("bucket", "component").agg(F.min(F.struct("id", "n")).alias("head"), F.count("*").alias("size"))
-        several = heads.groupBy("bucket").agg(F.count("*").alias("k")).filter("k > 1").select("bucket")
-        return own.join(heads.join(several, "bucket"), ["bucket", "component"])
-
-    def cross(rows: DataFrame, others: DataFrame) -> DataFrame:
-        a = rows.select("bucket", F.col("component").alias("c_a"), F.col("id").alias("a"), F.col("n").alias("n_a"))
-        b = others.select("bucket", F.col("component").alias("c_b"), F.col("id").alias("b"), F.col("n").alias("n_b"))
-        met = a.join(b, "bucket").filter((F.col("c_a") != F.col("c_b")) & like)
-        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    tested = pairs_1.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    for rest in (False, True):
-        own = stored(split(found), "split")
-        if rest:
-            # Both ends are beyond the heads of two components of several members each.
-            own = own.filter("size > 1 and id <> head.id")
-            met = cross(own, own)
-        else:
-            met = cross(own, own.filter("id = head.id"))
-        more = stored(met.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if more.isEmpty():
-            continue
-        edges = edges.unionByName(_verified(more, runs, threshold))
-        edges = stored(edges, "edges")
-        found = components(edges)
-        tested = tested.unionByName(more)
+    heads = lengths.select(F.col("id").alias("head"), F.col("n").alias("n_a"))
+    pairs = members.filter("id <> head").join(heads, "head").withColumn("n_b", F.col("n")).filter(_alike(threshold))
+    pairs = pairs.select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
+    met = stored(_verified(pairs, runs, threshold), "met")
+    first = met.filter("linked").select("a", "b")
+    found = components(first)
+    more = stored(_verified(_open_pairs(members, met, found, runs, threshold), runs, threshold).filter("linked").select("a", "b"), "edges")
+    # The later links join whole components: one link of two components is as good as all.
+    of = found.select("id", "component")
+    ends = more
+    for end in ("a", "b"):
+        ends = ends.join(of.withColumnRenamed("id", end), end, "left").withColumn(f"c_{end}", F.coalesce("component", end)).drop("component")
+    joined = components(ends.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")).distinct())
+    own = of.unionByName(joined.select("id", F.col("id").alias("component"))).groupBy("id").agg(F.min("component").alias("component"))
+    found = own.join(joined.select(F.col("id").alias("component"), F.col("component").alias("whole")), "component", "left").select("id", F.coalesce("whole", "component").alias("component"))
+    edges = first.unionByName(more)
 
     degree = edges.select(F.explode(F.array("a", "b")).alias("_first")).groupBy("_first").agg(F.count("*").alias("_links"))
     classes = found.select(F.col("id").alias("_first"), "component").join(degree, "_first", "left")
