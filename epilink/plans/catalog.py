@@ -121,17 +121,15 @@ class Tables:
         )
 
     def small_graph(self) -> DataFrame:
-        """Triples of alerts, policies and rounded weather."""
-        readings = self.weather().withColumn("humidity_pct", F.col("precipitation_mm"))
+        """Triples of alerts, policies and weather."""
         return triples.triples_of(
-            (readings, triples.weather_statements()),
+            (self.weather(), triples.weather_statements()),
             (self.alerts(), triples.alert_statements()),
             (self.policy(), triples.policy_statements()),
         )
 
     def graph(self) -> DataFrame:
-        readings = self.weather().withColumn("humidity_pct", F.col("precipitation_mm"))
-        return triples.knowledge_graph(self.cases(), readings, self.alerts(), self.policy())
+        return triples.knowledge_graph(self.cases(), self.weather(), self.alerts(), self.policy())
 
     def stored_graph(self) -> DataFrame:
         """The graph computed once, as the graph tables read it in practice.
@@ -153,12 +151,9 @@ class Tables:
         return self.part.select("p_partkey", F.concat(F.lit(" "), F.upper(first), sep, second).alias("raw"))
 
 
-def _rounded(df: DataFrame, *cols: str, digits: int = 4) -> DataFrame:
-    """Means are compared to a few digits, as the order of summation is not fixed.
-
-    The small shift moves values off decimal ties, which two engines may round apart.
-    """
-    return df.withColumns({c: F.round(F.col(c) + F.lit(1.3e-6), digits) for c in cols})
+def _rounded(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
+    """Means are compared to six digits, as the order of summation is not fixed."""
+    return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
 
 
 def _stream_table(spark, folder, name, kind, schema, table, file_name, project) -> DataFrame:

@@ -34,8 +34,8 @@ placed AS (
   SELECT p_name || ' ' || p_partkey AS title, p_brand AS status FROM part
 ), means AS (
   SELECT district_canonical, epi_week_key,
-    round(avg(temperature_c) + 1.3e-6, 4) AS avg_temperature_c, round(avg(humidity_pct) + 1.3e-6, 4) AS avg_humidity_pct,
-    round(avg(precipitation_mm) + 1.3e-6, 4) AS avg_precipitation_mm, round(avg(wind_speed_kmh) + 1.3e-6, 4) AS avg_wind_speed_kmh
+    round(avg(temperature_c), 6) AS avg_temperature_c, round(avg(humidity_pct), 6) AS avg_humidity_pct,
+    round(avg(precipitation_mm), 6) AS avg_precipitation_mm, round(avg(wind_speed_kmh), 6) AS avg_wind_speed_kmh
   FROM weather GROUP BY ALL
 ), events_by_week AS (
   SELECT district_canonical, epi_week_key, count(alert_id) AS disaster_event_count,
@@ -57,7 +57,7 @@ _KG_PARTS = {
   UNION SELECT '{NS}district/' || replace(district_canonical, ' ', '_'), '{NS}caseCount', CAST(case_count AS VARCHAR), 'literal', '{XSD}integer' FROM cases""",
     "weather": f"""
   SELECT '{NS}district/' || replace(district_canonical, ' ', '_') s, '{NS}temperature' p, CAST(temperature_c AS VARCHAR) o, 'literal' o_kind, '{XSD}double' o_datatype FROM weather
-  UNION SELECT '{NS}district/' || replace(district_canonical, ' ', '_'), '{NS}humidity', CAST(precipitation_mm AS VARCHAR), 'literal', '{XSD}double' FROM weather""",
+  UNION SELECT '{NS}district/' || replace(district_canonical, ' ', '_'), '{NS}humidity', CAST(humidity_pct AS VARCHAR), 'literal', '{XSD}double' FROM weather""",
     "alerts": f"""
   SELECT '{NS}disaster/' || event_type s, '{RDF_TYPE}' p, '{NS}Disaster' o, 'iri' o_kind, NULL o_datatype FROM alerts
   UNION SELECT '{NS}district/' || replace(district_canonical, ' ', '_'), '{NS}hasDisaster', '{NS}disaster/' || event_type, 'iri', NULL FROM alerts
@@ -133,7 +133,7 @@ _TURTLE = f"""
     CASE WHEN o_datatype IS NOT NULL THEN CAST(o AS DOUBLE) END AS number,
     CASE WHEN o_kind = 'iri' AND contains(o[{len(NS) + 1}:], '/') THEN '<' || o || '>'
          WHEN o_kind = 'iri' THEN replace(o, '{NS}', 'ex:')
-         WHEN o_datatype = '{XSD}double' THEN regexp_replace(format('{{:e}}', CAST(o AS DOUBLE)), '\\.?0*e', 'e')
+         WHEN o_datatype = '{XSD}double' THEN regexp_replace(format('{{:.14e}}', CAST(o AS DOUBLE)), '\\.?0*e', 'e')
          WHEN o_datatype IS NOT NULL THEN o
          ELSE '"' || o || '"' END AS term
   FROM kg
@@ -257,7 +257,7 @@ ORACLE: dict[str, str] = {
           strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.000000+00:00') AS issued_at, 13 AS id_length
         FROM (SELECT *, {_week('o_orderdate')} AS k FROM orders)""",
     "total_by": _with("SELECT district_canonical, CAST(sum(case_count) AS BIGINT) AS cases FROM cases GROUP BY 1"),
-    "mean_by": _with("SELECT district_canonical, round(avg(temperature_c) + 1.3e-6, 4) AS temp FROM weather GROUP BY 1"),
+    "mean_by": _with("SELECT district_canonical, round(avg(temperature_c), 6) AS temp FROM weather GROUP BY 1"),
     "count_by": _with("SELECT district_canonical, count(*) AS alerts FROM alerts GROUP BY 1"),
     "ingestion_metrics": """
         SELECT source, day, a AS records_attempted, s AS records_succeeded, a - s AS records_failed,
