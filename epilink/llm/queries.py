@@ -70,4 +70,10 @@ QUERIES = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_exact_dedup": r"""
+        SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+          doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+        FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+        WINDOW w AS (PARTITION BY t)""",
+}
