@@ -10,8 +10,8 @@ for texts without moves is the Jaccard similarity of the runs.
 
 Equal word sequences are collapsed before. All members of a bucket meet its leader first,
 which joins most of a group of copies into one component with a number of pairs in proportion to
-its size. Then those of different components that have the same leader meet, but only where they
-can be similar. Let the core of the group be the runs that more than half of its members have,
+its size. Then those of different components whose leaders are the same, or in one component, meet,
+but only where they can be similar. Let the core of the group be the runs that more than half of its members have,
 ``e`` the number of runs of a text beyond the core, and ``m`` the number of core runs that the text
 lacks. Two texts without a common run beyond the core differ in at least ``e + e' + |m - m'|`` runs, so
 either that is little enough or they share one of their rarest runs beyond the core. Both are
@@ -217,32 +217,70 @@ def _each_run(members: DataFrame, runs: DataFrame) -> DataFrame:
 _BIN = 8
 
 
+_OPEN = "head long, id long, n int, component long, seeks boolean, f int, g int, beyond array<long>"
+
+
+def _against_core(members: DataFrame) -> DataFrame:
+    """``f``, ``g`` and the runs beyond the core of members with ``_runs`` and the ``_core`` of their group."""
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                cores = part.column(5)
+                core, at = cores.values.to_numpy(), cores.offsets.to_numpy()
+                n, f, g, beyond = [], [], [], []
+                for i, v in enumerate(part.column(4)):
+                    own, of_core = np.frombuffer(v.as_buffer(), np.int64), core[at[i] : at[i + 1]]
+                    left = own[~np.isin(own, of_core)]
+                    e, m = len(left), len(of_core) - len(own) + len(left)
+                    n.append(len(own))
+                    f.append(e + m)
+                    g.append(e - m)
+                    beyond.append(left)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        part.column(1),
+                        pa.array(n, pa.int32()),
+                        part.column(2),
+                        part.column(3),
+                        pa.array(f, pa.int32()),
+                        pa.array(g, pa.int32()),
+                        pa.array(beyond, pa.list_(pa.int64())),
+                    ],
+                    names=["head", "id", "n", "component", "seeks", "f", "g", "beyond"],
+                )
+
+    return members.select("head", "id", "component", "seeks", "_runs", "_core").mapInArrow(run, _OPEN)
+
+
 def _open_pairs(members: DataFrame, met: DataFrame, found: DataFrame, runs: DataFrame, threshold: float) -> DataFrame:
-    """Pairs that have the same leader, are in different components, may be similar and did not meet yet.
+    """Pairs that share a group, are in different components, may be similar and did not meet yet.
 
-    Members of all components of a group but its largest look for others. With ``f = e + m`` and
-    ``g = e - m``, ``f + g'`` and ``f' + g`` are both at most the number of runs in which a similar pair
-    may differ, or the pair shares a run that is among the rarest ones of both.
+    A group is all members of leaders that are in one component, so that a text with many sketches
+    is not in as many groups. Members of all components of a group but its largest look for others.
+    With ``f = e + m`` and ``g = e - m``, ``f + g'`` and ``f' + g`` are both at most the number of runs
+    in which a similar pair may differ, or the pair shares a run that is among the rarest ones of both.
     """
-    own = members.join(found.select("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    of = found.select("id", "component")
+    leaders = of.select(F.col("id").alias("head"), F.col("component").alias("_group"))
+    own = members.join(leaders, "head", "left").select(F.coalesce("_group", "head").alias("head"), "id").distinct()
+    own = own.join(of, "id", "left").withColumn("component", F.coalesce("component", "id"))
     sizes = own.groupBy("head", "component").agg(F.count("*").alias("size"))
     groups = sizes.groupBy("head").agg(F.sum("size").alias("rows"), F.count("*").alias("k"), F.max(F.struct("size", "component")).alias("largest"))
-    # The leader has met all others of its length: with one other there is nothing left to do.
+    # A leader has met all others of its length: with one other there is nothing left to do.
     groups = groups.filter("rows > 2 and k > 1").select("head", "rows", F.col("largest.component").alias("largest"))
     own = stored(own.join(groups, "head").withColumn("seeks", F.col("component") != F.col("largest")).drop("largest"), "groups")
 
-    each = stored(_each_run(own, runs), "runs")
-    often = each.groupBy("head", "run").agg(F.count("*").alias("often"))
-    often = often.join(own.select("head", "rows").distinct(), "head").select("head", "run", "often", (F.col("often") * 2 > F.col("rows")).alias("core"))
-    often = stored(often.filter("often > 1"), "often")
-    core = often.filter("core").groupBy("head").agg(F.count("*").alias("n_core"))
-    # Runs that are alone in the group come first among the rarest, and meet nobody.
-    common = stored(each.join(often, ["head", "run"]), "common")
-    counts = common.groupBy("head", "id").agg(F.count("*").alias("n_common"), F.count_if("core").alias("in_core"))
-    own = own.join(counts, ["head", "id"], "left").join(core, "head", "left").fillna(0, ["n_common", "in_core", "n_core"])
-    e, m = F.col("n") - F.col("in_core"), F.col("n_core") - F.col("in_core")
-    own = own.select("head", "id", "n", "component", "seeks", (F.col("n") - F.col("n_common")).alias("alone"), (e + m).alias("f"), (e - m).alias("g"))
-    own = stored(own.withColumn("bin", F.floor(F.col("g") / _BIN)), "open")
+    often = _each_run(own, runs).groupBy("head", "run").agg(F.count("*").alias("often")).filter("often > 1")
+    rows = own.select("head", "rows").distinct()
+    often = stored(often.join(rows, "head").select("head", "run", "often", (F.col("often") * 2 > F.col("rows")).alias("core")), "often")
+    # A core has at most twice as many runs as its members on average: one array, no longer than texts are.
+    core = often.filter("core").groupBy("head").agg(F.collect_list("run").alias("_core"))
+    held = own.join(runs.select(F.col("_id").alias("id"), "_runs"), "id").join(core, "head", "left")
+    own = stored(_against_core(held.withColumn("_core", F.coalesce("_core", F.array().cast("array<long>")))), "open")
+    own = own.withColumn("bin", F.floor(F.col("g") / _BIN))
 
     farthest = (1 - threshold) / threshold
 
@@ -256,9 +294,13 @@ def _open_pairs(members: DataFrame, met: DataFrame, found: DataFrame, runs: Data
     seeking = seeking.join(own.select("head", "bin").distinct(), "head").filter("bin <= upto")
     by_bin = side(seeking, "a", "head", "bin").join(side(own, "b", "head", "bin"), ["head", "bin"]).filter(different & near)
 
-    rank = F.row_number().over(Window.partitionBy("head", "id").orderBy("often", "run"))
-    rare = own.join(common.filter("not core").withColumn("rank", rank), ["head", "id"])
-    rare = rare.filter(F.col("rank") + F.col("alone") <= F.floor(F.col("n") * farthest + 1e-6) + 1)
+    # Runs that are alone in the group come first among the rarest, and meet nobody.
+    common = own.select("*", F.explode("beyond").alias("run")).withColumn("beyond", F.size("beyond"))
+    common = common.join(often.filter("not core").select("head", "run", "often"), ["head", "run"])
+    text = Window.partitionBy("head", "id")
+    place = F.row_number().over(text.orderBy("often", "run")) + F.col("beyond") - F.count("*").over(text)
+    rare = common.withColumn("place", place).filter(F.col("place") <= F.floor(F.col("n") * farthest + 1e-6) + 1)
+    rare = stored(rare.drop("beyond", "often", "place", "bin"), "rare")
     by_run = side(rare.filter("seeks"), "a", "head", "run").join(side(rare, "b", "head", "run"), ["head", "run"]).filter(different & ~near)
 
     both = by_bin.select("id_a", "id_b").union(by_run.select("id_a", "id_b"))
