@@ -279,13 +279,13 @@ def _open_pairs(members: DataFrame, met: DataFrame, found: DataFrame, runs: Data
     # A core has at most twice as many runs as its members on average: one array, no longer than texts are.
     core = often.filter("core").groupBy("head").agg(F.collect_list("run").alias("_core"))
     held = own.join(runs.select(F.col("_id").alias("id"), "_runs"), "id").join(core, "head", "left")
-    own = stored(_against_core(held.withColumn("_core", F.coalesce("_core", F.array().cast("array<long>")))), "open")
-    own = own.withColumn("bin", F.floor(F.col("g") / _BIN))
+    opened = stored(_against_core(held.withColumn("_core", F.coalesce("_core", F.array().cast("array<long>")))), "open")
+    own = opened.drop("beyond").withColumn("bin", F.floor(F.col("g") / _BIN))
 
     farthest = (1 - threshold) / threshold
 
     def side(rows: DataFrame, name: str, *keys: str) -> DataFrame:
-        return rows.select(*keys, *(F.col(c).alias(f"{c}_{name}") for c in ("id", "n", "component", "seeks", "f", "g")))
+        return rows.select(*keys, *(F.col(c).alias(f"{c}_{name}") for c in rows.columns if c not in keys))
 
     different = (F.col("component_a") != F.col("component_b")) & (~F.col("seeks_b") | (F.col("component_a") < F.col("component_b"))) & _alike(threshold)
     may_differ = (F.col("n_a") + F.col("n_b")) * ((1 - threshold) / (1 + threshold)) + 1e-6
@@ -295,13 +295,17 @@ def _open_pairs(members: DataFrame, met: DataFrame, found: DataFrame, runs: Data
     by_bin = side(seeking, "a", "head", "bin").join(side(own, "b", "head", "bin"), ["head", "bin"]).filter(different & near)
 
     # Runs that are alone in the group come first among the rarest, and meet nobody.
-    common = own.select("*", F.explode("beyond").alias("run")).withColumn("beyond", F.size("beyond"))
+    common = opened.select("*", F.explode("beyond").alias("run")).withColumn("beyond", F.size("beyond"))
     common = common.join(often.filter("not core").select("head", "run", "often"), ["head", "run"])
     text = Window.partitionBy("head", "id")
     place = F.row_number().over(text.orderBy("often", "run")) + F.col("beyond") - F.count("*").over(text)
     rare = common.withColumn("place", place).filter(F.col("place") <= F.floor(F.col("n") * farthest + 1e-6) + 1)
-    rare = stored(rare.drop("beyond", "often", "place", "bin"), "rare")
-    by_run = side(rare.filter("seeks"), "a", "head", "run").join(side(rare, "b", "head", "run"), ["head", "run"]).filter(different & ~near)
+    # After its first common run, a pair has at most the rest beyond the core and the core in common.
+    rare = rare.select("*", (F.col("beyond") - F.col("place") + 1).alias("rest"), (F.col("n") - F.col("beyond")).alias("of_core"))
+    rare = stored(rare.drop("beyond", "often", "place"), "rare")
+    most = F.least("rest_a", "rest_b") + F.least("of_core_a", "of_core_b")
+    reach = most >= (F.col("n_a") + F.col("n_b")) * (threshold / (1 + threshold)) - 1e-6
+    by_run = side(rare.filter("seeks"), "a", "head", "run").join(side(rare, "b", "head", "run"), ["head", "run"]).filter(different & ~near & reach)
 
     both = by_bin.select("id_a", "id_b").union(by_run.select("id_a", "id_b"))
     both = both.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
