@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 18
 
 _PRIME = 0x9E3779B97F4A7C15 | 3
 _INVERSE = pow(_PRIME, -1, 1 << 64)
