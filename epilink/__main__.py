@@ -61,6 +61,13 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _print_all(table) -> None:
+    """Every row, tab-separated under the names; the driver holds one partition at a time."""
+    print(*table.columns, sep="\t")
+    for row in table.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def _records(kind: str, raw):
     if kind == "news":
         return ingest.news_records(raw, "value")
@@ -90,7 +97,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "graph":
         print(jobs.graph_job(spark, args.base, args.out, args.namespace), "triples")
     elif args.command == "policies":
-        jobs.policy_job(spark, args.graph, args.namespace).show(truncate=False)
+        _print_all(jobs.policy_job(spark, args.graph, args.namespace))
     elif args.command == "property-graph":
         print(*jobs.property_graph_job(spark, args.graph, args.out))
     elif args.command == "edges":
@@ -98,9 +105,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "summaries":
         for name, table in jobs.summary_job(spark, args.base, args.out).items():
             print(name)
-            table.show(truncate=False)
+            _print_all(table)
     elif args.command == "metrics":
-        jobs.metrics_job(spark, args.log).show(truncate=False)
+        _print_all(jobs.metrics_job(spark, args.log))
 
 
 if __name__ == "__main__":

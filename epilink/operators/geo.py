@@ -37,8 +37,9 @@ def geocode(
 
     The gazetteer ``(key, lat, lon)`` is asked for ``name|country``; where it has
     no entry the fallback ``(name, lat, lon)`` is asked for the raw name. The
-    source is ``cache``, ``settings_fallback`` or ``unresolved``. Each dictionary
-    has one row per key.
+    source is ``cache``, ``settings_fallback`` or ``unresolved``. Where a given
+    dictionary repeats a key (fallback names differing only in case are the same
+    key), its smallest latitude, then longitude counts, so no row is multiplied.
     """
     spark = df.sparkSession
     kept = [c for c in df.columns if c not in ("lat", "lon", "geocode_source")]
@@ -53,11 +54,11 @@ def geocode(
     if gazetteer is None:
         found = keyed.join(F.broadcast(cached), "_key", "left")
     else:
-        found = left_lookup(keyed, cached, ["_key"], compute_once=False)
+        found = left_lookup(keyed, cached.groupBy("_key").agg(F.min("_cached").alias("_cached")), ["_key"], compute_once=False)
     if fallback is None:
         found = found.join(F.broadcast(listed), "_raw", "left")
     else:
-        found = left_lookup(found, listed, ["_raw"], compute_once=False)
+        found = left_lookup(found, listed.groupBy("_raw").agg(F.min("_listed").alias("_listed")), ["_raw"], compute_once=False)
     return found.select(
         *kept,
         F.coalesce("_cached", "_listed")["lat"].alias("lat"),

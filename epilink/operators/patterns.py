@@ -16,10 +16,21 @@ def _is_variable(term: str) -> bool:
     return term.startswith("?")
 
 
+def _constant(term: str) -> tuple[str, str, str | None]:
+    """Value, kind and datatype of a constant; only the outer quotes are not part of the text."""
+    if not term.startswith('"'):
+        return term, "iri", None
+    text, _, datatype = term.rpartition('"^^<')
+    if text and datatype.endswith(">"):
+        return text[1:], "literal", datatype[:-1]
+    return term[1:-1], "literal", None
+
+
 def _match(triples: DataFrame, pattern: Pattern) -> DataFrame:
     """Bindings of one pattern: a column per variable, holding the whole term.
 
-    A constant in quotes is a plain literal, any other constant an IRI.
+    A constant in quotes is a plain literal, one in quotes followed by ``^^<type>``
+    a typed literal, any other constant an IRI.
     """
     terms = {
         "s": F.struct(F.col("s").alias("value"), F.lit("iri").alias("kind"), F.lit("").alias("datatype")),
@@ -33,9 +44,10 @@ def _match(triples: DataFrame, pattern: Pattern) -> DataFrame:
     matched, bound = triples, {}
     for position, term in zip("spo", pattern, strict=True):
         if not _is_variable(term):
-            matched = matched.where(F.col(position) == term.strip('"'))
+            value, kind, datatype = _constant(term)
+            matched = matched.where(F.col(position) == value)
             if position == "o":
-                matched = matched.where(F.col("o_kind") == ("literal" if term.startswith('"') else "iri"))
+                matched = matched.where((F.col("o_kind") == kind) & F.col("o_datatype").eqNullSafe(F.lit(datatype)))
         elif term in bound:
             matched = matched.where(bound[term] == terms[position])
         else:

@@ -11,20 +11,11 @@ from pyspark.sql.types import StructType
 from .. import schemas
 from .payloads import explode_json_map
 
-# A keyed JSON dictionary is one JSON value, so it is one task's work and must stay small.
-# Larger dictionaries belong in a table (``read_table``).
-MAX_JSON_DICTIONARY_BYTES = 64 * 1024 * 1024
-
-
-def _status(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.getFileStatus(jvm_path) if fs.exists(jvm_path) else None
-
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True if the path is there, on whatever file system its scheme names."""
-    return _status(spark, path) is not None
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
 def read_table(
@@ -62,14 +53,20 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Run log, one JSON object per line."""
+    """Run log, one JSON object per line; no rows where there is none yet."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schemas.METRICS)
     return spark.read.schema(schemas.METRICS).json(path)
 
 
 def read_json_map(spark: SparkSession, path: str, value_schema: StructType = schemas.COORDINATES) -> DataFrame:
-    """One JSON object ``key -> struct`` as rows ``(key, <struct fields>)``."""
-    size = _status(spark, path).getLen()
-    if size > MAX_JSON_DICTIONARY_BYTES:
-        raise ValueError(f"{path}: {size} bytes is too large for one JSON object; store it as a table")
-    text = spark.read.text(path, wholetext=True)
+    """One JSON object ``key -> struct`` as rows ``(key, <struct fields>)``; no rows where there is no file.
+
+    A JSON object is one value and so one task's work: write a dictionary that has grown
+    large to a table once (``write_table``) and read that in parallel.
+    """
+    if path_exists(spark, path):
+        text = spark.read.text(path, wholetext=True)
+    else:
+        text = spark.createDataFrame([], "value string")
     return explode_json_map(text, "value", value_schema).drop("value")

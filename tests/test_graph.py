@@ -211,3 +211,13 @@ def test_forms_that_may_spell_the_same_triple_stay_a_set(spark):
     df = spark.createDataFrame([("a/1", "1", "t"), ("a/2", "3", "t")], "whole string, part string, v string")
     got = [r.s for r in triples_of((df, [wide, narrow])).collect()]
     assert sorted(got) == ["http://x/a/1", "http://x/a/2", "http://x/a/3"]
+
+
+def test_pattern_constants_tell_types_apart(spark):
+    from epilink.operators.patterns import bgp
+
+    whole = "http://www.w3.org/2001/XMLSchema#integer"
+    rows = [("a", "p", "5", "literal", None), ("b", "p", "5", "literal", whole), ("c", "p", '"5"', "literal", None), ("d", "p", "5", "iri", None)]
+    made = spark.createDataFrame(rows, "s string, p string, o string, o_kind string, o_datatype string")
+    for constant, want in (('"5"', "a"), (f'"5"^^<{whole}>', "b"), ('""5""', "c"), ("5", "d")):
+        assert [r.s for r in bgp(made, [("?s", "p", constant)]).collect()] == [want]

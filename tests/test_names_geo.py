@@ -97,3 +97,13 @@ def test_hot_name_keeps_every_row(spark):
         got = resolve_names(names, "raw", alias_table(spark), inline_limit=limit)
         assert got.count() == 3000
         assert got.where("canonical = 'Lahore'").count() == 1000
+
+
+def test_geocode_keeps_one_row_per_row_on_repeated_keys(spark):
+    listed = spark.createDataFrame([("Here", 2.0, 5.0), ("HERE", 1.0, 9.0)], "name string, lat double, lon double")
+    cached = spark.createDataFrame([("there|pakistan", 4.0, 4.0), ("there|pakistan", 3.0, 3.0)], "key string, lat double, lon double")
+    rows = spark.createDataFrame([("here",), ("there",)], "place string")
+    from epilink.operators.geo import geocode
+
+    found = sorted(tuple(r) for r in geocode(rows, "place", cached, listed).collect())
+    assert found == [("here", 1.0, 9.0, "settings_fallback"), ("there", 3.0, 3.0, "cache")]

@@ -105,9 +105,6 @@ def test_json_map(spark, tmp_path, rows, monkeypatch):
     assert rows(read_json_map(spark, str(path))) == [
         ("lahore|pakistan", 31.5, 74.3, "Lahore"), ("x|y", 1.0, None, None)
     ]
-    monkeypatch.setattr(tables, "MAX_JSON_DICTIONARY_BYTES", 10)
-    with pytest.raises(ValueError):
-        read_json_map(spark, str(path))
 
 
 def test_optional_and_recursive_scans(spark, tmp_path, rows):
@@ -162,3 +159,10 @@ def test_observed_counts(spark, tmp_path):
     counted, seen = observe_ingestion(spark.range(10), "run", F.col("id") > 3)
     write_table(counted, f"{tmp_path}/t")
     assert seen.get == {"records_attempted": 10, "records_succeeded": 6}
+
+
+def test_absent_log_and_dictionary_are_empty(spark, tmp_path):
+    from epilink.sources import tables
+
+    assert tables.read_metrics(spark, str(tmp_path / "none")).count() == 0
+    assert tables.read_json_map(spark, str(tmp_path / "none.json")).count() == 0
