@@ -11,6 +11,7 @@ from .operators.metrics import metrics_row, observe_ingestion
 from .plans import ingest, jobs
 from .session import get_session
 from .sinks import append_metrics, publish
+from .sources.payloads import has_reading
 from .streaming import default_sources, run_all, topic_location
 
 
@@ -69,8 +70,9 @@ def _print_all(table) -> None:
 
 
 def _records(kind: str, raw):
+    """Messages of raw rows; news rows are the items of the feeds already."""
     if kind == "news":
-        return ingest.news_records(raw, "value")
+        return raw
     return getattr(ingest, {"alerts": "alert_records"}.get(kind, f"{kind}_records"))(raw)
 
 
@@ -82,7 +84,9 @@ def main(argv: list[str] | None = None) -> None:
         run_all(spark, sources, available_now=args.available_now, interval=args.interval)
     elif args.command == "publish":
         raw = spark.read.parquet(args.input)
-        valid = F.col("value").isNotNull() if args.kind == "weather" else F.lit(True)
+        if args.kind == "news":
+            raw = ingest.news_records(raw, "value")
+        valid = has_reading("value") if args.kind == "weather" else F.lit(True)
         counted, observed = observe_ingestion(raw, args.kind, valid)
         topic, form = topic_location(args.kind, args.folder)
         publish(_records(args.kind, counted.where(valid)), topic, args.servers, format=form)

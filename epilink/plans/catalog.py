@@ -15,9 +15,11 @@ from pyspark.sql.types import StructType
 from .. import schemas, vocabulary
 from ..functions import numeric, records, temporal, text
 from ..operators import aggregates, geo, graph, link, metrics, names, patterns, topn, triples
-from ..session import scratch_path, settle
+from ..session import scratch_path
 from ..sinks import (
     append_metrics,
+    predicate_tags,
+    predicates_of,
     rdfxml_rows,
     to_messages,
     turtle_blocks,
@@ -25,17 +27,21 @@ from ..sinks import (
     write_graph,
     write_ntriples,
     write_table,
+    write_triples,
 )
 from ..sources import (
     explode_json_map,
     flatten_weather,
     parse_feed_items,
     parse_json,
+    parse_ntriples,
     quarantine_json,
     read_metrics,
     read_ntriples,
     read_optional,
     read_table,
+    read_triples,
+    rejected_ntriples,
     stream_folder,
     union_all,
 )
@@ -120,24 +126,16 @@ class Tables:
             F.col("p_brand").alias("status"),
         )
 
-    def small_graph(self) -> DataFrame:
-        """Triples of alerts, policies and weather."""
-        return triples.triples_of(
-            (self.weather(), triples.weather_statements()),
-            (self.alerts(), triples.alert_statements()),
-            (self.policy(), triples.policy_statements()),
-        )
-
     def graph(self) -> DataFrame:
         return triples.knowledge_graph(self.cases(), self.weather(), self.alerts(), self.policy())
 
     def stored_graph(self) -> DataFrame:
-        """The graph computed once, as the graph tables read it in practice.
+        """The graph computed once and stored by predicate, as the graph tables read it in practice.
 
         Over a graph still to be computed Spark would drop its merging of triples in
         favour of the later, coarser grouping and carry every repeat up to there.
         """
-        return settle(self.graph())
+        return read_triples(self.spark, write_triples(self.graph(), scratch_path(self.spark, "triples")))
 
     def spelled_customers(self) -> DataFrame:
         spellings = F.array(*[F.lit(s).cast("string") for s in SPELLINGS], F.concat(F.lit("tehsil "), "c_name"))
@@ -390,17 +388,12 @@ def _feeds(t: Tables) -> DataFrame:
 
 @query
 def feed_items(t: Tables) -> DataFrame:
-    items = parse_feed_items(_feeds(t), "feed")
-    squeezed = F.regexp_replace("title", r"(?U)\s+", "")
-    return items.select("doc_id", "source", "position", squeezed.alias("title"), "link", "published")
+    return parse_feed_items(_feeds(t), "feed").select("doc_id", "source", "position", "title", "link", "published")
 
 
 @query
 def news_items(t: Tables) -> DataFrame:
-    items = ingest.news_records(_feeds(t), "feed")
-    return items.groupBy("source", "published").agg(
-        F.count(F.lit(1)).alias("items"), F.count_if(F.col("link") == "").alias("without_link")
-    )
+    return ingest.news_records(_feeds(t), "feed").select("source", "title", "link", "published")
 
 
 @query
@@ -664,25 +657,63 @@ def ntriples_text(t: Tables) -> DataFrame:
     """Whole documents as literals, escaped to one line each."""
     named = t.documents.select(F.col("doc_id").cast("string").alias("title"), F.col("text").alias("status"))
     made = triples.triples_from(named, triples.policy_statements())
-    path = write_ntriples(made, scratch_path(t.spark, "texts"))
-    return read_ntriples(t.spark, path).where(F.col("p") == vocabulary.NAMESPACE + "status").select("s", "o")
+    return read_ntriples(t.spark, write_ntriples(made, scratch_path(t.spark, "texts")))
+
+
+# Characters that lines, IRIs or literals cannot hold as they are, one kind per document in turn.
+AWKWARD = ["\u0085", "\u2028", "\f", ">", '"', "\\", "\n\t\v", "\\\n\u0001"]
+
+
+@query
+def ntriples_hard_text(t: Tables) -> DataFrame:
+    """Whole documents with awkward characters before and after them, and in the subject."""
+    awkward = F.get(F.array(*map(F.lit, AWKWARD)), F.pmod("doc_id", F.lit(len(AWKWARD))).cast("int"))
+    named = t.documents.select(
+        F.concat(F.col("doc_id").cast("string"), awkward, F.lit("x")).alias("title"), F.concat(awkward, "text", awkward).alias("status")
+    )
+    made = triples.triples_from(named, triples.policy_statements())
+    return read_ntriples(t.spark, write_ntriples(made, scratch_path(t.spark, "hard-texts")))
+
+
+@query
+def ntriples_rejected(t: Tables) -> DataFrame:
+    """Lines of other writers: what is read from them, and those that are no statement."""
+    form, start = F.pmod("doc_id", F.lit(6)), F.concat(F.lit("<http://x/"), "doc_id", F.lit("> <http://x/p> "))
+    line = (
+        F.when(form == 0, F.concat(start, F.lit('"no end .')))
+        .when(form == 1, F.concat(F.lit("# "), "doc_id"))
+        .when(form == 2, F.concat(start, F.lit('"\\q" .')))
+        .when(form == 3, F.concat(start, F.lit('"\\U0001F600\\u00e9\\"" . # a "comment"')))
+        .when(form == 4, F.concat(F.lit("_:b"), "doc_id", F.lit(" <http://x/p> _:c.")))
+        .otherwise(F.concat(start, F.lit("<http://x/\\u003E>.")))
+    )
+    lines = t.documents.select(line.alias("value"))
+    read = parse_ntriples(lines).select("s", "o", F.lit("read").alias("kind"))
+    return read.unionByName(rejected_ntriples(lines).select(F.lit("").alias("s"), F.col("line").alias("o"), F.lit("rejected").alias("kind")))
+
+
+@query
+def bgp_literal(t: Tables) -> DataFrame:
+    """Places with a temperature of 25.0 as a double; their twins hold the same text without a type."""
+    made = triples.triples_from(t.weather(), triples.weather_statements())
+    twins = made.withColumns({"s": F.concat("s", F.lit("/twin")), "o_datatype": F.lit(None).cast("string")})
+    name = vocabulary.NAMESPACE + "temperature"
+    return patterns.bgp(made.unionByName(twins), [("?place", name, f'"25.0"^^<{vocabulary.XSD_DOUBLE}>')])
 
 
 @query
 def turtle_blocks_query(t: Tables) -> DataFrame:
-    return turtle_blocks(settle(t.small_graph())).select("s", "value")
+    return turtle_blocks(t.graph()).select("s", "value")
 
 
 @query
 def rdfxml_rows_query(t: Tables) -> DataFrame:
-    ns = vocabulary.NAMESPACE
-    rows = rdfxml_rows(settle(t.small_graph()), [vocabulary.RDF_TYPE, ns + "hasDisaster", ns + "status"])
-    return rows.select(
-        F.col("`_rdf:about`").alias("s"),
-        F.array_join(F.col("`rdf:type`")["_rdf:resource"], " ").alias("types"),
-        F.array_join(F.col("`ex:hasDisaster`")["_rdf:resource"], " ").alias("disasters"),
-        F.array_join(F.col("`ex:status`")["_VALUE"], " ").alias("statuses"),
-    )
+    """Every statement of the table that is written as RDF/XML."""
+    stored = t.stored_graph()
+    tags, _ = predicate_tags(predicates_of(stored), vocabulary.NAMESPACE)
+    objects = F.array(*[F.struct(F.lit(tag).alias("tag"), F.col(f"`{tag}`").alias("object")) for tag in tags.values()])
+    flat = rdfxml_rows(stored, tags).select(F.col("`_rdf:about`").alias("s"), F.inline(objects)).where(F.col("object").isNotNull())
+    return flat.select("s", "tag", *[F.col(f"object.`{c}`").alias(n) for c, n in (("_rdf:resource", "resource"), ("_rdf:datatype", "datatype"), ("_VALUE", "value"))])
 
 
 @query

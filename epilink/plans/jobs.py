@@ -30,12 +30,6 @@ def link_job(spark: SparkSession, base: str, out: str | None = None, **options)
     return write_table(link_sources(cases, weather, alerts, **options), out or f"{base}/{LINKED_FOLDER}")
 
 
-def graph_predicates(ns: str = vocabulary.NAMESPACE) -> list[str]:
-    """Every predicate the graph uses."""
-    names = ["hasDisease", "caseCount", "temperature", "humidity", "hasDisaster", "severity", "title", "status"]
-    return [vocabulary.RDF_TYPE, *[ns + name for name in names]]
-
-
 def graph_job(
     spark: SparkSession, base: str, out: str, ns: str = vocabulary.NAMESPACE, formats: tuple[str, ...] = ("nt", "ttl", "rdf")
 ) -> int:
@@ -47,14 +41,13 @@ def graph_job(
     if "ttl" in formats:
         write_turtle(triples, f"{out}/knowledge_graph.ttl", ns)
     if "rdf" in formats:
-        write_rdfxml(triples, f"{out}/knowledge_graph.rdf", graph_predicates(ns), ns)
+        write_rdfxml(triples, f"{out}/knowledge_graph.rdf", ns)
     return triples.count()
 
 
 def property_graph_job(spark: SparkSession, graph: str, out: str) -> tuple[str, str]:
     """N-Triples files to node and edge tables, replacing what is there."""
-    triples = settle(read_ntriples(spark, graph))
-    return write_graph(*property_graph(triples), out)
+    return write_graph(*property_graph(read_ntriples(spark, graph)), out)
 
 
 def edge_job(spark: SparkSession, graph: str, out: str) -> str:

@@ -128,21 +128,28 @@ def _long_date(c: str) -> str:
 
 _TURTLE = f"""
 , terms AS (
-  SELECT s, CASE WHEN p = '{RDF_TYPE}' THEN 0 ELSE 1 END AS place,
-    CASE WHEN p = '{RDF_TYPE}' THEN 'a' ELSE replace(p, '{NS}', 'ex:') END AS verb,
-    CASE WHEN o_datatype IS NOT NULL THEN CAST(o AS DOUBLE) END AS number,
+  SELECT s, CASE WHEN p = '{RDF_TYPE}' THEN 'a' ELSE replace(p, '{NS}', 'ex:') END AS verb,
     CASE WHEN o_kind = 'iri' AND contains(o[{len(NS) + 1}:], '/') THEN '<' || o || '>'
          WHEN o_kind = 'iri' THEN replace(o, '{NS}', 'ex:')
          WHEN o_datatype = '{XSD}double' THEN regexp_replace(format('{{:.14e}}', CAST(o AS DOUBLE)), '\\.?0*e', 'e')
          WHEN o_datatype IS NOT NULL THEN o
          ELSE '"' || o || '"' END AS term
   FROM kg
-), verbs AS (
-  SELECT s, place, verb || ' ' || string_agg(term, ',' || chr(10) || '        ' ORDER BY number NULLS FIRST, term) AS line
-  FROM terms GROUP BY s, place, verb
 )
 """
 
+# Awkward characters by document, as in the catalog.
+_AWKWARD = """CASE doc_id % 8 WHEN 0 THEN chr(133) WHEN 1 THEN chr(8232) WHEN 2 THEN chr(12) WHEN 3 THEN '>' WHEN 4 THEN '"'
+  WHEN 5 THEN chr(92) WHEN 6 THEN chr(10) || chr(9) || chr(11) ELSE chr(92) || chr(10) || chr(1) END"""
+
+
+def _policies(title: str, status: str, source: str) -> str:
+    s = f"'{NS}policy/' || replace({title}, ' ', '_') AS s"
+    return f"""SELECT {s}, '{RDF_TYPE}' AS p, '{NS}Policy' AS o, 'iri' AS o_kind, CAST(NULL AS VARCHAR) AS o_datatype FROM {source}
+      UNION SELECT {s}, '{NS}title', {title}, 'literal', NULL FROM {source}
+      UNION SELECT {s}, '{NS}status', {status}, 'literal', NULL FROM {source} WHERE text IS NOT NULL"""
+
+
 ORACLE: dict[str, str] = {
     "link_sources": _with("SELECT * EXCLUDE (top_severity) FROM linked"),
     "link_ranked": _with(
@@ -200,14 +207,15 @@ ORACLE: dict[str, str] = {
           c_nationkey + 0.5::DOUBLE AS lat, c_acctbal AS lon FROM customer""",
     "feed_items": """
         SELECT doc_id, source, CAST(n AS INTEGER) AS position,
-          CASE WHEN n = 0 THEN regexp_replace(text, '[\\s\\p{Z}\\x85\\x0b]+', '', 'g') ELSE lang || n || '&<more>' END AS title,
+          CASE WHEN n = 0 THEN text ELSE lang || ' ' || n || ' & <more>' END AS title,
           CASE WHEN n % 2 = 0 THEN 'http://example.org/' || CASE WHEN n = 0 THEN 0 ELSE doc_id END ELSE '' END AS link,
           CASE WHEN n = 0 THEN 'Tue, 30 Jun 2026' ELSE '' END AS published
         FROM documents, range(7) r(n)""",
     "news_items": """
-        SELECT source, CASE WHEN n = 0 THEN 'Tue, 30 Jun 2026' ELSE '' END AS published, count(*) AS items,
-          count(*) FILTER (n % 2 = 1) AS without_link
-        FROM documents, range(5) r(n) GROUP BY 1, 2""",
+        SELECT source, CASE WHEN n = 0 THEN text ELSE lang || ' ' || n || ' & <more>' END AS title,
+          CASE WHEN n % 2 = 0 THEN 'http://example.org/' || CASE WHEN n = 0 THEN 0 ELSE doc_id END ELSE '' END AS link,
+          CASE WHEN n = 0 THEN 'Tue, 30 Jun 2026' ELSE '' END AS published
+        FROM documents, range(5) r(n)""",
     "top_n_per_source": """
         SELECT source, doc_id, text FROM documents
         QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 5""",
@@ -289,18 +297,21 @@ ORACLE: dict[str, str] = {
         JOIN kg b ON b.s = a.s AND b.p = '{NS}hasDisaster' WHERE a.p = '{NS}hasDisease'"""
     ),
     "ntriples_round_trip": _kg("SELECT * FROM kg"),
-    "ntriples_text": f"SELECT '{NS}policy/' || doc_id AS s, text AS o FROM documents",
-    "turtle_blocks": _kg(
-        """SELECT s, '<' || s || '> ' || string_agg(line, ' ;' || chr(10) || '    ' ORDER BY place, line) || ' .' || chr(10) AS value
-        FROM verbs GROUP BY s""",
-        ("weather", "alerts", "policy"),
-        _TURTLE,
+    "ntriples_text": _policies("CAST(doc_id AS VARCHAR)", "text", "documents"),
+    "ntriples_hard_text": _policies("doc_id || a || 'x'", "a || text || a", f"(SELECT *, {_AWKWARD} AS a FROM documents)"),
+    "ntriples_rejected": r"""
+        SELECT CASE WHEN k = 4 THEN '_:b' || doc_id WHEN k IN (3, 5) THEN 'http://x/' || doc_id ELSE '' END AS s,
+          CASE k WHEN 0 THEN '<http://x/' || doc_id || '> <http://x/p> "no end .' WHEN 2 THEN '<http://x/' || doc_id || '> <http://x/p> "\q" .'
+            WHEN 3 THEN chr(128512) || 'é"' WHEN 4 THEN '_:c' ELSE 'http://x/>' END AS o,
+          CASE WHEN k IN (0, 2) THEN 'rejected' ELSE 'read' END AS kind
+        FROM (SELECT doc_id, doc_id % 6 AS k FROM documents) WHERE k <> 1""",
+    "bgp_literal": _with(
+        f"SELECT DISTINCT '{NS}district/' || replace(district_canonical, ' ', '_') AS place FROM weather WHERE temperature_c = 25"
     ),
+    "turtle_blocks": _kg("SELECT s, '<' || s || '> ' || verb || ' ' || term || ' .' AS value FROM terms", more=_TURTLE),
     "rdfxml_rows": _kg(
-        f"""SELECT s, coalesce(string_agg(o, ' ' ORDER BY o) FILTER (p = '{RDF_TYPE}'), '') AS types,
-          coalesce(string_agg(o, ' ' ORDER BY o) FILTER (p = '{NS}hasDisaster'), '') AS disasters,
-          coalesce(string_agg(o, ' ' ORDER BY o) FILTER (p = '{NS}status'), '') AS statuses FROM kg GROUP BY s""",
-        ("weather", "alerts", "policy"),
+        f"""SELECT s, CASE WHEN p = '{RDF_TYPE}' THEN 'rdf:type' ELSE replace(p, '{NS}', 'ex:') END AS tag,
+          CASE WHEN o_kind = 'iri' THEN o END AS resource, o_datatype AS datatype, CASE WHEN o_kind <> 'iri' THEN o END AS value FROM kg"""
     ),
     "property_nodes": _kg(_NODES, more=_NAMED),
     "property_edges": _kg(_EDGES, more=_NAMED),

@@ -1,5 +1,14 @@
 """Writers: tables, logs, messages, dictionaries and graph files."""
 
-from .graph_files import rdfxml_rows, turtle_blocks, write_ntriples, write_rdfxml, write_turtle, ntriples_lines
+from .graph_files import (
+    ntriples_lines,
+    predicate_tags,
+    predicates_of,
+    rdfxml_rows,
+    turtle_blocks,
+    write_ntriples,
+    write_rdfxml,
+    write_turtle,
+)
 from .messages import publish, to_messages
-from .tables import append_metrics, upsert_by_key, write_graph, write_table
+from .tables import append_metrics, upsert_by_key, write_graph, write_table, write_triples

@@ -1,31 +1,43 @@
 """Triples as N-Triples, Turtle and RDF/XML files.
 
-Turtle and RDF/XML pass over the triples twice, so give them a stored or settled graph.
+Turtle and RDF/XML pass over the triples twice (to sort them, and for their predicates), so give
+them a stored or settled graph. RDF/XML 1.0 has no way to write most control characters.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import vocabulary
 from ..functions.text import exponent_text
-from ..operators.lookup import left_lookup
+from ..sources.ntriples import BACKSLASH, QUOTE
 
-# Turtle and RDF/XML write a subject as one block. A subject with more statements than
-# this is written as several blocks, which mean the same, so no task holds them all.
-STATEMENTS_PER_BLOCK = 10_000
+
+def _spelled(c: Column, characters: list[str]) -> Column:
+    """These characters as ``\\uXXXX``; text without them is only looked at once."""
+    out = c
+    for x in characters:
+        out = F.replace(out, F.lit(x), F.lit(f"\\u{ord(x):04X}"))
+    return F.when(c.rlike("[" + "".join(f"\\x{{{ord(x):x}}}" for x in characters) + "]"), out).otherwise(c)
+
+
+_CONTROLS = [*map(chr, range(32)), BACKSLASH, QUOTE]
+# The backslash comes first, as the others are spelled with one.
+_NOT_IN_IRIS = ["\\", *'<>"{}|^` ', *_CONTROLS]
 
 
 def _escape(c: Column) -> Column:
     for raw, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         c = F.replace(c, F.lit(raw), F.lit(escaped))
-    return c
+    return _spelled(c, [x for x in _CONTROLS if x not in "\n\r\t"])
 
 
 def _iri(c: Column) -> Column:
-    return F.concat(F.lit("<"), c, F.lit(">"))
+    """An IRI in angle brackets; a blank node as it is."""
+    return F.when(F.startswith(c, F.lit("_:")), c).otherwise(F.concat(F.lit("<"), _spelled(c, _NOT_IN_IRIS), F.lit(">")))
 
 
 def ntriples_lines(triples: DataFrame) -> DataFrame:
@@ -47,19 +59,6 @@ def write_ntriples(triples: DataFrame, path: str) -> str:
     return path
 
 
-def _blocks(triples: DataFrame, per_block: int) -> DataFrame:
-    """Add ``block``: 0 for all statements of a subject, or a spread over several if it is large."""
-    large = (
-        triples.groupBy("s")
-        .agg(F.count(F.lit(1)).alias("_size"))
-        .where(F.col("_size") > per_block)
-        .select("s", F.ceil(F.col("_size") / F.lit(per_block)).alias("_blocks"))
-    )
-    marked = left_lookup(triples, large, ["s"])
-    spread = F.pmod(F.xxhash64("p", "o", "o_datatype"), F.col("_blocks"))
-    return marked.withColumn("block", F.coalesce(spread, F.lit(0))).drop("_blocks")
-
-
 def _short(c: Column, ns: str) -> Column:
     """``ex:name`` for a plain name right below the namespace, else the whole IRI."""
     rest = F.substr(c, F.lit(len(ns) + 1))
@@ -84,10 +83,11 @@ def _scientific(c: Column) -> Column:
     )
 
 
-def turtle_blocks(
-    triples: DataFrame, ns: str = vocabulary.NAMESPACE, per_block: int = STATEMENTS_PER_BLOCK
-) -> DataFrame:
-    """One row ``(s, block, value)`` per subject block, the type first, then by predicate."""
+def turtle_blocks(triples: DataFrame, ns: str = vocabulary.NAMESPACE) -> DataFrame:
+    """One row ``(s, place, verb, number, term, value)`` per statement; ``place`` puts the type first.
+
+    Every statement is a block of its own, so that a subject may have any number of them.
+    """
     o = F.col("o")
     quoted = F.concat(F.lit('"'), _escape(o), F.lit('"'))
     number = F.when(F.col("o_datatype").isin(vocabulary.XSD_INTEGER, vocabulary.XSD_DOUBLE), o.try_cast("double"))
@@ -99,34 +99,20 @@ def turtle_blocks(
         .otherwise(F.concat(quoted, F.lit("^^"), _iri(F.col("o_datatype"))))
     )
     is_type = F.col("p") == vocabulary.RDF_TYPE
-    verb = F.when(is_type, F.lit("a")).otherwise(_short(F.col("p"), ns))
-    rows = (
-        _blocks(triples, per_block)
-        .select(
-            "s",
-            "block",
-            F.when(is_type, 0).otherwise(1).alias("place"),
-            verb.alias("verb"),
-            F.struct(number.alias("number"), term.alias("term")).alias("object"),
-        )
-        # One shuffle serves both groupings below.
-        .repartition("s", "block")
+    rows = triples.select(
+        "s",
+        F.when(is_type, 0).otherwise(1).alias("place"),
+        F.when(is_type, F.lit("a")).otherwise(_short(F.col("p"), ns)).alias("verb"),
+        number.alias("number"),
+        term.alias("term"),
     )
-    by_verb = rows.groupBy("s", "block", "place", "verb").agg(F.array_sort(F.collect_list("object")).alias("objects"))
-    line = F.concat(F.col("verb"), F.lit(" "), F.array_join(F.col("objects.term"), ",\n        "))
-    by_subject = by_verb.groupBy("s", "block").agg(
-        F.array_sort(F.collect_list(F.struct("place", line.alias("line")))).alias("lines")
-    )
-    text = F.concat(_iri(F.col("s")), F.lit(" "), F.array_join(F.col("lines.line"), " ;\n    "), F.lit(" .\n"))
-    return by_subject.select("s", "block", text.alias("value"))
+    return rows.withColumn("value", F.concat_ws(" ", _iri(F.col("s")), "verb", "term", F.lit(".")))
 
 
-def write_turtle(
-    triples: DataFrame, path: str, ns: str = vocabulary.NAMESPACE, per_block: int = STATEMENTS_PER_BLOCK
-) -> str:
-    """Turtle files, each sorted by subject; every file starts with the prefixes and stands alone."""
+def write_turtle(triples: DataFrame, path: str, ns: str = vocabulary.NAMESPACE) -> str:
+    """Turtle files sorted by subject; every file starts with the prefixes and stands alone."""
     prefixes = f"@prefix ex: <{ns}> .\n@prefix xsd: <{vocabulary.XSD_NAMESPACE}> .\n\n"
-    ordered = turtle_blocks(triples, ns, per_block).sortWithinPartitions("s", "block")
+    ordered = turtle_blocks(triples, ns).orderBy("s", "place", "verb", "number", "term")
     # The low 33 bits count the rows of a partition, so they are zero on its first row.
     row_in_file = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     headed = ordered.select(
@@ -136,40 +122,51 @@ def write_turtle(
     return path
 
 
-def rdfxml_rows(
-    triples: DataFrame,
-    predicates: Sequence[str],
-    ns: str = vocabulary.NAMESPACE,
-    per_block: int = STATEMENTS_PER_BLOCK,
-) -> DataFrame:
-    """One row per subject block: the subject and an array of objects per predicate."""
-    is_iri = F.col("o_kind") == "iri"
+def predicate_tags(predicates: Sequence[str], ns: str) -> tuple[dict[str, str], dict[str, str]]:
+    """Prefixed names of predicates, and the namespaces of the prefixes."""
+    spaces = {ns: "ex", vocabulary.RDF_NAMESPACE: "rdf"}
+    tags = {}
+    for p in sorted(predicates):
+        name = re.search(r"[A-Za-z_][A-Za-z0-9_.-]*$", p)
+        if name is None or name.start() == 0:
+            raise ValueError(f"no XML name for the predicate {p!r}")
+        space = p[: name.start()]
+        tags[p] = f"{spaces.setdefault(space, f'ns{len(spaces) - 1}')}:{name[0]}"
+    return tags, {prefix: space for space, prefix in spaces.items()}
+
+
+def predicates_of(triples: DataFrame) -> list[str]:
+    """The distinct predicates, a vocabulary: they become the columns of the RDF/XML table."""
+    return sorted(row.p for row in triples.select("p").distinct().toLocalIterator())
+
+
+def rdfxml_rows(triples: DataFrame, tags: dict[str, str]) -> DataFrame:
+    """One row per statement: the subject, and the object in the column of its predicate's tag.
+
+    ``tags`` names every predicate; rows of a subject need not be in one place.
+    """
+    is_iri, blank = F.col("o_kind") == "iri", F.startswith("o", F.lit("_:"))
+    label = lambda c: F.substr(c, F.lit(3))
     term = F.struct(
-        F.when(is_iri, F.col("o")).alias("_rdf:resource"),
+        F.when(is_iri & ~blank, F.col("o")).alias("_rdf:resource"),
+        F.when(is_iri & blank, label(F.col("o"))).alias("_rdf:nodeID"),
         F.col("o_datatype").alias("_rdf:datatype"),
         F.when(~is_iri, F.col("o")).alias("_VALUE"),
     )
-    rows = _blocks(triples, per_block).select("s", "block", "p", term.alias("term"))
-
-    def tag(p: str) -> str:
-        return "rdf:type" if p == vocabulary.RDF_TYPE else f"ex:{p.removeprefix(ns)}"
-
-    per_predicate = [F.array_sort(F.collect_list(F.when(F.col("p") == p, F.col("term")))).alias(tag(p)) for p in predicates]
-    grouped = rows.groupBy("s", "block").agg(*per_predicate)
-    return grouped.select(F.col("s").alias("_rdf:about"), *[F.col(f"`{tag(p)}`") for p in predicates])
+    anonymous = F.startswith("s", F.lit("_:"))
+    return triples.select(
+        F.when(~anonymous, F.col("s")).alias("_rdf:about"),
+        F.when(anonymous, label(F.col("s"))).alias("_rdf:nodeID"),
+        *[F.when(F.col("p") == p, term).alias(tag) for p, tag in tags.items()],
+    )
 
 
-def write_rdfxml(
-    triples: DataFrame,
-    path: str,
-    predicates: Sequence[str],
-    ns: str = vocabulary.NAMESPACE,
-    per_block: int = STATEMENTS_PER_BLOCK,
-) -> str:
-    """RDF/XML files, each a document of its own, with the statements of these predicates."""
-    root = f'rdf:RDF xmlns:ex="{ns}" xmlns:rdf="{vocabulary.RDF_NAMESPACE}"'
+def write_rdfxml(triples: DataFrame, path: str, ns: str = vocabulary.NAMESPACE) -> str:
+    """RDF/XML files with all statements, each file a document of its own."""
+    tags, spaces = predicate_tags(predicates_of(triples), ns)
+    root = " ".join(["rdf:RDF", *[f'xmlns:{prefix}="{space}"' for prefix, space in spaces.items()]])
     (
-        rdfxml_rows(triples, predicates, ns, per_block)
+        rdfxml_rows(triples, tags)
         .write.mode("overwrite")
         .format("xml")
         .option("rootTag", root)

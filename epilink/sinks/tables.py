@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.lookup import broadcast_if_small
-from ..operators.topn import latest_per
+from ..operators.topn import top_n_per
 from ..session import settle
 
 
@@ -33,11 +33,12 @@ def upsert_by_key(old: DataFrame, new: DataFrame, key: str, order_by: str | None
     """Dictionary after an update: new entries win, other old ones stay.
 
     ``old`` has one row per key. Where ``new`` repeats a key, the row with the
-    largest ``order_by`` counts. The changes are computed once; if their keys are
+    largest ``order_by`` counts; equal ones, or all without ``order_by``, are told
+    apart by their content, so reruns agree. The changes are computed once; if their keys are
     few the old side is filtered where it lies and nothing of it is shuffled.
     Write the result to a new path.
     """
-    changes = settle(latest_per(new, [key], order_by) if order_by else new.dropDuplicates([key]))
+    changes = settle(top_n_per(new, [key], [*([F.col(order_by).desc()] if order_by else []), F.to_json(F.struct(*new.columns))], 1))
     kept = old.join(broadcast_if_small(changes.select(key)), key, "left_anti")
     return kept.unionByName(changes)
 
@@ -45,3 +46,8 @@ def upsert_by_key(old: DataFrame, new: DataFrame, key: str, order_by: str | None
 def write_graph(nodes: DataFrame, edges: DataFrame, path: str) -> tuple[str, str]:
     """Replace the property graph at ``path`` by these nodes and edges."""
     return write_table(nodes, f"{path}/nodes"), write_table(edges, f"{path}/edges")
+
+
+def write_triples(triples: DataFrame, path: str) -> str:
+    """Store a graph by predicate, so that a pattern reads only the files of its own."""
+    return write_table(triples, path, "p")

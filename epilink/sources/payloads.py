@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from .. import schemas
@@ -55,6 +55,11 @@ def flatten_weather(df: DataFrame, json_col: str = "value") -> DataFrame:
     )
 
 
+def has_reading(json_col: str = "value") -> Column:
+    """Whether a current-weather payload can be parsed and holds a reading."""
+    return F.from_json(F.col(json_col).cast("string"), schemas.WEATHER_PAYLOAD)["current"].isNotNull()
+
+
 # RSS items and Atom entries; an Atom link may be repeated and sits in an attribute.
 _FEED = (
     "channel STRUCT<item: ARRAY<STRUCT<title: STRING, link: STRING, pubDate: STRING>>>, "

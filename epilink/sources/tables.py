@@ -70,3 +70,8 @@ def read_json_map(spark: SparkSession, path: str, value_schema: StructType = sch
     else:
         text = spark.createDataFrame([], "value string")
     return explode_json_map(text, "value", value_schema).drop("value")
+
+
+def read_triples(spark: SparkSession, path: str) -> DataFrame:
+    """A graph stored by predicate."""
+    return read_table(spark, path, schema=schemas.TRIPLES).select(*schemas.TRIPLES.names)

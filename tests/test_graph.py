@@ -9,9 +9,8 @@ from epilink import schemas, vocabulary
 from epilink.operators.graph import edge_table, graph_nodes, property_graph, route_triples
 from epilink.operators.patterns import bgp, policy_status
 from epilink.operators.triples import knowledge_graph, policy_statements, triples_from, union_triples
-from epilink.plans.jobs import graph_predicates
-from epilink.sinks import turtle_blocks, write_graph, write_ntriples, write_rdfxml, write_turtle
-from epilink.sources import parse_ntriples, read_ntriples
+from epilink.sinks import predicate_tags, turtle_blocks, write_graph, write_ntriples, write_rdfxml, write_triples, write_turtle
+from epilink.sources import parse_ntriples, read_ntriples, read_rejected_ntriples, read_triples, rejected_ntriples
 
 NS = vocabulary.NAMESPACE
 RDF, XSD = vocabulary.RDF_NAMESPACE, vocabulary.XSD_NAMESPACE
@@ -85,54 +84,83 @@ def test_ntriples_of_other_writers(spark, rows):
     )
 
 
-def test_turtle_layout(graph):
-    blocks = {r.s: r.value for r in turtle_blocks(graph).collect()}
-    assert blocks[ex("district/Dera_Ghazi_Khan")] == (
-        f"<{NS}district/Dera_Ghazi_Khan> a ex:District ;\n"
-        "    ex:caseCount 5,\n        30 ;\n"
-        f"    ex:hasDisaster <{NS}disaster/flood> ;\n"
-        f"    ex:hasDisease <{NS}disease/dengue>,\n        <{NS}disease/ili>,\n        <{NS}disease/malaria> ;\n"
-        "    ex:humidity 4e+01 ;\n"
-        '    ex:severity "moderate" ;\n'
-        "    ex:temperature 3.46e+01,\n        4.02e+01 .\n"
-    )
-    assert blocks[ex('policy/Plan_"B"_\\_draft')].endswith('ex:title "Plan \\"B\\" \\\\ draft" .\n')
+def test_ntriples_keep_any_text(spark, tmp_path, rows):
+    odd = ["", "\\", "\\\\\"", '"', "\n\r\t\f\v\b\0\x1f\x01", "a\u0085b\u2028c\u2029", "\U0001f600\ufdd0\ufdd1", "\\u0041 \\U00000041 \\'", "'", '" . # no comment', "a" * 5000 + "\n\\" * 5000]
+    data = [(f"http://x/{x}", f"http://x/{x[:9]}", x, kind, type_) for x in odd for kind, type_ in (("literal", None), ("literal", "http://t/>"), ("iri", None)) if x]
+    data += [("_:a", "http://x/p", "_:b", "iri", None), ("_:a", "http://x/p", "_:b", "literal", None)]
+    made = spark.createDataFrame(data, schemas.TRIPLES)
+    path = write_ntriples(made, f"{tmp_path}/odd.nt")
+    assert rows(read_ntriples(spark, path)) == rows(made)
+    assert read_rejected_ntriples(spark, path).count() == 0
+
 
+def test_ntriples_that_are_rejected(spark, rows):
+    good = ["", "  # note", '<a> <b> "x" . # "y"', '_:a.b <b> _:c .', "<a><b><c>.", '<a> <b> "\\uD83D\\uDE00\\U00000022"@en .']
+    bad = ["<a> <b> .", '<a> <b> "x"', '<a> <b> "x"y" .', '<a> <b> "\\q" .', '<a> <b> "\\uD83D" .', '<a> <b> "\\U00110000" .', '<a> <b\\q> "" .', '"a" <b> <c> .', '<a> <b> "\ufdd0" .', '<a> <b> "\\" .']
+    lines = spark.createDataFrame([(x,) for x in [*good, *bad, None]], "value string")
+    assert rows(rejected_ntriples(lines)) == sorted(((x,) for x in bad), key=repr)
+    assert {r.o for r in parse_ntriples(lines).collect()} == {"x", "_:c", "c", '\U0001f600"'}
 
-def turtle_statements(text):
-    """Count the objects of every block of our own layout."""
-    body = re.sub(r"^@prefix.*$", "", text, flags=re.M)
-    blocks = [b for b in re.split(r" \.\n", body) if b.strip()]
-    return sum(b.count(",\n") + b.count(" ;\n") + 1 for b in blocks), len(blocks)
 
+def test_stored_graph_is_read_by_predicate(spark, graph, tmp_path, rows):
+    stored = read_triples(spark, write_triples(graph, f"{tmp_path}/stored"))
+    assert rows(stored) == rows(graph)
+    found = policy_status(stored)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(p#" in text and "ExistingRDD" not in text
+    assert rows(found) == rows(policy_status(graph))
 
-def test_turtle_files_and_split_blocks(graph, tmp_path):
-    total = graph.count()
-    for per_block in (10_000, 2):
-        folder = Path(write_turtle(graph, f"{tmp_path}/{per_block}.ttl", per_block=per_block))
-        texts = [f.read_text() for f in folder.glob("part-*") if f.stat().st_size]
-        assert all(t.startswith("@prefix ex: <") and t.count("@prefix ex:") == 1 for t in texts)
-        counted = [turtle_statements(t) for t in texts]
-        assert sum(n for n, _ in counted) == total
-        subjects = graph.select("s").distinct().count()
-        assert sum(b for _, b in counted) == subjects if per_block > 2 else sum(b for _, b in counted) > subjects
 
+def test_turtle_layout(graph):
+    statements = [r.value for r in turtle_blocks(graph).where(F.col("s") == ex("district/Dera_Ghazi_Khan")).orderBy("place", "verb", "number", "term").collect()]
+    place = f"<{NS}district/Dera_Ghazi_Khan>"
+    assert statements == [
+        f"{place} {x} ."
+        for x in [
+            "a ex:District",
+            "ex:caseCount 5",
+            "ex:caseCount 30",
+            f"ex:hasDisaster <{NS}disaster/flood>",
+            *[f"ex:hasDisease <{NS}disease/{d}>" for d in ("dengue", "ili", "malaria")],
+            "ex:humidity 4e+01",
+            'ex:severity "moderate"',
+            "ex:temperature 3.46e+01",
+            "ex:temperature 4.02e+01",
+        ]
+    ]
+    titled = turtle_blocks(graph).where((F.col("s") == ex('policy/Plan_"B"_\\_draft')) & (F.col("verb") == "ex:title")).first()
+    assert titled.value == f'<{NS}policy/Plan_\\u0022B\\u0022_\\u005C_draft> ex:title "Plan \\"B\\" \\\\ draft" .'
 
-@pytest.mark.parametrize("per_block", [10_000, 2])
-def test_rdfxml_files_hold_every_triple(graph, tmp_path, rows, per_block):
-    folder = Path(write_rdfxml(graph, f"{tmp_path}/g.rdf", graph_predicates(), per_block=per_block))
+
+def test_turtle_files(graph, tmp_path):
+    folder = Path(write_turtle(graph, f"{tmp_path}/g.ttl"))
+    texts = [f.read_text() for f in sorted(folder.glob("part-*")) if f.stat().st_size]
+    assert all(t.startswith("@prefix ex: <") and t.count("@prefix ex:") == 1 for t in texts)
+    lines = [line for t in texts for line in t.split("\n") if line.startswith("<")]
+    assert len(lines) == graph.count()
+    subjects = [line.split(" ")[0] for line in lines]
+    assert sum(a != b for a, b in zip(subjects, subjects[1:])) + 1 == len(set(subjects))
+
+
+def test_rdfxml_files_hold_every_triple(spark, graph, tmp_path, rows):
+    more = [("http://x/a", "http://y/z#knows", "http://x/b", "iri", None), ("_:n1", "http://y/z#knows", "_:n2", "iri", None), ("http://x/a", "http://w/name", "n", "literal", None)]
+    whole = graph.unionByName(spark.createDataFrame(more, schemas.TRIPLES))
+    folder = Path(write_rdfxml(whole, f"{tmp_path}/g.rdf"))
     found = set()
+    node_name = lambda a, key: a.get(f"{{{RDF}}}{key}") or (f"_:{a[f'{{{RDF}}}nodeID']}" if f"{{{RDF}}}nodeID" in a else None)
     for file in folder.glob("part-*"):
         root = ET.parse(file).getroot()
         assert root.tag == f"{{{RDF}}}RDF"
         for node in root:
-            s = node.attrib[f"{{{RDF}}}about"]
+            s = node_name(node.attrib, "about")
             for child in node:
                 p = child.tag[1:].replace("}", "")
-                resource, datatype = child.attrib.get(f"{{{RDF}}}resource"), child.attrib.get(f"{{{RDF}}}datatype")
-                found.add((s, p, resource or child.text, "iri" if resource else "literal", datatype))
+                resource = node_name(child.attrib, "resource")
+                found.add((s, p, resource or child.text, "iri" if resource else "literal", child.attrib.get(f"{{{RDF}}}datatype")))
     flat = lambda t: (t[0], t[1], re.sub(r"\s", " ", t[2]), t[3], t[4])
-    assert {flat(t) for t in found} == {flat(t) for t in rows(graph)}
+    assert {flat(t) for t in found} == {flat(t) for t in rows(whole)}
+    with pytest.raises(ValueError):
+        predicate_tags(["http://x/1"], NS)
 
 
 def test_policy_status(graph, rows):

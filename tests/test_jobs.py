@@ -64,14 +64,14 @@ def test_pipeline_by_command_line(spark, tmp_path, capsys):
         "district string, disease string, case_count int, idsr_compliance_pct double",
     ).write.parquet(f"{raw}/surveillance")
     spark.createDataFrame(
-        [("Lahore", '{"current": {"temperature_2m": 31.5, "relative_humidity_2m": 68.0}}'), ("D.G Khan", None)], "district string, value string"
+        [("Lahore", '{"current": {"temperature_2m": 31.5, "relative_humidity_2m": 68.0}}'), ("D.G Khan", None), ("Karachi", "{broken")], "district string, value string"
     ).write.parquet(f"{raw}/weather")
     spark.createDataFrame([("Lahore", "flood", "severe")], "district string, event_type string, severity string").write.parquet(f"{raw}/alerts")
     spark.createDataFrame(
         [("Plan A", "Water Policy", "Draft", 2026, "S", ["Water"])],
         "title string, policy_type string, status string, year int, summary string, sectors array<string>",
     ).write.parquet(f"{raw}/policy")
-    spark.createDataFrame([("F", "<rss><channel><item><title>t</title></item></channel></rss>")], "source string, value string").write.parquet(f"{raw}/news")
+    spark.createDataFrame([("F", "<rss><channel>" + "<item><title>t</title></item>" * 7 + "</channel></rss>")], "source string, value string").write.parquet(f"{raw}/news")
 
     for kind in vocabulary.TOPICS:
         main(["publish", kind, "--input", f"{raw}/{kind}", "--folder", topics, "--metrics-log", log])
@@ -89,7 +89,7 @@ def test_pipeline_by_command_line(spark, tmp_path, capsys):
     shown = capsys.readouterr().out
     assert "NIH" in shown and "RSS/Media" in shown
     assert {(r.source, r.records_attempted, r.records_succeeded) for r in spark.read.schema(schemas.METRICS).json(log).collect()} == {
-        ("NIH", 4, 4), ("WEATHER", 2, 1), ("NDMA", 1, 1), ("Policy", 1, 1), ("RSS/Media", 1, 1)
+        ("NIH", 4, 4), ("WEATHER", 3, 1), ("NDMA", 1, 1), ("Policy", 1, 1), ("RSS/Media", 5, 5)
     }
 
     main(["graph", "--base", base, "--out", f"{tmp_path}/kg"])
