@@ -11,6 +11,7 @@ from .operators.metrics import metrics_row, observe_ingestion
 from .plans import ingest, jobs
 from .session import get_session
 from .sinks import append_metrics, publish
+from .sources import read_json_map, read_table
 from .sources.payloads import has_reading
 from .streaming import default_sources, run_all, topic_location
 
@@ -34,6 +35,9 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--servers", default=vocabulary.BOOTSTRAP_SERVERS)
     c.add_argument("--metrics-log", required=True)
     c.add_argument("--folder", help="write topics as text files below this folder instead of a broker")
+    c.add_argument("--aliases", help="Parquet table alias, canonical, province, rank instead of the built-in places")
+    c.add_argument("--gazetteer", help="JSON object of name|country to lat and lon instead of the built-in one")
+    c.add_argument("--fallback", help="Parquet table name, lat, lon instead of the built-in points")
 
     c = commands.add_parser("link", help="link cases with weather and alerts")
     c.add_argument("--base", required=True)
@@ -69,11 +73,19 @@ def _print_all(table) -> None:
         print(*row, sep="\t")
 
 
-def _records(kind: str, raw):
+def _dictionaries(spark, args) -> dict:
+    """Place dictionaries that were given, by the names ``plans.ingest`` takes them under."""
+    readers = {"aliases": read_table, "gazetteer": read_json_map, "fallback": read_table}
+    return {name: read(spark, getattr(args, name)) for name, read in readers.items() if getattr(args, name)}
+
+
+def _records(kind: str, raw, dictionaries: dict):
     """Messages of raw rows; news rows are the items of the feeds already."""
     if kind == "news":
         return raw
-    return getattr(ingest, {"alerts": "alert_records"}.get(kind, f"{kind}_records"))(raw)
+    if kind == "policy":
+        return ingest.policy_records(raw)
+    return getattr(ingest, {"alerts": "alert_records"}.get(kind, f"{kind}_records"))(raw, **dictionaries)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -89,7 +101,7 @@ def main(argv: list[str] | None = None) -> None:
         valid = has_reading("value") if args.kind == "weather" else F.lit(True)
         counted, observed = observe_ingestion(raw, args.kind, valid)
         topic, form = topic_location(args.kind, args.folder)
-        publish(_records(args.kind, counted.where(valid)), topic, args.servers, format=form)
+        publish(_records(args.kind, counted.where(valid), _dictionaries(spark, args)), topic, args.servers, format=form)
         counts = observed.get
         row = metrics_row(
             spark, vocabulary.METRIC_TAGS[args.kind], counts["records_attempted"], counts["records_succeeded"]

@@ -451,6 +451,17 @@ def geocode(t: Tables) -> DataFrame:
     return geo.geocode(named, "place", gazetteer, fallback)
 
 
+@query
+def geocode_duplicates(t: Tables) -> DataFrame:
+    """Dictionaries with an entry per customer, so that every place comes many times."""
+    at = t.customer.select("c_nationkey", F.col("c_acctbal").alias("lat"), F.col("c_custkey").cast("double").alias("lon"))
+    place = F.concat(F.lit("Nation_"), F.col("c_nationkey"))
+    gazetteer = at.where("c_nationkey < 15").select(text.gazetteer_key(place, F.lit("Pakistan")).alias("key"), "lat", "lon")
+    spelled = F.when(F.col("lon") % 2 == 0, F.upper(place)).otherwise(place)
+    fallback = at.where("c_nationkey BETWEEN 10 AND 19").select(spelled.alias("name"), "lat", "lon")
+    return geo.geocode(t.customer.select("c_custkey", place.alias("place")), "place", gazetteer, fallback)
+
+
 @query
 def upsert_by_key_query(t: Tables) -> DataFrame:
     """Supplier balances replaced by their latest return."""

@@ -247,6 +247,12 @@ ORACLE: dict[str, str] = {
           CASE WHEN c_nationkey < 20 THEN 70.25::DOUBLE END AS lon,
           CASE WHEN c_nationkey < 15 THEN 'cache' WHEN c_nationkey < 20 THEN 'settings_fallback' ELSE 'unresolved' END AS geocode_source
         FROM customer""",
+    "geocode_duplicates": """
+        SELECT c_custkey, 'Nation_' || c_nationkey AS place,
+          CASE WHEN c_nationkey < 20 THEN first_value(c_acctbal) OVER w END AS lat,
+          CASE WHEN c_nationkey < 20 THEN CAST(first_value(c_custkey) OVER w AS DOUBLE) END AS lon,
+          CASE WHEN c_nationkey < 15 THEN 'cache' WHEN c_nationkey < 20 THEN 'settings_fallback' ELSE 'unresolved' END AS geocode_source
+        FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey)""",
     "upsert_by_key": """
         SELECT s_suppkey, amount, seq FROM (
           SELECT s_suppkey, s_acctbal AS amount, 0::BIGINT AS seq, 0 AS age FROM supplier

@@ -105,6 +105,24 @@ def test_pipeline_by_command_line(spark, tmp_path, capsys):
     assert {r.cases for r in spark.read.parquet(f"{tmp_path}/sum/cases").collect()} == {49}
 
 
+def test_publish_with_own_dictionaries(spark, tmp_path):
+    raw, topics = f"{tmp_path}/raw", f"{tmp_path}/topics"
+    spark.createDataFrame([("old town",), ("Elsewhere",), ("Lahore",)], "district string").selectExpr(
+        "district", "'ili' AS disease", "1 AS case_count", "1.0D AS idsr_compliance_pct"
+    ).write.parquet(raw)
+    spark.createDataFrame([("old town", "Newtown", "North", 0)], "alias string, canonical string, province string, rank int").write.parquet(f"{tmp_path}/aliases")
+    spark.createDataFrame([("elsewhere", 3.0, 4.0)], "name string, lat double, lon double").write.parquet(f"{tmp_path}/fallback")
+    (tmp_path / "gazetteer.json").write_text('{"newtown|pakistan": {"lat": 1.0, "lon": 2.0}}')
+    main(
+        ["publish", "surveillance", "--input", raw, "--folder", topics, "--metrics-log", f"{tmp_path}/log", "--aliases", f"{tmp_path}/aliases"]
+        + ["--gazetteer", f"{tmp_path}/gazetteer.json", "--fallback", f"{tmp_path}/fallback"]
+    )
+    sent = parse_json(spark.read.text(f"{topics}/{vocabulary.TOPICS['surveillance']}"), schemas.SURVEILLANCE)
+    assert {(r.district, r.district_canonical, r.province, r.lat, r.lon) for r in sent.collect()} == {
+        ("old town", "Newtown", "North", 1.0, 2.0), ("Elsewhere", "Elsewhere", "UNKNOWN", 3.0, 4.0), ("Lahore", "Lahore", "UNKNOWN", None, None)
+    }
+
+
 def test_link_needs_cases_and_weather(spark, tmp_path):
     assert jobs.link_job(spark, str(tmp_path)) is None
 
