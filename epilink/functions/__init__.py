@@ -21,7 +21,6 @@ from .temporal import (
     with_epi_week_key,
 )
 from .text import (
-    contains_either_way,
     float_text,
     gazetteer_key,
     local_name,

@@ -43,10 +43,6 @@ def python_title(c: Column) -> Column:
     return F.when(beyond_ascii | letter_after_other, by_run).otherwise(F.initcap(c))
 
 
-def contains_either_way(a: Column, b: Column) -> Column:
-    return F.contains(a, b) | F.contains(b, a)
-
-
 def gazetteer_key(name: Column, country: Column) -> Column:
     """``lahore|pakistan``"""
     return F.concat(F.lower(python_strip(name)), F.lit("|"), F.lower(country))

@@ -90,4 +90,3 @@ RDF_NAMESPACE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
 XSD_NAMESPACE = "http://www.w3.org/2001/XMLSchema#"
 XSD_INTEGER = XSD_NAMESPACE + "integer"
 XSD_DOUBLE = XSD_NAMESPACE + "double"
-CLASSES = ["District", "Disease", "Weather", "Disaster", "Policy"]
