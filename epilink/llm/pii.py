@@ -23,11 +23,12 @@ from epilink.llm.tables import row_key, stored
 
 # What a base finding looks like, in the order in which kinds are listed. Runs that
 # cannot be cut differently are possessive, and begin where they can (``\G``: after the last match).
+# A repeated group must be possessive: Java matches any other by recursion, which long runs overflow.
 KINDS = ("email", "ip", "card", "phone")
 _PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9]){13,}",
+    "card": r"[0-9](?:[\x20-]?+[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"

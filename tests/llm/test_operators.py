@@ -233,6 +233,15 @@ def test_pii_base_is_brute_force(spark, odd):
     assert got[2].n_email == 0 and pii.digest(pii.findings(docs)).count() == docs.count()
 
 
+def test_pii_long_runs_of_digits(spark):
+    for sign in " -":
+        long = "see " + sign.join("1234567890"[i % 10] for i in range(100_000)) + " and 4111 1111 1111 1111"
+        rows = [(1, long + "\n4111-1111-1111-1111", "en", "a", 1), (2, "4111 1111 1111 1111 ", "en", "a", 1)]
+        got = {r.doc_id: r for r in pii.findings(spark.createDataFrame(rows, DOCS)).collect()}
+        assert [f.value for f in got[1].card] == ["4111 1111 1111 1111", "4111-1111-1111-1111"]
+        assert [(f.start, f.end) for f in got[2].card] == [(0, 19)]
+
+
 def test_pii_terms_that_reveal(spark):
     rows = [(i, f"call gandalf greyhame now bob@example.com {'often' if i % 2 else 'seldom'}\nother line", "en", "a", 1) for i in range(5)]
     rows += [(50 + i, f"call somebody now number{i} often seldom", "en", "a", 1) for i in range(40)]
