@@ -1,7 +1,8 @@
 """Visible text of web pages, laid out as blocks, lists and tables.
 
 A tree is built from the tags of a page: void elements hold nothing, an element that its
-successor implies closed is closed (``li``, ``p``, ``td``, ``tr``, ``option`` and so on), an end tag closes up to its
+successor implies closed is closed (``li``, ``p``, ``td``, ``tr``, ``option`` and so on; ``head`` by whatever
+belongs to the body, text too), an end tag closes up to its
 element if that is open and is passed over otherwise. Scripts, styles, comments, ``head`` but for
 nothing, templates, controls without text, elements with ``hidden`` or ``aria-hidden="true"``, and those whose style says
 ``display:none`` or ``visibility:hidden`` are invisible. White space collapses except in ``pre`` and ``textarea``. Blocks
@@ -41,6 +42,8 @@ IMPLIED = {
     "p": BLOCK - set("caption dd dt html body legend li option optgroup tbody td tfoot th thead tr summary".split()) | set("li dd dt".split()),
 }
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}, "tbody": {"table"}, "thead": {"table"}, "tfoot": {"table"}}
+#: What an open ``head`` takes in; any other start tag and any text but white space close it.
+_HEAD = set("base link meta noframes noscript script style template title".split())
 _WALL = {"table", "td", "th", "body", "html"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -75,7 +78,10 @@ def tree(html: str) -> Node:
 
     def text(s: str) -> None:
         if s:
-            open_[-1].children.append(unescape(s))
+            s = unescape(s)
+            if open_[-1].tag == "head" and s.strip(" \t\n\r\f"):
+                open_.pop()
+            open_[-1].children.append(s)
 
     while m := _TOKEN.search(html, at):
         text(html[at : m.start()])
@@ -99,6 +105,8 @@ def tree(html: str) -> Node:
                 break
         if tag in ("html", "body") and any(n.tag == tag for n in open_):
             continue
+        if open_[-1].tag == "head" and tag not in _HEAD:
+            open_.pop()
         node = Node(tag, tag in HIDDEN)
         if m[3]:
             a = _attributes(m[3])

@@ -291,6 +291,9 @@ PAGES = {
     "<div>a</div><div>b</div>": "a\nb",
     "</p></div>a<b>": "a",
     "<title>t</title><body>b": "b",
+    "<html><head><title>t</title><p>Hello <b>you</b>": "Hello you",
+    "<head>\n<meta name=a><noscript><img alt=x></noscript><script>s</script> text": "text",
+    "<head><base href=a><template><p>x</template><link><style>s</style><h1>a</h1></head>b": "a\n\nb",
     "": "",
 }
 
