@@ -344,25 +344,37 @@ def decontaminate(
     window: int = WINDOW,
     max_span: int = 0,
     max_coverage: float = 0.5,
+    shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
     """``docs`` without benchmark passages.
 
     Runs of hit words longer than ``max_span`` words are cut out of the text; a document in which
     hits cover more than ``max_coverage`` of the words is dropped whole. Texts without hits, null
-    ones too, are left as they are.
+    ones too, are left as they are. The hits of all shards are united first, so the shards make no difference.
     """
     spark = docs.sparkSession
     schema = docs.schema
+    hits_col = "_hits"
+    while hits_col in docs.columns:
+        hits_col += "_"
 
-    def cutter(automaton):
+    def cutter(automaton, last):
         def run(batches):
             a = automaton.value
             for batch in batches:
                 at = batch.schema.get_field_index(text_col)
                 for lo, hi, words in slices(batch.column(at)):
                     part = batch.slice(lo, hi - lo)
-                    changed: dict[int, str | None] = {}
+                    hits = dict((i, np.array(h)) for i, h in enumerate(part.column(part.num_columns - 1).to_pylist()) if h)
                     for i, found, _ in _per_text(a, words, window):
+                        hits[i] = np.union1d(hits[i], found) if i in hits else found
+                    if not last:
+                        united = pa.array([hits[i].tolist() if i in hits else [] for i in range(hi - lo)], pa.list_(pa.int32()))
+                        yield pa.RecordBatch.from_arrays([*part.columns[:-1], united], names=part.schema.names)
+                        continue
+                    part = part.select(part.schema.names[:-1])
+                    changed: dict[int, str | None] = {}
+                    for i, found in hits.items():
                         first, n = words.first[i], words.first[i + 1] - words.first[i]
                         if len(found) > max_coverage * n:
                             changed[i] = None
@@ -390,7 +402,12 @@ def decontaminate(
 
         return run
 
-    shards = _shards(benchmark, "item_id", "text", SHARD_WORDS)
-    for part in shards:
-        docs = docs.mapInArrow(cutter(spark.sparkContext.broadcast(build(part, window))), schema)
+    shards = _shards(benchmark, "item_id", "text", shard_words)
+    part = next(shards, None)
+    if part is None:
+        return docs
+    docs = docs.withColumn(hits_col, F.array().cast("array<int>"))
+    while part is not None:
+        automaton, part = spark.sparkContext.broadcast(build(part, window)), next(shards, None)
+        docs = docs.mapInArrow(cutter(automaton, part is None), schema if part is None else docs.schema)
     return docs

@@ -233,6 +233,18 @@ def test_pii_base_is_brute_force(spark, odd):
     assert got[2].n_email == 0 and pii.digest(pii.findings(docs)).count() == docs.count()
 
 
+def test_decontamination_cuts_once_over_all_shards(spark):
+    items = spark.createDataFrame([(k, " ".join(f"{x}{i}" for i in range(12))) for k, x in enumerate("ab")], "item_id long, text string")
+    one, two = (r.text for r in items.orderBy("item_id").collect())
+    rest = " ".join(f"r{i}" for i in range(16))
+    # The last text holds an item on both sides of another one.
+    rows = [(1, f"{one} {rest} {two}", "en", "a", 1), (2, f"{one} {rest} {rest}", "en", "a", 1), (3, None, "en", "a", 1)]
+    rows += [(4, f"{rest} {two[:23]} {one} {two[24:]} {rest} {rest}", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = [sorted(map(repr, decontaminate.decontaminate(docs, items, shard_words=n).collect())) for n in (1, 10**6)]
+    assert got[0] == got[1] and [r.startswith("Row(doc_id=1,") for r in got[0]].count(True) == 0 and len(got[0]) == 3
+
+
 def test_pii_long_runs_of_digits(spark):
     for sign in " -":
         long = "see " + sign.join("1234567890"[i % 10] for i in range(100_000)) + " and 4111 1111 1111 1111"
