@@ -3,11 +3,12 @@
 Fixed patterns find e-mail addresses, IP addresses, card and phone numbers: the protected entities.
 A term (a word of three or more letters, lower-cased) reveals an entity as far as lines that hold the
 term hold the entity: with ``n`` lines in all, the disclosure of ``e`` by ``t`` is
-``log(n * n_te / (n_t * n_e)) / log(n / n_e)``, which is pointwise mutual information as a share of the
-information of the entity: 0 if both are independent and 1 if the term occurs nowhere else. Counts
-are of lines of the whole corpus, each line of a document once; at least ``SUPPORT`` lines must hold both. In lines
-that hold the entity, terms at or above ``GENERALISE`` are generalised (replaced by the kind of
-entity they reveal) and those at or above ``REMOVE`` are removed.
+``log(n * p / n_e) / log(n / n_e)``, which is pointwise mutual information as a share of the
+information of the entity: 0 if both are independent and near 1 if the term occurs nowhere else. ``p`` is the lower
+Wilson bound, at ``BOUND`` standard deviations, of the share ``n_te / n_t``, so few lines tell less; there is no least
+number of lines, and entities seen once are judged too. Counts are of lines of the whole corpus, each line of a document
+once. In all lines of all documents, also those without the entity, terms at or above ``GENERALISE`` are generalised
+(replaced by the kind of entity they reveal) and those at or above ``REMOVE`` are removed.
 
 Defined cases: a null text counts as empty and has no findings; findings of one kind never
 overlap, those of different kinds may; terms that overlap a base finding are left to it; repeated
@@ -16,6 +17,8 @@ rows are found alike and count as documents of their own; empty tables give empt
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +38,12 @@ _PART = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 #: A character that no pattern can match stands for the mark while the matches are marked.
 _MARK, _OTHER = "\x01", "\x02"
 
-SUPPORT, GENERALISE, REMOVE = 3, 0.8, 0.95
+#: Half of all true shares lie within the bound and its upper twin.
+BOUND = 0.6745
+GENERALISE, REMOVE = 0.8, 0.95
 _TERM = r"\p{L}{3,}"
+#: Revealing terms that are broadcast at a time; with more, the texts are read once for each part of them.
+TOLD_TERMS = 500_000
 
 
 def _clean(text_col: str) -> Column:
@@ -69,6 +76,8 @@ _HOLDS = {
 _HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
 _NONE = "array<struct<start:int,end:int,value:string>>"
+#: Pieces that are gathered at a time, as an array is copied when it grows; even, so that each part begins outside a match.
+_PIECES = 256
 
 
 def places(text: Column, pattern: str) -> Column:
@@ -81,7 +90,19 @@ def places(text: Column, pattern: str) -> Column:
         hit = F.array(F.struct(s["at"].alias("start"), end.alias("end"), p.alias("value")))
         return F.struct(end.alias("at"), (~s["inside"]).alias("inside"), F.when(s["inside"], F.concat(s["found"], hit)).otherwise(s["found"]).alias("found"))
 
-    return F.aggregate(pieces, start, step, lambda s: s["found"])
+    def part(all_, k):
+        return F.aggregate(F.slice(all_, k + 1, F.lit(_PIECES)), start, step, lambda s: F.struct(s["at"].alias("size"), s["found"].alias("found")))
+
+    def join(s, p):
+        return F.struct((s["at"] + p["size"]).alias("at"), F.concat(s["parts"], F.array(F.struct(s["at"].alias("at"), p["found"].alias("found")))).alias("parts"))
+
+    def shifted(g):
+        return F.transform(g["found"], lambda f: F.struct((g["at"] + f["start"]).alias("start"), (g["at"] + f["end"]).alias("end"), f["value"].alias("value")))
+
+    # The array of one element names the pieces, which would be made anew for each part otherwise.
+    parts = F.flatten(F.transform(F.array(pieces), lambda a: F.transform(F.sequence(F.lit(0), F.size(a) - 1, F.lit(_PIECES)), lambda k: part(a, k))))
+    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<at:int,found:{_NONE}>>").alias("parts"))
+    return F.aggregate(parts, none, join, lambda s: F.flatten(F.transform(s["parts"], shifted)))
 
 
 def _base(kind: str, text: Column) -> Column:
@@ -98,11 +119,11 @@ def base_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _words(line: Column) -> Column:
-    return F.regexp_extract_all(F.lower(line), F.lit(_TERM), 0)
+    return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(_TERM), 0), F.lower))
 
 
 def _mentions(found: DataFrame) -> DataFrame:
-    """``_row, kind, entity, line, at``: each entity in each line that holds it, and where the line begins."""
+    """``_row, kind, entity, line``: each entity in each line that holds it."""
     def named(kind: str) -> Column:
         return F.transform(kind, lambda f: F.struct(F.lit(kind).alias("kind"), f["start"].alias("start"), f["end"].alias("end"), f["value"].alias("value")))
 
@@ -111,37 +132,43 @@ def _mentions(found: DataFrame) -> DataFrame:
     head = F.substring_index(F.substring(F.col("_text"), F.lit(1), F.col("f.start")), "\n", -1)
     tail = F.substring_index(F.substring(F.col("_text"), F.col("f.start") + 1, F.length("_text")), "\n", 1)
     entity = F.when(F.col("f.kind").isin("card", "phone"), _digits(F.col("f.value"))).otherwise(F.lower("f.value"))
-    return some.select("_row", F.col("f.kind").alias("kind"), entity.alias("entity"), F.concat(head, tail).alias("line"), (F.col("f.start") - F.length(head)).alias("at")).distinct()
+    return some.select("_row", F.col("f.kind").alias("kind"), entity.alias("entity"), F.concat(head, tail).alias("line")).distinct()
+
+
+def _lower_bound(part: Column, whole: Column) -> Column:
+    """The lower Wilson bound of a share; above 0 if ``part`` is."""
+    p, z2 = part / whole, BOUND * BOUND
+    return (p + z2 / (2 * whole) - BOUND * F.sqrt((p * (1 - p) + z2 / (4 * whole)) / whole)) / (1 + z2 / whole)
 
 
-def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", support: int = SUPPORT, generalise: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
-    """``(kind, entity, term, disclosure)`` at or above ``generalise``, and the mentions."""
-    mentions = stored(_mentions(found), "mentions")
-    lines = mentions.select("_row", "kind", "entity", "line").distinct()
+def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", generalise: float = GENERALISE) -> DataFrame:
+    """``(kind, entity, term, disclosure)`` at or above ``generalise``."""
+    lines = stored(_mentions(found), "mentions")
     entities = lines.groupBy("kind", "entity").agg(F.count("*").alias("n_e"))
-    both = lines.select("kind", "entity", F.explode(F.array_distinct(_words(F.col("line")))).alias("term"))
-    both = both.groupBy("kind", "entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= support)
+    both = lines.select("kind", "entity", F.explode(_words(F.col("line"))).alias("term"))
+    both = both.groupBy("kind", "entity", "term").agg(F.count("*").alias("n_te"))
     both = stored(both.join(entities, ["kind", "entity"]), "pairs")
     text = _clean(text_col)
     all_lines = docs.select(F.array_distinct(F.split(text, "\n")).alias("lines"))
     n = all_lines.agg(F.sum(F.size("lines"))).first()[0] or 1
-    terms = all_lines.select(F.explode("lines").alias("line")).select(F.explode(F.array_distinct(_words(F.col("line")))).alias("term"))
-    counts = terms.groupBy("term").agg(F.count("*").alias("n_t")).filter(F.col("n_t") >= support)
-    share = F.log(F.lit(float(n)) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) / F.log(F.lit(float(n)) / F.col("n_e"))
+    terms = all_lines.select(F.explode("lines").alias("line")).select(F.explode(_words(F.col("line"))).alias("term"))
+    counts = terms.groupBy("term").agg(F.count("*").alias("n_t"))
+    share = F.log(F.lit(float(n)) * _lower_bound(F.col("n_te"), F.col("n_t")) / F.col("n_e")) / F.log(F.lit(float(n)) / F.col("n_e"))
     told = both.join(counts, "term").filter(F.col("n_e") < n).withColumn("disclosure", share).filter(F.round("disclosure", 9) >= generalise)
-    return told.select("kind", "entity", "term", "disclosure"), mentions
+    return told.select("kind", "entity", "term", "disclosure")
 
 
-def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove: float = REMOVE) -> DataFrame:
+def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove: float = REMOVE, told_terms: int = TOLD_TERMS) -> DataFrame:
     """``doc_id``, the arrays ``email, ip, card, phone`` and ``terms`` (start, end, value and action) of every row."""
     base = base_findings(docs, id_col, text_col).withColumn("_hash", F.md5("_text")).withColumn("_row", row_key("doc_id", "_hash")).drop("_hash")
-    told, mentions = disclosures(docs, base, text_col)
-    # Where the terms lie in the lines of their entity.
-    there = mentions.select("_row", "kind", "entity", "at", F.explode(places(F.col("line"), _TERM)).alias("w"))
-    there = there.select("_row", "kind", "entity", F.lower("w.value").alias("term"), F.struct((F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"), F.col("w.value").alias("value")).alias("w"))
-    hits = there.join(told, ["kind", "entity", "term"]).groupBy("_row", "w").agg(F.max("disclosure").alias("most"), F.min("kind").alias("kind"))
+    told = disclosures(docs, base, text_col).groupBy("term").agg(F.max("disclosure").alias("most"), F.min("kind").alias("kind"))
     action = F.when(F.round("most", 9) >= remove, F.lit("remove")).otherwise(F.concat(F.lit("generalise-"), F.col("kind")))
-    hits = hits.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("w.start", "w.end", "w.value", action.alias("action")))).alias("_terms"))
+    told = stored(told.select("term", action.alias("action")), "told")
+    # Where the terms lie, in whatever line.
+    there = base.select("_row", F.explode(places(F.col("_text"), _TERM)).alias("w")).withColumn("term", F.lower("w.value"))
+    n_parts = max(1, -(-told.count() // told_terms))
+    each = [there.join(F.broadcast(told.filter(F.pmod(F.xxhash64("term"), F.lit(n_parts)) == i)), "term") for i in range(n_parts)]
+    hits = reduce(DataFrame.union, each).groupBy("_row").agg(F.array_sort(F.collect_set(F.struct("w.start", "w.end", "w.value", "action"))).alias("_terms"))
     out = base.drop("_text").join(hits, "_row", "left")
     all_base = F.concat(*KINDS)
     apart = F.filter("_terms", lambda t: ~F.exists(all_base, lambda f: (f["start"] < t["end"]) & (t["start"] < f["end"])))

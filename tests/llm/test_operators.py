@@ -265,6 +265,23 @@ def test_pii_terms_that_reveal(spark):
     assert clean[0] == "call   now [EMAIL] seldom\nother line" and clean[51] == rows[6][1]
 
 
+def test_pii_terms_reveal_anywhere_and_once(spark):
+    rows = [(i, "ask Zebulon at z@example.com\nplain line", "en", "a", 1) for i in range(3)]
+    rows += [(3, "first\nthen zebulon left", "en", "a", 1), (4, "ask xanadu at once@example.com", "en", "a", 1)]
+    rows += [(50 + i, f"ask then left first number{i} plain line", "en", "a", 1) for i in range(400)]
+    docs = spark.createDataFrame(rows, DOCS)
+    found = {r.doc_id: [(t.start, t.value, t.action) for t in r.terms] for r in pii.findings(docs).collect()}
+    assert found == {r.doc_id: [(t.start, t.value, t.action) for t in r.terms] for r in pii.findings(docs, told_terms=1).collect()}
+    assert found[0] == [(4, "Zebulon", "generalise-email")] and found[3] == [(11, "zebulon", "generalise-email")]
+    assert [t[:2] for t in found[4]] == [(4, "xanadu")] and found[50] == []
+
+
+def test_pii_places_of_long_texts(spark):
+    text = " ".join(f"wörd{'x' * (i % 5)}" for i in range(3000)) + " \U0001f600 end"
+    got = spark.createDataFrame([(text,)], "text string").select(pii.places(F.col("text"), r"\p{L}{3,}").alias("p")).first().p
+    assert [tuple(w) for w in got] == [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^\W\d_]{3,}", text)]
+
+
 def test_secrets(spark, odd, none):
     rng = random.Random(3)
 
