@@ -28,6 +28,9 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--available-now", action="store_true")
     c.add_argument("--folder", help="read topics as text files below this folder instead of a broker")
     c.add_argument("--console", action="store_true", help="also print every batch of the keyed sources")
+    c.add_argument("--sink", choices=("batches", "files"), default="batches", help="tables with a log of batches, or Spark's file sink")
+    c.add_argument("--restarts", type=int, default=0, help="how often a source that fails is started again from its checkpoint")
+    c.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="option of the topic reader, such as maxOffsetsPerTrigger=100000")
 
     c = commands.add_parser("publish", help="complete raw rows of a Parquet table and send them to their topic")
     c.add_argument("kind", choices=sorted(vocabulary.TOPICS))
@@ -42,8 +45,9 @@ def _parser() -> argparse.ArgumentParser:
     c = commands.add_parser("link", help="link cases with weather and alerts")
     c.add_argument("--base", required=True)
     c.add_argument("--out")
+    c.add_argument("--weeks", nargs=2, metavar=("FIRST", "LAST"), help="only these weeks, such as 2026-W01 2026-W26; others are not read")
 
-    c = commands.add_parser("graph", help="write the knowledge graph")
+    c = commands.add_parser("graph", help="merge the tables into the stored knowledge graph and export it")
     c.add_argument("--base", required=True)
     c.add_argument("--out", required=True)
     c.add_argument("--namespace", default=vocabulary.NAMESPACE)
@@ -92,8 +96,8 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = get_session()
     if args.command == "harmonize":
-        sources = default_sources(args.base, args.checkpoints, folder=args.folder, servers=args.servers, tee=args.console)
-        run_all(spark, sources, available_now=args.available_now, interval=args.interval)
+        sources = default_sources(args.base, args.checkpoints, folder=args.folder, servers=args.servers, tee=args.console, sink=args.sink, options=dict(o.split("=", 1) for o in args.option))
+        run_all(spark, sources, available_now=args.available_now, interval=args.interval, restarts=args.restarts)
     elif args.command == "publish":
         raw = spark.read.parquet(args.input)
         if args.kind == "news":
@@ -108,7 +112,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         append_metrics(row, args.metrics_log)
     elif args.command == "link":
-        path = jobs.link_job(spark, args.base, args.out)
+        path = jobs.link_job(spark, args.base, args.out, weeks=args.weeks and tuple(args.weeks))
         print(path or "nothing to link: cases and weather are both needed")
     elif args.command == "graph":
         print(jobs.graph_job(spark, args.base, args.out, args.namespace), "triples")

@@ -30,7 +30,7 @@ def python_round(c: Column, digits: int = 3) -> Column:
 
 def whole_number(c: Column) -> Column:
     """Truncate towards zero; text that is no number gives null instead of an error."""
-    return c.try_cast("int")
+    return c.try_cast("bigint")
 
 
 def clamp_to_zero(c: Column) -> Column:

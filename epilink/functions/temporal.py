@@ -154,6 +154,68 @@ def extract_temporal_key(text: Column, fallback: Column | None = None) -> Column
     return key if fallback is None else F.coalesce(key, fallback)
 
 
+# Weekdays from Monday on, number words from one on, and the phrases that name a day or week by another day.
+_WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+_NUMBERS = ("one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve")
+_WEEKDAY = f"(?:{'|'.join(_WEEKDAYS)})"
+_RELATIVE = (
+    r"(?i)\b(?=[\dtylpnaomwfse])(?:"
+    r"today|yesterday|tomorrow|(?:last|past|this|next)\s+week"
+    rf"|(?:(?:last|past|this|next)\s+)?{_WEEKDAY}"
+    rf"|(?:\d{{1,3}}|an?|{'|'.join(_NUMBERS)})\s+(?:day|week)s?\s+ago"
+    r")\b"
+)
+
+
+def _offset(phrase: Column, day: Column) -> Column:
+    """Days from ``day`` to what a phrase, in lower case with single blanks, names; a week is named by its day."""
+    head = F.substring_index(phrase, " ", 1)
+    tail = F.substring_index(phrase, " ", -1)
+    # One more than the place in the list; 0 if it is in none.
+    weekday = F.array_position(F.array(*map(F.lit, _WEEKDAYS)), tail)
+    number = F.coalesce(
+        head.try_cast("int"), F.when(head.isin("a", "an"), 1), F.nullif(F.array_position(F.array(*map(F.lit, _NUMBERS)), head), F.lit(0)).cast("int")
+    )
+    unit = F.when(F.contains(phrase, F.lit(" week")), 7).otherwise(1)
+    # Monday is 1; how far back the weekday last was, and ahead it next is, the day itself excluded.
+    today = F.weekday(day) + 1
+    back, ahead = F.pmod(today - weekday - 1, F.lit(7)) + 1, F.pmod(weekday - today - 1, F.lit(7)) + 1
+    on_weekday = (
+        F.when(head.isin("last", "past"), -back).when(head == "next", ahead).when(head == "this", weekday - today).otherwise(-F.pmod(today - weekday, F.lit(7)))
+    )
+    return (
+        F.when(phrase == "today", 0)
+        .when(phrase == "yesterday", -1)
+        .when(phrase == "tomorrow", 1)
+        .when(tail == "ago", -number * unit)
+        .when(tail == "week", F.when(head.isin("last", "past"), -7).when(head == "next", 7).otherwise(0))
+        .otherwise(on_weekday)
+        .cast("int")
+    )
+
+
+def extract_relative_key(text: Column, day: Column, fallback: Column | None = None) -> Column:
+    """Key of the first date, week or relative phrase in the text that maps to one, else the fallback.
+
+    Relative phrases are read from ``day``, the day of the report: ``yesterday``, ``last week``, ``two days ago``,
+    ``on Monday`` (the latest one up to that day), ``last Monday``, ``next Monday``, ``this Monday`` (of the same week). Without a
+    day they give nothing.
+    """
+    either = f"{_ANY_DATE}|{_RELATIVE.removeprefix('(?i)')}"
+    found = F.regexp_extract_all(text, F.lit(either), F.lit(0))
+
+    def key(phrase: Column) -> Column:
+        written = F.transform(F.transform(F.array(phrase), _parts), _day_or_week)
+        absolute = F.get(F.transform(written, lambda n: F.coalesce(n["week"], week_key(n["day"]))), F.lit(0))
+        spelled = F.regexp_replace(F.lower(phrase), r"\s+", " ")
+        relative = F.get(F.transform(F.array(spelled), lambda x: week_key(F.date_add(day, _offset(x, day)))), F.lit(0))
+        return F.when(phrase.rlike(r"\d{4}"), absolute).otherwise(relative)
+
+    keys = F.filter(F.transform(found, key), lambda k: k.isNotNull())
+    first = F.get(keys, F.lit(0))
+    return first if fallback is None else F.coalesce(first, fallback)
+
+
 def alert_sentence(event_type: Column, place: Column, ts: Column, severity: Column) -> Column:
     """``Flood reported in Lahore on 30 June 2026; severity moderate.``"""
     return F.format_string(

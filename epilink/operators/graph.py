@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.text import local_name
 
 
-def route_triples(triples: DataFrame) -> DataFrame:
-    """Local names plus ``route``: what a triple adds to the property graph, null if nothing.
+def route_triples(triples: DataFrame, *kept: str) -> DataFrame:
+    """Local names plus ``route``: what a triple adds to the property graph, null if nothing; and the columns ``kept``.
 
     The local predicate name is searched for ``hasDisease``, ``hasDisaster`` and
     ``title``, in this order.
@@ -20,7 +20,7 @@ def route_triples(triples: DataFrame) -> DataFrame:
         .when(F.contains(p, F.lit("title")), "POLICY")
     )
     return triples.select(
-        local_name(F.col("s")).alias("src"), p.alias("p"), local_name(F.col("o")).alias("dst"), route.alias("route")
+        local_name(F.col("s")).alias("src"), p.alias("p"), local_name(F.col("o")).alias("dst"), route.alias("route"), *kept
     )
 
 

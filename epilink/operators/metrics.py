@@ -67,12 +67,31 @@ def metrics_row(
     return _complete(counts)
 
 
-def _complete(counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def batch_metrics(log: DataFrame, source: str) -> DataFrame:
+    """One log row for each batch that a stream has written, from the log of its table (``read_log``).
+
+    The counts were committed with the rows, so a batch that failed or was replayed counts once. Batches whose own entries were
+    cleaned up are one row of their range.
+    """
+    # An entry and the first of those it replaces begin with the same batch, and all of those are cleaned up together.
+    finest = log.groupBy("first").agg(F.min_by(F.struct("rows", "failed", "at"), "level").alias("e")).select("e.*")
+    at = F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    counted = finest.select(
+        F.lit(source).alias("source"),
+        F.col("rows").alias("records_attempted"),
+        (F.col("rows") - F.col("failed")).alias("records_succeeded"),
+        F.array().cast("array<string>").alias("errors"),
+        at.alias("timestamp"),
+    )
+    return _complete(counted, at=F.col("timestamp"))
+
+
+def _complete(counted: DataFrame, by: Sequence[str] = (), at: Column | None = None) -> DataFrame:
     attempted, succeeded = F.col("records_attempted"), F.col("records_succeeded")
     return counted.select(
         "source",
         *by,
-        iso_utc_now().alias("timestamp"),
+        (iso_utc_now() if at is None else at).alias("timestamp"),
         attempted,
         succeeded,
         (attempted - succeeded).alias("records_failed"),

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Sequence
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import vocabulary
 from ..functions.text import normalize_name, python_strip, python_title, squeeze
 from ..session import settle
 from .lookup import left_lookup
 
-# A dictionary up to this many aliases is matched row by row without any shuffle.
-INLINE_ALIASES = 256
+# Length of the pieces by which containment finds its candidates.
+GRAM = 3
 
 _RESOLVED = ["canonical", "province", "matched"]
 
@@ -51,62 +49,6 @@ def _has_text(name: Column) -> Column:
     return name.isNotNull() & (name != "")
 
 
-def resolve_names(
-    df: DataFrame,
-    name_col: str,
-    aliases: DataFrame | None = None,
-    *,
-    min_len: int = 0,
-    inline_limit: int = INLINE_ALIASES,
-) -> DataFrame:
-    """Add ``canonical``, ``province`` and ``matched`` for a raw place name.
-
-    Steps, first hit wins: normalised name is an alias; the same without blanks;
-    an alias contains the name or is contained in it (lowest rank wins); else the
-    name in title case with province ``UNKNOWN``. Empty names give ``UNKNOWN``.
-    A name that normalises to nothing is contained in every alias, so it takes
-    the first one; ``min_len`` sets how long the shorter text of a containment
-    must be.
-    """
-    exact = _by_alias(aliases) if aliases is not None else None
-    # One row more than the limit is enough to know that the dictionary is larger.
-    head = _built_in(df.sparkSession) if exact is None else exact.limit(inline_limit + 1).collect()
-    if len(head) <= inline_limit:
-        return _resolve_inline(df, name_col, head, min_len)
-    return _resolve_by_joins(df, name_col, exact if exact is not None else _by_alias(alias_table(df.sparkSession)), min_len)
-
-
-_BUILT_IN: list[Row] = []
-
-
-def _built_in(spark: SparkSession) -> list[Row]:
-    """The built-in dictionary, normalised once per process."""
-    if not _BUILT_IN:
-        _BUILT_IN.extend(_by_alias(alias_table(spark)).collect())
-    return _BUILT_IN
-
-
-def _small_table(spark: SparkSession, key: str, place: str, rows: dict[str, Row]) -> DataFrame:
-    """A local table of at most ``inline_limit`` places by key."""
-    canonical = [p["canonical"] for p in rows.values()]
-    province = [p["province"] for p in rows.values()]
-    table = pa.table(
-        {
-            key: pa.array(list(rows), pa.string()),
-            "canonical": pa.array(canonical, pa.string()),
-            "province": pa.array(province, pa.string()),
-        }
-    )
-    return F.broadcast(spark.createDataFrame(table).select(key, F.struct("canonical", "province").alias(place)))
-
-
-def _any_of(texts: list[str]) -> str:
-    """Pattern that finds any of the texts; a look at the first character rules out most places."""
-    firsts = "".join(f"\\x{{{ord(t[0]):x}}}" for t in texts if t)
-    quoted = "|".join(f"\\Q{t}\\E" for t in texts)
-    return f"(?=[{firsts}])(?:{quoted})" if all(texts) else ""
-
-
 def _finished(df: DataFrame, name_col: str, kept: list[str]) -> DataFrame:
     """The kept columns and the result columns, from the place found (``_place``) or the name itself."""
     # Stripped in a projection of its own: the title case below looks at it several times.
@@ -124,55 +66,20 @@ def _finished(df: DataFrame, name_col: str, kept: list[str]) -> DataFrame:
     )
 
 
-def _resolve_inline(df, name_col, head, min_len) -> DataFrame:
-    """Small dictionary: two broadcast lookups and one expression, no shuffle of the names."""
-    kept = [c for c in df.columns if c not in _RESOLVED]
-    if not head:
-        place = F.lit(None).cast("struct<canonical:string,province:string>")
-        return _finished(df.withColumn("_place", place), name_col, kept)
-    ordered = sorted(head, key=lambda row: (row["rank"], row["alias"]))
-    exact = {row["alias"]: row["place"] for row in head}
-    # Of several aliases that coincide without blanks the last entry counts.
-    tight = {row["alias"].replace(" ", ""): row["place"] for row in sorted(head, key=lambda row: row["last"])}
-    # A constant of the plan, written as JSON to build it in one step.
-    listed = [{"alias": row["alias"], "place": row["place"].asDict()} for row in ordered]
-    entries = F.from_json(
-        F.lit(json.dumps(listed)), "array<struct<alias:string,place:struct<canonical:string,province:string>>>"
-    )
-    name = F.col(name_col)
-    norm = F.col("_norm")
-
-    def related(entry: Column) -> Column:
-        alias = entry["alias"]
-        return (F.contains(norm, alias) & (F.length(alias) >= min_len)) | (
-            F.contains(alias, norm) & (F.length(norm) >= min_len)
-        )
-
-    # Two cheap tests, one per direction, spare most unknown names the walk through the entries.
-    # Normalised names hold no line break, so a name is in the joined text only if one alias has it.
-    holds_alias = norm.rlike(_any_of([row["alias"] for row in ordered]))
-    held_by_alias = F.contains(F.lit("\n".join(row["alias"] for row in ordered)), norm)
-    first = F.get(F.filter(entries, related), F.lit(0))["place"]
-    contained = F.when(holds_alias | held_by_alias, first)
-    named = df.select(*kept, normalize_name(name).alias("_norm"))
-    spark = df.sparkSession
-    looked_up = (
-        named.join(_small_table(spark, "_norm", "_exact", exact), "_norm", "left")
-        .withColumn("_tight_name", squeeze(norm))
-        .join(_small_table(spark, "_tight_name", "_tight", tight), "_tight_name", "left")
-    )
-    place = F.coalesce(F.col("_exact"), F.col("_tight"), contained)
-    return _finished(looked_up.withColumn("_place", place), name_col, kept)
-
+def resolve_names(df: DataFrame, name_col: str, aliases: DataFrame | None = None, *, min_len: int = 0) -> DataFrame:
+    """Add ``canonical``, ``province`` and ``matched`` for a raw place name.
 
-def _resolve_by_joins(df, name_col, exact, min_len) -> DataFrame:
-    """Large dictionary: every step is an equi-join on the distinct names.
+    Steps, first hit wins: normalised name is an alias; the same without blanks;
+    an alias contains the name or is contained in it (lowest rank wins); else the
+    name in title case with province ``UNKNOWN``. Empty names give ``UNKNOWN``.
+    A name that normalises to nothing is contained in every alias, so it takes
+    the first one; ``min_len`` sets how long the shorter text of a containment
+    must be.
 
-    Containment becomes equality by cutting: substrings of a name that have the
-    length of some alias meet the aliases, and substrings of the aliases meet
-    the names. Nothing is compared all against all.
+    Every step is an equi-join on the distinct names, whatever the size of the dictionary; the rows
+    meet one table of names, which is broadcast if it measures small.
     """
-    exact = settle(exact)
+    exact = _by_alias(aliases if aliases is not None else alias_table(df.sparkSession))
     by_exact = exact.select(F.col("alias").alias("_norm"), F.col("place").alias("_exact"))
     by_tight = _by_tight_alias(exact).select(F.col("alias").alias("_tight_name"), F.col("place").alias("_tight"))
     tried = settle(
@@ -186,31 +93,7 @@ def _resolve_by_joins(df, name_col, exact, min_len) -> DataFrame:
         .select("_name", "_norm", F.coalesce("_exact", "_tight").alias("_place"))
     )
     rest = tried.where(F.col("_place").isNull()).select("_norm").distinct()
-    hits = exact.select("alias", F.struct("rank", "alias", "place").alias("hit"))
-
-    lengths = [r[0] for r in exact.select(F.length("alias")).distinct().collect()]
-    fitting = F.filter(
-        F.array(*[F.lit(n) for n in sorted(lengths)]), lambda n: (n <= F.length("_norm")) & (n >= min_len)
-    )
-    alias_in_name = (
-        rest.select("_norm", F.explode(_substrings(F.col("_norm"), fitting)).alias("alias"))
-        .join(hits, "alias")
-        .select("_norm", "hit")
-    )
-    # Only substrings as long as some unmatched name can equal one.
-    name_lengths = [r[0] for r in rest.select(F.length("_norm")).distinct().collect()]
-    sizes = F.filter(
-        F.array(*[F.lit(n) for n in sorted(name_lengths)]).cast("array<int>"),
-        lambda n: (n <= F.length("alias")) & (n >= min_len),
-    )
-    first_by_piece = (
-        hits.select(F.explode(_substrings(F.col("alias"), sizes)).alias("_norm"), "hit")
-        .groupBy("_norm")
-        .agg(F.min("hit").alias("hit"))
-    )
-    name_in_alias = rest.join(first_by_piece, "_norm").select("_norm", "hit")
-
-    contained = alias_in_name.unionByName(name_in_alias).groupBy("_norm").agg(F.min("hit").alias("hit"))
+    contained = first_related(rest, exact, min_len)
     mapping = (
         tried.join(contained, "_norm", "left")
         .select(F.col("_name").alias(name_col), F.coalesce(F.col("_place"), F.col("hit.place")).alias("_place"))
@@ -221,11 +104,45 @@ def _resolve_by_joins(df, name_col, exact, min_len) -> DataFrame:
     return _finished(joined, name_col, kept)
 
 
-def _substrings(text: Column, sizes: Column) -> Column:
-    """Distinct substrings of the given sizes."""
-
-    def of_size(n: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.length(text) - n + 1)
-        return F.transform(starts, lambda i: F.substring(text, i, n))
-
-    return F.array_distinct(F.flatten(F.transform(sizes, of_size)))
+def first_related(names: DataFrame, exact: DataFrame, min_len: int = 0) -> DataFrame:
+    """``(_norm, hit)``: of the aliases that contain a name or are contained in it the one with the lowest rank."""
+    hits = exact.select("alias", F.struct("rank", "alias", "place").alias("hit"))
+    own, listed = names.select(F.col("_norm").alias("text")), hits.select(F.col("alias").alias("text"))
+    alias_in_name = containments(listed.where(F.length("text") >= min_len), own).select(
+        F.col("inner").alias("alias"), F.col("outer").alias("_norm")
+    )
+    name_in_alias = containments(own.where(F.length("text") >= min_len), listed).select(
+        F.col("outer").alias("alias"), F.col("inner").alias("_norm")
+    )
+    found = alias_in_name.unionByName(name_in_alias).join(hits, "alias").select("_norm", "hit")
+    if min_len <= 0:
+        # The empty text is contained in every text; there is one empty alias and one empty name at most.
+        empty = hits.where(F.col("alias") == "").select(F.lit("").alias("_any"), "hit")
+        any_alias = names.withColumn("_any", F.lit("")).join(F.broadcast(empty), "_any").select("_norm", "hit")
+        whole = hits.agg(F.min("hit").alias("hit")).select(F.lit("").alias("_norm"), "hit").where(F.col("hit").isNotNull())
+        found = found.unionByName(any_alias).unionByName(names.join(whole, "_norm").select("_norm", "hit"))
+    return found.groupBy("_norm").agg(F.min("hit").alias("hit"))
+
+
+def containments(inner: DataFrame, outer: DataFrame) -> DataFrame:
+    """``(inner, outer)``: pairs of distinct texts (``text``) of both sides in which the inner one lies in the outer one.
+
+    The pieces of ``GRAM`` characters of the outer texts are listed. An inner text must have all its pieces in an outer one, so it
+    looks only at those that hold its rarest piece, and the pair is then tested. A text shorter than a piece is a piece itself;
+    empty texts are left out.
+    """
+    places = F.sequence(F.lit(0), F.length("text") * GRAM - 1)
+    size, start = F.col("_at") % GRAM + 1, F.floor(F.col("_at") / GRAM).cast("int") + 1
+
+    def pieces(texts: DataFrame) -> DataFrame:
+        cut = texts.where(F.length("text") > 0).select("text", F.explode(places).alias("_at"))
+        fits = start + size - 1 <= F.length("text")
+        return cut.where(fits).select("text", size.alias("size"), F.substring(F.col("text"), start, size).alias("piece"))
+
+    held = pieces(outer).select("piece", F.col("text").alias("outer"))
+    often = held.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    own = pieces(inner).where(F.col("size") == F.least(F.length("text"), F.lit(GRAM)))
+    known = own.join(often, "piece", "left").groupBy("text").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("rarest"))
+    # A piece that no outer text has rules out all of them.
+    searched = known.where(F.col("rarest.n") > 0).select(F.col("text").alias("inner"), F.col("rarest.piece").alias("piece"))
+    return searched.join(held, "piece").where(F.contains("outer", F.col("inner"))).select("inner", "outer").distinct()

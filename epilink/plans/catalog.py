@@ -18,12 +18,14 @@ from ..operators import aggregates, geo, graph, link, metrics, names, patterns,
 from ..session import scratch_path
 from ..sinks import (
     append_metrics,
+    merge_graph,
     predicate_tags,
     predicates_of,
     rdfxml_rows,
     to_messages,
     turtle_blocks,
     upsert_by_key,
+    write_batch,
     write_graph,
     write_ntriples,
     write_table,
@@ -39,13 +41,17 @@ from ..sources import (
     read_metrics,
     read_ntriples,
     read_optional,
+    read_statistics,
     read_table,
     read_triples,
     rejected_ntriples,
     stream_folder,
+    read_batches,
+    read_graph,
+    read_log,
     union_all,
 )
-from ..streaming import SourceConfig, harmonize_stream
+from ..streaming import SourceConfig, harmonize, harmonize_stream, run_all
 from . import ingest
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -289,6 +295,29 @@ def extract_temporal_key(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", temporal.extract_temporal_key(written, F.lit("2000-W01")).alias("temporal_key"))
 
 
+# Phrases that name a day or week by the day of the report, one per order in turn.
+PHRASES = [
+    "Flooding began yesterday near the town.",
+    "Rain since last week.",
+    "Two days ago the river rose",
+    "It ended on Monday, not earlier.",
+    "Last   Thursday it broke.",
+    "Crews arrive next Sunday",
+    "Reported 3 weeks ago by the office",
+    "Nothing is known.",
+    "On 2024-02-31, that is today, it closed.",
+]
+
+
+@query
+def extract_relative_key(t: Tables) -> DataFrame:
+    """Report texts with relative phrases, and a date that comes first in some."""
+    day = F.col("o_orderdate").cast("date")
+    said = F.get(F.array(*map(F.lit, PHRASES)), F.pmod("o_orderkey", F.lit(len(PHRASES))).cast("int"))
+    written = F.when(F.pmod("o_orderkey", F.lit(50)) == 7, F.concat(F.lit("As of 5 March 1997: "), said)).otherwise(said)
+    return t.orders.select("o_orderkey", temporal.extract_relative_key(written, day, F.lit("none")).alias("temporal_key"))
+
+
 @query
 def alert_sentences(t: Tables) -> DataFrame:
     return t.orders.select(
@@ -422,7 +451,7 @@ def resolve_names(t: Tables) -> DataFrame:
 
 @query
 def resolve_names_by_joins(t: Tables) -> DataFrame:
-    """Dictionary made of the parts, matched without any broadcast."""
+    """Dictionary made of the parts."""
     aliases = t.part.groupBy(F.col("p_name").alias("alias")).agg(
         F.min("p_partkey").alias("rank"), F.min("p_brand").alias("province")
     ).withColumn("canonical", F.upper("alias"))
@@ -434,7 +463,7 @@ def resolve_names_by_joins(t: Tables) -> DataFrame:
         .when(form == 3, F.substring_index("p_name", " ", 1))
         .otherwise(F.concat(F.lit("zz"), F.col("p_partkey")))
     )
-    return names.resolve_names(t.part.select("p_partkey", raw.alias("raw")), "raw", aliases, inline_limit=0)
+    return names.resolve_names(t.part.select("p_partkey", raw.alias("raw")), "raw", aliases)
 
 
 @query
@@ -582,6 +611,64 @@ def harmonize_week(t: Tables) -> DataFrame:
     ).select("record_id", "source", "district", "district_canonical", "disease", "case_count", "idsr_compliance_pct", "epi_week_key")
 
 
+def _event_messages_by_week(t: Tables) -> DataFrame:
+    day = F.col("ts")
+    rows = t.events.select(
+        F.col("event_id").cast("string").alias("record_id"),
+        F.lit("events").alias("source"),
+        temporal.epi_year(day).alias("epi_year"),
+        temporal.epi_week(day).alias("epi_week"),
+        F.col("event_type").alias("district"),
+        F.col("user_id").alias("case_count"),
+    )
+    return to_messages(rows)
+
+
+def _batch_source(t: Tables, label: str) -> SourceConfig:
+    """A weekly source of text files, one file a batch."""
+    return SourceConfig(
+        name=label,
+        topic=scratch_path(t.spark, f"{label}-topic"),
+        schema=schemas.SURVEILLANCE,
+        kind="week",
+        path=scratch_path(t.spark, label),
+        checkpoint=scratch_path(t.spark, f"{label}-checkpoint"),
+        format="text",
+        options={"maxFilesPerTrigger": "1"},
+        sink="batches",
+    )
+
+
+_HARMONISED = ["record_id", "source", "district", "case_count", "epi_week_key"]
+
+
+@query
+def harmonize_compacted(t: Tables) -> DataFrame:
+    """Events in ten batches of a table with a log, merged on the way, after which two batches are written once more."""
+    source = _batch_source(t, "compacted")
+    messages = _event_messages_by_week(t)
+    messages.repartition(10).write.text(source.topic)
+    run_all(t.spark, [source], available_now=True)
+    replayed = harmonize(messages.limit(100), source.schema, source.kind)
+    for batch_id in (9, 3):
+        write_batch(replayed, batch_id, source.path, "epi_week_key")
+    return read_batches(t.spark, source.path).select(*_HARMONISED)
+
+
+@query
+def harmonize_restart(t: Tables) -> DataFrame:
+    """Events of which the second half arrives after the stream has ended; rows and logged rows by week."""
+    source = _batch_source(t, "restarted")
+    messages = _event_messages_by_week(t)
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for part in (0, 1):
+        messages.where(half == part).repartition(2).write.mode("append").text(source.topic)
+        run_all(t.spark, [source], available_now=True)
+    logged = metrics.batch_metrics(read_log(t.spark, source.path), source.name).agg(F.sum("records_succeeded")).first()[0]
+    rows = read_batches(t.spark, source.path).groupBy("epi_week_key").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("record_id").alias("records"))
+    return rows.withColumn("logged", F.lit(logged).cast("long"))
+
+
 @query
 def harmonize_month(t: Tables) -> DataFrame:
     day = F.col("o_orderdate")
@@ -658,6 +745,32 @@ def bgp(t: Tables) -> DataFrame:
     )
 
 
+@query
+def bgp_reordered(t: Tables) -> DataFrame:
+    """The patterns of ``bgp`` from the largest to the smallest, over a stored graph with statistics."""
+    ns, path = vocabulary.NAMESPACE, scratch_path(t.spark, "graph-store")
+    merge_graph(t.graph(), path)
+    return patterns.bgp(
+        read_graph(t.spark, path),
+        [
+            ("?place", ns + "hasDisease", "?disease"),
+            ("?place", ns + "hasDisaster", "?disaster"),
+            ("?disease", vocabulary.RDF_TYPE, ns + "Disease"),
+        ],
+        statistics=read_statistics(t.spark, path),
+    )
+
+
+@query
+def triples_merged(t: Tables) -> DataFrame:
+    """The graph stored in two merges, one for each half of the cases and alerts; the second also brings all the rest again."""
+    path = scratch_path(t.spark, "graph-store")
+    half = lambda df, n: df.where(F.pmod(F.xxhash64("district_canonical", "epi_week_key"), F.lit(2)) == n)
+    for n in (0, 1):
+        merge_graph(triples.knowledge_graph(half(t.cases(), n), t.weather(), half(t.alerts(), n), t.policy()), path)
+    return read_graph(t.spark, path)
+
+
 @query
 def ntriples_round_trip(t: Tables) -> DataFrame:
     return read_ntriples(t.spark, write_ntriples(t.graph(), scratch_path(t.spark, "graph")))

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas, vocabulary
 from ..operators.aggregates import summaries
-from ..operators.graph import edge_table, property_graph
+from ..operators.graph import edge_table, property_graph, route_triples
 from ..operators.link import can_link, link_sources
 from ..operators.metrics import summarize_metrics
 from ..operators.patterns import policy_status
 from ..operators.triples import knowledge_graph
-from ..session import settle
-from ..sinks import write_graph, write_ntriples, write_rdfxml, write_table, write_turtle
-from ..sources import read_metrics, read_ntriples, read_optional
+from ..sinks import merge_graph, write_graph, write_ntriples, write_rdfxml, write_table, write_turtle
+from ..sources import read_graph, read_metrics, read_optional, read_statistics
 
 LINKED_FOLDER = "cross_source_linked/linked.parquet"
 
@@ -30,12 +29,18 @@ def link_job(spark: SparkSession, base: str, out: str | None = None, **options)
     return write_table(link_sources(cases, weather, alerts, **options), out or f"{base}/{LINKED_FOLDER}")
 
 
+#: Folder of the stored graph below the folder of its text forms.
+STORE_FOLDER = "store"
+
+
 def graph_job(
     spark: SparkSession, base: str, out: str, ns: str = vocabulary.NAMESPACE, formats: tuple[str, ...] = ("nt", "ttl", "rdf")
 ) -> int:
-    """Build the graph once, write it in each format, return the number of triples."""
+    """Merge the graph of the tables into the stored one, export that in each format, return its number of triples."""
     tables = [_table(spark, base, kind) for kind in ("surveillance", "weather", "alerts", "policy")]
-    triples = settle(knowledge_graph(*tables, ns=ns))
+    store = f"{out}/{STORE_FOLDER}"
+    merge_graph(knowledge_graph(*tables, ns=ns), store)
+    triples = read_graph(spark, store)
     if "nt" in formats:
         write_ntriples(triples, f"{out}/knowledge_graph.nt")
     if "ttl" in formats:
@@ -46,17 +51,29 @@ def graph_job(
 
 
 def property_graph_job(spark: SparkSession, graph: str, out: str) -> tuple[str, str]:
-    """N-Triples files to node and edge tables, replacing what is there."""
-    return write_graph(*property_graph(read_ntriples(spark, graph)), out)
+    """A stored graph (or N-Triples files) to node and edge tables, replacing what is there."""
+    return write_graph(*property_graph(_routed(spark, graph)), out)
+
+
+def _routed(spark: SparkSession, graph: str) -> DataFrame:
+    """The triples of a graph that may add to the property graph; of a stored one only their predicates are read."""
+    triples, statistics = read_graph(spark, graph), read_statistics(spark, graph)
+    if statistics is None:
+        return triples
+    predicates = spark.createDataFrame([(p,) for p in statistics], "p string")
+    named = predicates.select(F.lit("").alias("s"), "p", F.lit("").alias("o"), F.col("p").alias("whole"))
+    routed = route_triples(named, "whole").where(F.col("route").isNotNull()).collect()
+    return triples.where(F.col("p").isin([r.whole for r in routed]))
 
 
 def edge_job(spark: SparkSession, graph: str, out: str) -> str:
-    """N-Triples files to the labelled edge table."""
-    return write_table(edge_table(read_ntriples(spark, graph)), out)
+    """A stored graph (or N-Triples files) to the labelled edge table."""
+    return write_table(edge_table(read_graph(spark, graph)), out)
 
 
 def policy_job(spark: SparkSession, graph: str, ns: str = vocabulary.NAMESPACE) -> DataFrame:
-    return policy_status(read_ntriples(spark, graph), ns)
+    """Policies of a stored graph (or N-Triples files); of a stored one two predicates are read."""
+    return policy_status(read_graph(spark, graph), ns, read_statistics(spark, graph))
 
 
 def summary_job(spark: SparkSession, base: str, out: str | None = None) -> dict[str, DataFrame]:

@@ -18,7 +18,7 @@ placed AS (
   FROM orders JOIN customer ON o_custkey = c_custkey
 ), cases AS (
   SELECT o_orderkey AS record_id, district_canonical, epi_week_key, o_orderstatus AS disease,
-    CAST(greatest(0, trunc(o_totalprice)) AS INTEGER) AS case_count
+    CAST(greatest(0, trunc(o_totalprice)) AS BIGINT) AS case_count
   FROM placed
 ), weather AS (
   SELECT 'Nation ' || s_nationkey AS district_canonical, {_week('l_shipdate')} AS epi_week_key,
@@ -187,6 +187,11 @@ ORACLE: dict[str, str] = {
     "extract_temporal_key": f"""
         SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 5 THEN '2000-W01' ELSE {_week('o_orderdate')} END AS temporal_key
         FROM orders""",
+    "extract_relative_key": f"""
+        SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 7 THEN {_week("DATE '1997-03-05'")} WHEN f = 7 THEN 'none' ELSE {_week('named')} END AS temporal_key
+        FROM (SELECT o_orderkey, f, CASE f WHEN 0 THEN d - 1 WHEN 1 THEN d - 7 WHEN 2 THEN d - 2 WHEN 3 THEN d - (isodow(d) - 1)::INT
+            WHEN 4 THEN d - ((isodow(d) + 2) % 7 + 1)::INT WHEN 5 THEN d + ((13 - isodow(d)) % 7 + 1)::INT WHEN 6 THEN d - 21 ELSE d END AS named
+          FROM (SELECT o_orderkey, o_orderkey % 9 AS f, o_orderdate::DATE AS d FROM orders))""",
     "alert_sentences": f"""
         SELECT o_orderkey, upper(o_orderstatus) || ' reported in ' || o_orderpriority || ' on ' ||
           {_long_date('o_orderdate')} || '; severity minor.' AS description FROM orders""",
@@ -285,6 +290,12 @@ ORACLE: dict[str, str] = {
         SELECT CAST(event_id AS VARCHAR) AS record_id, 'events' AS source, event_type AS district,
           CAST(NULL AS VARCHAR) AS district_canonical, props AS disease, CAST(user_id AS INTEGER) AS case_count,
           value AS idsr_compliance_pct, {_week('ts')} AS epi_week_key FROM events""",
+    "harmonize_compacted": f"""
+        SELECT CAST(event_id AS VARCHAR) AS record_id, 'events' AS source, event_type AS district, CAST(user_id AS INTEGER) AS case_count,
+          {_week('ts')} AS epi_week_key FROM events""",
+    "harmonize_restart": f"""
+        SELECT {_week('ts')} AS epi_week_key, count(*) AS n, count(DISTINCT event_id) AS records, (SELECT count(*) FROM events) AS logged
+        FROM events GROUP BY 1""",
     "harmonize_month": """
         SELECT CAST(o_orderkey AS VARCHAR) AS record_id, o_orderpriority AS title, CAST(month(o_orderdate) AS INTEGER) AS report_month,
           strftime(o_orderdate, '%Y-%m') AS report_month_label, unnest([o_orderstatus, o_orderpriority]) AS sector FROM orders""",
@@ -302,6 +313,12 @@ ORACLE: dict[str, str] = {
         JOIN kg c ON c.s = a.o AND c.p = '{RDF_TYPE}' AND c.o = '{NS}Disease'
         JOIN kg b ON b.s = a.s AND b.p = '{NS}hasDisaster' WHERE a.p = '{NS}hasDisease'"""
     ),
+    "bgp_reordered": _kg(
+        f"""SELECT a.s AS place, a.o AS disease, b.o AS disaster FROM kg a
+        JOIN kg c ON c.s = a.o AND c.p = '{RDF_TYPE}' AND c.o = '{NS}Disease'
+        JOIN kg b ON b.s = a.s AND b.p = '{NS}hasDisaster' WHERE a.p = '{NS}hasDisease'"""
+    ),
+    "triples_merged": _kg("SELECT * FROM kg"),
     "ntriples_round_trip": _kg("SELECT * FROM kg"),
     "ntriples_text": _policies("CAST(doc_id AS VARCHAR)", "text", "documents"),
     "ntriples_hard_text": _policies("doc_id || a || 'x'", "a || text || a", f"(SELECT *, {_AWKWARD} AS a FROM documents)"),

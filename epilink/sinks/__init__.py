@@ -1,5 +1,6 @@
 """Writers: tables, logs, messages, dictionaries and graph files."""
 
+from .batches import clean_up, compact, spread, write_batch
 from .graph_files import (
     ntriples_lines,
     predicate_tags,
@@ -10,5 +11,6 @@ from .graph_files import (
     write_rdfxml,
     write_turtle,
 )
+from .graph_store import merge_graph
 from .messages import publish, to_messages
 from .tables import append_metrics, upsert_by_key, write_graph, write_table, write_triples

@@ -40,8 +40,15 @@ def read_table(
 
 
 def read_optional(spark: SparkSession, base: str, name: str, schema: StructType) -> DataFrame:
-    """Scan a table, or give an empty one of the same schema where it is missing."""
+    """Scan a table, or give an empty one of the same schema where it is missing.
+
+    Of a table that a stream writes by batches only committed writes are read.
+    """
+    from .batches import is_batch_table, read_batches
+
     path = f"{base}/{name}"
+    if is_batch_table(spark, path):
+        return read_batches(spark, path, schema)
     if path_exists(spark, path):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)

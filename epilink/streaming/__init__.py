@@ -1,3 +1,3 @@
 """Streaming harmonisation."""
 
-from .harmonize import SourceConfig, default_sources, harmonize, harmonize_stream, run_all, tee_console, topic_location, write_stream
+from .harmonize import SourceConfig, default_sources, harmonize, harmonize_stream, run_all, tee_console, topic_location, unparsed, write_batches, write_stream

@@ -5,18 +5,25 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from .. import schemas, vocabulary
 from ..functions.temporal import with_epi_week_key
+from ..sinks.batches import FAN_IN, compact, write_batch
 from ..sources.payloads import parse_json
 from ..sources.topics import read_topic
 
 # Kind of source -> partition column of its table.
 PARTITION_COLUMN = {"week": "epi_week_key", "month": "report_month_label", "plain": None}
 
+# Rows of a batch that are printed.
+CONSOLE_ROWS = 20
+# How often running sources are looked at.
+_WATCH_SECONDS = 2
+
 
 @dataclass(frozen=True)
 class SourceConfig:
@@ -32,6 +39,8 @@ class SourceConfig:
     servers: str = vocabulary.BOOTSTRAP_SERVERS
     options: Mapping[str, str] = field(default_factory=dict)
     tee: bool = False
+    # "files" is Spark's file sink, "batches" a table with a log (``write_batches``).
+    sink: str = "files"
 
 
 def topic_location(name: str, folder: str | None = None) -> tuple[str, str]:
@@ -76,6 +85,11 @@ def harmonize(messages: DataFrame, schema: StructType, kind: str, value_col: str
     return rows.withColumn("processed_at", F.current_timestamp())
 
 
+def unparsed(schema: StructType):
+    """Whether a harmonised row is what is left of a message that could not be parsed."""
+    return F.coalesce(*[F.col(f"`{f.name}`").cast("string") for f in schema.fields]).isNull()
+
+
 def write_stream(
     df: DataFrame,
     path: str,
@@ -104,11 +118,48 @@ def write_stream(
     return _trigger(writer, available_now, interval).start()
 
 
+def write_batches(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    partition_by: str | None = None,
+    *,
+    failed=0,
+    show: int = 0,
+    fan_in: int = FAN_IN,
+    available_now: bool = False,
+    interval: str = vocabulary.TRIGGER_INTERVAL,
+    name: str | None = None,
+    **layout,
+) -> StreamingQuery:
+    """Append a stream batch by batch to a table with a log; a batch that is replayed adds nothing.
+
+    Each batch is read and parsed once and kept in storage while it is used: it is counted, written in few
+    files and, with ``show``, its first rows are printed. Writes are merged as they become many.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if write_batch(batch, batch_id, path, partition_by, failed, **layout) is not None:
+                compact(batch.sparkSession, path, partition_by, fan_in, **layout)
+            if show:
+                print(f"{name}: batch {batch_id}")
+                batch.show(show, truncate=False)
+        finally:
+            batch.unpersist()
+
+    writer = df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("append")
+    if name is not None:
+        writer = writer.queryName(name)
+    return _trigger(writer, available_now, interval).start()
+
+
 def tee_console(
     df: DataFrame,
     name: str,
     *,
-    rows: int = 20,
+    rows: int = CONSOLE_ROWS,
     available_now: bool = False,
     interval: str = vocabulary.TRIGGER_INTERVAL,
 ) -> StreamingQuery:
@@ -143,19 +194,23 @@ def harmonize_stream(
             spark, config.topic, config.servers, format=config.format, options=config.options
         )
     rows = harmonize(messages, config.schema, config.kind)
+    timing = {"available_now": available_now, "interval": interval}
+    key = PARTITION_COLUMN[config.kind]
+    if config.sink == "batches":
+        show = CONSOLE_ROWS if config.tee else 0
+        return [write_batches(rows, config.path, config.checkpoint, key, failed=unparsed(config.schema), show=show, name=config.name, **timing)]
     started = [
         write_stream(
             rows,
             config.path,
             config.checkpoint,
-            PARTITION_COLUMN[config.kind],
-            available_now=available_now,
-            interval=interval,
+            key,
             name=config.name,
+            **timing,
         )
     ]
     if config.tee:
-        started.append(tee_console(rows, f"{config.name}_console", available_now=available_now, interval=interval))
+        started.append(tee_console(rows, f"{config.name}_console", **timing))
     return started
 
 
@@ -165,18 +220,39 @@ def run_all(
     *,
     available_now: bool = False,
     interval: str = vocabulary.TRIGGER_INTERVAL,
+    restarts: int = 0,
 ) -> list[StreamingQuery]:
     """Run all sources side by side.
 
     Continuous runs return when any query ends; ``available_now`` runs return
-    when all have worked off their input.
+    when all have worked off their input. A source that fails is started again from its checkpoint
+    up to ``restarts`` times, the others going on meanwhile; then its error is raised.
     """
-    queries = [
-        q for c in configs for q in harmonize_stream(spark, c, available_now=available_now, interval=interval)
-    ]
-    if available_now:
-        for query in queries:
-            query.awaitTermination()
-    else:
-        spark.streams.awaitAnyTermination()
-    return queries
+
+    def start(config: SourceConfig) -> list[StreamingQuery]:
+        return harmonize_stream(spark, config, available_now=available_now, interval=interval)
+
+    running = {config.name: start(config) for config in configs}
+    left = {config.name: restarts for config in configs}
+    while True:
+        for config in configs:
+            failed = next((q for q in running[config.name] if not q.isActive and q.exception() is not None), None)
+            if failed is None:
+                continue
+            if left[config.name] == 0:
+                raise failed.exception()
+            left[config.name] -= 1
+            for query in running[config.name]:
+                query.stop()
+            running[config.name] = start(config)
+        active = [q for queries in running.values() for q in queries if q.isActive]
+        ended = [q for queries in running.values() for q in queries if not q.isActive and q.exception() is None]
+        if not active or (ended and not available_now):
+            if all(q.exception() is None for queries in running.values() for q in queries):
+                return [q for queries in running.values() for q in queries]
+            continue
+        # Wakes up when this one ends, or after a while to look at the others.
+        try:
+            active[0].awaitTermination(_WATCH_SECONDS)
+        except StreamingQueryException:
+            pass

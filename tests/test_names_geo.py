@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from epilink.operators.geo import geocode, resolve_and_geocode
-from epilink.operators.names import alias_table, resolve_names
+from epilink.operators.names import alias_table, containments, resolve_names
 
 
 def normalised(s):
@@ -39,15 +39,14 @@ NAMES += ["The XYZ town", "name", "g", "...", "   ", "", None, "Zürich-Nord", "
 
 
 @pytest.mark.parametrize("min_len", [0, 3])
-def test_both_ways_match_the_rules(spark, min_len):
+def test_all_steps_match_the_rules(spark, min_len):
     rows = [(a, c, p, i) for i, (a, c, p) in enumerate(ENTRIES)]
     aliases = spark.createDataFrame(rows, "alias string, canonical string, province string, rank int")
     names = spark.createDataFrame([(n,) for n in NAMES], "raw string")
     want = {n: expected(n, ENTRIES, min_len) for n in NAMES}
-    for limit in (256, 0):
-        got = resolve_names(names, "raw", aliases, min_len=min_len, inline_limit=limit).collect()
-        assert len(got) == len(NAMES)
-        assert {r.raw: (r.canonical, r.province, r.matched) for r in got} == want
+    got = resolve_names(names, "raw", aliases, min_len=min_len).collect()
+    assert len(got) == len(NAMES)
+    assert {r.raw: (r.canonical, r.province, r.matched) for r in got} == want
 
 
 def test_built_in_dictionary(spark):
@@ -62,12 +61,26 @@ def test_built_in_dictionary(spark):
     }
 
 
-def test_built_in_dictionary_by_joins_agrees(spark):
+def test_built_in_dictionary_as_a_table_agrees(spark):
     raws = ["D.G Khan", "rahimyarkhan", "Greater Lahore", "pin", "Nowhere", "", None, "--"]
     names = spark.createDataFrame([(r,) for r in raws], "raw string")
-    inline = resolve_names(names, "raw").collect()
-    joined = resolve_names(names, "raw", alias_table(spark), inline_limit=0).collect()
-    assert sorted(map(repr, inline)) == sorted(map(repr, joined))
+    entries = [tuple(r)[:3] for r in alias_table(spark).orderBy("rank").collect()]
+    got = resolve_names(names, "raw", alias_table(spark)).collect()
+    assert sorted(map(repr, resolve_names(names, "raw").collect())) == sorted(map(repr, got))
+    assert {r.raw: (r.canonical, r.province, r.matched) for r in got} == {n: expected(n, entries) for n in raws}
+
+
+def test_containment_pairs_are_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    texts = {"".join(rng.choices("abc ", k=rng.randint(0, 9))) for _ in range(150)}
+    inner, outer = sorted(texts)[::2], sorted(texts)[1::2] + ["caf\u00e9 \U0001f600 ab", "ab"]
+    side = lambda rows: spark.createDataFrame([(t,) for t in rows], "text string")
+    got = containments(side(inner + ["\u00e9 \U0001f600", "\U0001f600"]), side(outer)).collect()
+    want = {(i, o) for i in inner + ["\u00e9 \U0001f600", "\U0001f600"] for o in outer if i and i in o}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert containments(side([]), side(outer)).count() == containments(side(inner), side([])).count() == 0
 
 
 def test_empty_dictionary(spark):
@@ -93,10 +106,9 @@ def test_geocode_falls_back_on_the_raw_name(spark):
 
 def test_hot_name_keeps_every_row(spark):
     names = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "Lahore City").otherwise(F.col("id").cast("string")).alias("raw"))
-    for limit in (256, 0):
-        got = resolve_names(names, "raw", alias_table(spark), inline_limit=limit)
-        assert got.count() == 3000
-        assert got.where("canonical = 'Lahore'").count() == 1000
+    got = resolve_names(names, "raw", alias_table(spark))
+    assert got.count() == 3000
+    assert got.where("canonical = 'Lahore'").count() == 1000
 
 
 def test_geocode_keeps_one_row_per_row_on_repeated_keys(spark):
