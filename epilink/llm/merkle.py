@@ -6,7 +6,7 @@ root in the same way. Every row gets its proof, the siblings on its way to the r
 recomputed from its leaf and those siblings.
 
 Leaves are placed by one sort of digests over the whole table, so a source with a third of all rows is cut into as many
-superblocks as it needs: 3^8 consecutive nodes, whose tree is the same whatever lies around them. Upwards, each
+superblocks as it needs: 3^8 consecutive nodes (``levels`` = 8), whose tree is the same whatever lies around them. Upwards, each
 superblock is reduced to one node, and these are the nodes of the next tier, until one is left of each source. Downwards,
 the nodes of a tier and the outer nodes their superblock needs are cogrouped by superblock, which finishes
 the local reduction and joins proofs and folds them in one task of at most 6,561 nodes. Texts are read once.
@@ -32,7 +32,6 @@ from epilink.llm.tables import stored
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Children of a node, and levels of a superblock.
 FAN, LEVELS = 3, 8
-BLOCK = FAN**LEVELS
 _DIGEST = 32
 
 
@@ -51,18 +50,18 @@ def _join(digests: list[bytes]) -> bytes:
     return hashlib.sha256(b"".join(digests).hex().encode()).digest()
 
 
-def local_tree(digests: list[bytes], whole: bool) -> list[list[bytes]]:
-    """Levels of a superblock from its nodes up; up to a single node if it is the ``whole`` tree, else all of them."""
-    levels = [digests]
-    while len(levels[-1]) > 1 if whole else len(levels) <= LEVELS:
-        last = levels[-1]
-        levels.append([_join(last[i : i + FAN]) for i in range(0, len(last), FAN)])
-    return levels
+def local_tree(digests: list[bytes], size: int, levels: int) -> list[list[bytes]]:
+    """The tree over a superblock, from its nodes up: to a single node if it is the whole tree of ``size`` nodes, else ``levels`` up."""
+    tree = [digests]
+    while len(tree[-1]) > 1 if size <= FAN**levels else len(tree) <= levels:
+        last = tree[-1]
+        tree.append([_join(last[i : i + FAN]) for i in range(0, len(last), FAN)])
+    return tree
 
 
-def siblings(levels: list[list[bytes]], i: int) -> Iterator[tuple[list[bytes], list[bytes]]]:
+def siblings(tree: list[list[bytes]], i: int) -> Iterator[tuple[list[bytes], list[bytes]]]:
     """What stands before and after node ``i`` in its run, and so on up its way."""
-    for nodes in levels[:-1]:
+    for nodes in tree[:-1]:
         run = i - i % FAN
         yield nodes[run:i], nodes[i + 1 : run + FAN]
         i //= FAN
@@ -93,64 +92,64 @@ def fold(node: bytes, steps) -> bytes:
     return node
 
 
-def _by_block(nodes: DataFrame):
-    return nodes.withColumn("block", F.floor(F.col("place") / BLOCK)).groupBy("tree", "block")
+def _by_block(nodes: DataFrame, levels: int):
+    return nodes.withColumn("block", F.floor(F.col("place") / FAN**levels)).groupBy("tree", "block")
 
 
 _NODES = "tree long, place long, size long, node binary"
 
 
-def _reduced(nodes: DataFrame) -> DataFrame:
+def _reduced(nodes: DataFrame, levels: int) -> DataFrame:
     """The nodes of the next tier: one for each superblock of ``nodes`` (``tree, place, size, node``)."""
 
     def run(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("place")
         size = int(own["size"].iloc[0])
-        top = local_tree(list(own["node"]), size <= BLOCK)[-1][0]
-        return pd.DataFrame({"tree": [key[0]], "place": [key[1]], "size": [-(-size // BLOCK)], "node": [top]})
+        top = local_tree(list(own["node"]), size, levels)[-1][0]
+        return pd.DataFrame({"tree": [key[0]], "place": [key[1]], "size": [-(-size // FAN**levels)], "node": [top]})
 
-    return _by_block(nodes.select("tree", "place", "size", "node")).applyInPandas(run, _NODES)
+    return _by_block(nodes.select("tree", "place", "size", "node"), levels).applyInPandas(run, _NODES)
 
 
-def _tiers(nodes: DataFrame, label: str) -> list[DataFrame]:
+def _tiers(nodes: DataFrame, levels: int, label: str) -> list[DataFrame]:
     """``nodes`` and the tiers above it, until every tree has one node. One number a tier comes to the driver."""
     tiers = [nodes]
     while (tiers[-1].agg(F.max("size")).first()[0] or 1) > 1:
-        tiers.append(stored(_reduced(tiers[-1]), label))
+        tiers.append(stored(_reduced(tiers[-1], levels), label))
     return tiers
 
 
 _PATHS = "tree long, place long, node binary, path binary, root binary"
 
 
-def _paths(nodes: DataFrame, outer: DataFrame) -> DataFrame:
+def _paths(nodes: DataFrame, outer: DataFrame, levels: int) -> DataFrame:
     """``tree, place, node, path, root`` of the nodes of a tier; ``outer`` has ``path`` and ``root`` of their superblocks."""
 
     def run(own: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("place")
-        levels = local_tree(list(own["node"]), int(own["size"].iloc[0]) <= BLOCK)
+        tree = local_tree(list(own["node"]), int(own["size"].iloc[0]), levels)
         beyond, root = above["path"].iloc[0], above["root"].iloc[0]
-        paths = [pack(siblings(levels, i)) + beyond for i in range(len(own))]
+        paths = [pack(siblings(tree, i)) + beyond for i in range(len(own))]
         return pd.DataFrame({"tree": own["tree"], "place": own["place"], "node": own["node"], "path": paths, "root": [root] * len(own)})
 
     blocks = outer.select("tree", F.col("place").alias("block"), "path", "root")
-    return _by_block(nodes).cogroup(blocks.groupBy("tree", "block")).applyInPandas(run, _PATHS)
+    return _by_block(nodes, levels).cogroup(blocks.groupBy("tree", "block")).applyInPandas(run, _PATHS)
 
 
 _PROOFS = "doc_id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
 
 
-def _proved(leaves: DataFrame, outer: DataFrame) -> DataFrame:
+def _proved(leaves: DataFrame, outer: DataFrame, levels: int) -> DataFrame:
     """The rows of the manifest, ids as text, as pandas has no whole numbers beside nulls; ``outer`` has ``path``, ``root`` and ``subroot`` of the superblocks of the leaves."""
 
     def run(own: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("place")
         nodes = list(own["node"])
-        levels = local_tree(nodes, int(own["size"].iloc[0]) <= BLOCK)
+        tree = local_tree(nodes, int(own["size"].iloc[0]), levels)
         beyond, root = unpack(above["path"].iloc[0]), above["root"].iloc[0]
         proofs, folded = [], []
         for i, (node, found) in enumerate(zip(nodes, own["found"])):
-            steps = [*siblings(levels, i), *beyond]
+            steps = [*siblings(tree, i), *beyond]
             proofs.append(hashlib.sha256(b"".join(b"".join(a) + b"".join(b) for a, b in steps).hex().encode()).hexdigest())
             folded.append(fold(found if found is not None else node, steps))
         n = len(nodes)
@@ -167,7 +166,7 @@ def _proved(leaves: DataFrame, outer: DataFrame) -> DataFrame:
         )
 
     blocks = outer.select("tree", F.col("place").alias("block"), "path", "root", "subroot")
-    rows = _by_block(leaves.select("tree", "place", "size", "node", "found", F.col("doc_id").cast("string").alias("doc_id")))
+    rows = _by_block(leaves.select("tree", "place", "size", "node", "found", F.col("doc_id").cast("string").alias("doc_id")), levels)
     return rows.cogroup(blocks.groupBy("tree", "block")).applyInPandas(run, _PROOFS)
 
 
@@ -185,25 +184,32 @@ def placed_leaves(docs: DataFrame, found: Column | None = None, columns: tuple[s
     return placed.select("tree", (F.col("_place") - F.col("_begin")).alias("place"), "size", "node", "found", "doc_id")
 
 
-def manifest(docs: DataFrame, found: Column | None = None, columns: tuple[str, ...] = COLUMNS, source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
+def manifest(
+    docs: DataFrame,
+    found: Column | None = None,
+    columns: tuple[str, ...] = COLUMNS,
+    source_col: str = "source",
+    id_col: str = "doc_id",
+    levels: int = LEVELS,
+) -> DataFrame:
     """``doc_id, leaf, subroot, root, proof_sha256, folded_root, verified`` of every row, digests in hexadecimal.
 
     ``folded_root`` is recomputed from ``found`` (see :func:`placed_leaves`) where that is not null, else from the leaf, and
     the recorded siblings; ``verified`` says whether it is the root.
     """
     leaves = stored(placed_leaves(docs, found, columns, source_col, id_col), "tree-leaves")
-    tiers = _tiers(leaves, "tier")
+    tiers = _tiers(leaves, levels, "tier")
     tops = tiers[-1]
     n = tops.count()
-    upper = _tiers(tops.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), F.lit(n).cast("long").alias("size"), "node"), "upper")
+    upper = _tiers(tops.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("place"), F.lit(n).cast("long").alias("size"), "node"), levels, "upper")
     above = upper[-1].select("tree", "place", "node", F.lit("").cast("binary").alias("path"), F.col("node").alias("root"))
     for tier in reversed(upper[:-1]):
-        above = _paths(tier, above)
+        above = _paths(tier, above, levels)
     # What is beyond the top of each source's tree.
     roots = stored(above.select(F.col("place").alias("tree"), F.col("node").alias("subroot"), "path", "root"), "roots")
     above = roots.select("tree", F.lit(0).cast("long").alias("place"), "path", "root")
     for tier in reversed(tiers[1:-1]):
-        above = _paths(tier, above)
+        above = _paths(tier, above, levels)
     above = above.select("tree", "place", "path", "root").join(roots.select("tree", "subroot"), "tree")
-    proved = _proved(leaves, stored(above, "outer"))
+    proved = _proved(leaves, stored(above, "outer"), levels)
     return proved.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
