@@ -1,14 +1,19 @@
 """Personal data and the terms that reveal it, in DataFrame operations only.
 
 Fixed patterns find e-mail addresses, IP addresses, card and phone numbers: the protected entities.
-A term (a word of three or more letters, lower-cased) reveals an entity as far as lines that hold the
-term hold the entity: with ``n`` lines in all, the disclosure of ``e`` by ``t`` is
-``log(n * p / n_e) / log(n / n_e)``, which is pointwise mutual information as a share of the
-information of the entity: 0 if both are independent and near 1 if the term occurs nowhere else. ``p`` is the lower
-Wilson bound, at ``BOUND`` standard deviations, of the share ``n_te / n_t``, so few lines tell less; there is no least
-number of lines, and entities seen once are judged too. Counts are of lines of the whole corpus, each line of a document
-once. In all lines of all documents, also those without the entity, terms at or above ``GENERALISE`` are generalised
-(replaced by the kind of entity they reveal) and those at or above ``REMOVE`` are removed.
+A term (a word of three or more letters, lower-cased) reveals an entity as far as lines that hold the term hold the
+entity. Let ``p`` be the lower Wilson bound, at ``BOUND`` standard deviations, of the share of the lines with the term in which the
+entity stands too. Without the term ``log2(n / n_e)`` bits are needed to name the entity of a line, with it ``-log2(p)``, so these
+bits are what the term leaves secret. Few lines tell less; there is no least number of lines, entities seen once are judged
+too, and the threshold is the same at every size of the corpus, since unrelated lines change neither ``n_te`` nor ``n_t``.
+Counts are of lines of the whole corpus: each line of a document once, in every row that holds it. In all lines of all
+documents, also those without the entity, terms that leave at most ``GENERALISE`` bits are generalised (replaced by the
+kind of entity they reveal) and those that leave at most ``REMOVE`` bits are removed, if they tell at least ``TELLS`` bits.
+
+Texts are read three times: for entities and their lines, for the lines of each word, and for the places of told terms.
+The last pass looks for those words of a row only whose hash is in a bit filter of the told terms; of these only places are
+shuffled, to meet the terms themselves. The filter has ``FILTER_BITS`` bits for a term, at most 2^``MOST_BITS`` (16 MB); a fuller
+one lets more places through and loses none.
 
 Defined cases: a null text counts as empty and has no findings; findings of one kind never
 overlap, those of different kinds may; terms that overlap a base finding are left to it; repeated
@@ -40,10 +45,11 @@ _MARK, _OTHER = "\x01", "\x02"
 
 #: Half of all true shares lie within the bound and its upper twin.
 BOUND = 0.6745
-GENERALISE, REMOVE = 0.8, 0.95
+#: Bits left: one is an even chance to name the entity, a third of a bit four chances in five.
+GENERALISE, REMOVE, TELLS = 1.0, 0.33, 1.0
 _TERM = r"\p{L}{3,}"
-#: Revealing terms that are broadcast at a time; with more, the texts are read once for each part of them.
-TOLD_TERMS = 500_000
+#: Bits of the filter for each told term, and the binary logarithm of the most it may have.
+FILTER_BITS, MOST_BITS = 16, 27
 
 
 def _clean(text_col: str) -> Column:
@@ -80,9 +86,10 @@ _NONE = "array<struct<start:int,end:int,value:string>>"
 _PIECES = 256
 
 
-def places(text: Column, pattern: str) -> Column:
+def places(text: Column, pattern: str | Column) -> Column:
     """Matches of ``pattern`` as ``array<struct<start, end, value>>`` in code points; ``text`` must not hold the mark."""
-    pieces = F.split(F.regexp_replace(text, f"({pattern})", f"{_MARK}$1{_MARK}"), _MARK)
+    whole = F.concat(F.lit("("), pattern, F.lit(")")) if isinstance(pattern, Column) else F.lit(f"({pattern})")
+    pieces = F.split(F.regexp_replace(text, whole, F.lit(f"{_MARK}$1{_MARK}")), _MARK)
     start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), F.array().cast(_NONE).alias("found"))
 
     def step(s, p):
@@ -112,7 +119,7 @@ def _base(kind: str, text: Column) -> Column:
 
 
 def base_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, _row`` (id and text in one), ``_text`` and one array of findings for each kind."""
+    """``doc_id``, ``_text`` and one array of findings for each kind."""
     text = _clean(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("_text"))
     return rows.select("doc_id", "_text", *(_base(k, F.col("_text")).alias(k) for k in KINDS))
@@ -122,17 +129,23 @@ def _words(line: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(_TERM), 0), F.lower))
 
 
-def _mentions(found: DataFrame) -> DataFrame:
-    """``_row, kind, entity, line``: each entity in each line that holds it."""
-    def named(kind: str) -> Column:
-        return F.transform(kind, lambda f: F.struct(F.lit(kind).alias("kind"), f["start"].alias("start"), f["end"].alias("end"), f["value"].alias("value")))
+_MENTIONS = "array<struct<kind:string,entity:string,line:string>>"
 
-    each = F.concat(*map(named, KINDS))
-    some = found.filter(" or ".join(f"size({k}) > 0" for k in KINDS)).select("_row", "_text", F.explode(each).alias("f"))
-    head = F.substring_index(F.substring(F.col("_text"), F.lit(1), F.col("f.start")), "\n", -1)
-    tail = F.substring_index(F.substring(F.col("_text"), F.col("f.start") + 1, F.length("_text")), "\n", 1)
-    entity = F.when(F.col("f.kind").isin("card", "phone"), _digits(F.col("f.value"))).otherwise(F.lower("f.value"))
-    return some.select("_row", F.col("f.kind").alias("kind"), entity.alias("entity"), F.concat(head, tail).alias("line")).distinct()
+
+def _mentions() -> Column:
+    """Each entity in each different line of the row that holds it."""
+
+    def of(kind: str) -> Column:
+        def mention(f: Column) -> Column:
+            head = F.substring_index(F.substring(F.col("_text"), F.lit(1), f["start"]), "\n", -1)
+            tail = F.substring_index(F.substring(F.col("_text"), f["start"] + 1, F.length("_text")), "\n", 1)
+            entity = _digits(f["value"]) if kind in ("card", "phone") else F.lower(f["value"])
+            return F.struct(F.lit(kind).alias("kind"), entity.alias("entity"), F.concat(head, tail).alias("line"))
+
+        return F.transform(kind, mention)
+
+    some = reduce(lambda x, y: x | y, (F.size(k) > 0 for k in KINDS))
+    return F.when(some, F.array_distinct(F.concat(*map(of, KINDS)))).otherwise(F.array().cast(_MENTIONS))
 
 
 def _lower_bound(part: Column, whole: Column) -> Column:
@@ -142,34 +155,57 @@ def _lower_bound(part: Column, whole: Column) -> Column:
 
 
 def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", generalise: float = GENERALISE) -> DataFrame:
-    """``(kind, entity, term, disclosure)`` at or above ``generalise``."""
-    lines = stored(_mentions(found), "mentions")
+    """``(kind, entity, term, left)`` of terms that leave at most ``generalise`` bits; ``found`` has ``mentions`` of all rows."""
+    lines = found.select(F.explode("mentions").alias("m")).select("m.*")
     entities = lines.groupBy("kind", "entity").agg(F.count("*").alias("n_e"))
     both = lines.select("kind", "entity", F.explode(_words(F.col("line"))).alias("term"))
     both = both.groupBy("kind", "entity", "term").agg(F.count("*").alias("n_te"))
     both = stored(both.join(entities, ["kind", "entity"]), "pairs")
-    text = _clean(text_col)
-    all_lines = docs.select(F.array_distinct(F.split(text, "\n")).alias("lines"))
-    n = all_lines.agg(F.sum(F.size("lines"))).first()[0] or 1
-    terms = all_lines.select(F.explode("lines").alias("line")).select(F.explode(_words(F.col("line"))).alias("term"))
-    counts = terms.groupBy("term").agg(F.count("*").alias("n_t"))
-    share = F.log(F.lit(float(n)) * _lower_bound(F.col("n_te"), F.col("n_t")) / F.col("n_e")) / F.log(F.lit(float(n)) / F.col("n_e"))
-    told = both.join(counts, "term").filter(F.col("n_e") < n).withColumn("disclosure", share).filter(F.round("disclosure", 9) >= generalise)
-    return told.select("kind", "entity", "term", "disclosure")
+    text_lines = docs.select(F.explode(F.array_distinct(F.split(_clean(text_col), "\n"))).alias("line"))
+    counts = text_lines.select(F.explode(_words(F.col("line"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    n = found.agg(F.sum("n_lines")).first()[0] or 1
+    judged = both.join(counts, "term").withColumn("left", F.round(-F.log2(_lower_bound(F.col("n_te"), F.col("n_t"))), 9))
+    tells = F.log2(F.lit(float(n)) / F.col("n_e")) - F.col("left") >= TELLS
+    return judged.filter((F.col("left") <= generalise) & tells).select("kind", "entity", "term", "left")
+
+
+def _bit(term: Column, bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(term), 64 - bits)
+
+
+def _filter_of(told: DataFrame, bits: int) -> DataFrame:
+    """One row: 2^``bits`` bits as an array of longs, those of the hashes of ``term`` set."""
+    bit = _bit(F.col("term"), bits)
+    mask = F.expr("shiftleft(1L, cast(bit & 63 as int))")
+    held = told.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("id")).agg(F.bit_or(mask).alias("mask"))
+    longs = told.sparkSession.range(1 << (bits - 6)).join(held, "id", "left")
+    return longs.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("mask", F.lit(0)).alias("mask")))).getField("mask").alias("bits"))
 
 
-def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove: float = REMOVE, told_terms: int = TOLD_TERMS) -> DataFrame:
+def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove: float = REMOVE, most_bits: int = MOST_BITS) -> DataFrame:
     """``doc_id``, the arrays ``email, ip, card, phone`` and ``terms`` (start, end, value and action) of every row."""
-    base = base_findings(docs, id_col, text_col).withColumn("_hash", F.md5("_text")).withColumn("_row", row_key("doc_id", "_hash")).drop("_hash")
-    told = disclosures(docs, base, text_col).groupBy("term").agg(F.max("disclosure").alias("most"), F.min("kind").alias("kind"))
-    action = F.when(F.round("most", 9) >= remove, F.lit("remove")).otherwise(F.concat(F.lit("generalise-"), F.col("kind")))
+    row = row_key("doc_id", F.md5("_text"))
+    base = base_findings(docs, id_col, text_col)
+    n_lines = F.size(F.array_distinct(F.split("_text", "\n")))
+    base = stored(base.select("doc_id", row.alias("_row"), *KINDS, _mentions().alias("mentions"), n_lines.alias("n_lines")), "base")
+    told = disclosures(docs, base, text_col).groupBy("term").agg(F.min("left").alias("left"), F.min("kind").alias("kind"))
+    action = F.when(F.col("left") <= remove, F.lit("remove")).otherwise(F.concat(F.lit("generalise-"), F.col("kind")))
     told = stored(told.select("term", action.alias("action")), "told")
-    # Where the terms lie, in whatever line.
-    there = base.select("_row", F.explode(places(F.col("_text"), _TERM)).alias("w")).withColumn("term", F.lower("w.value"))
-    n_parts = max(1, -(-told.count() // told_terms))
-    each = [there.join(F.broadcast(told.filter(F.pmod(F.xxhash64("term"), F.lit(n_parts)) == i)), "term") for i in range(n_parts)]
-    hits = reduce(DataFrame.union, each).groupBy("_row").agg(F.array_sort(F.collect_set(F.struct("w.start", "w.end", "w.value", "action"))).alias("_terms"))
-    out = base.drop("_text").join(hits, "_row", "left")
+    bits = min(most_bits, max(7, (told.count() * FILTER_BITS).bit_length()))
+    held = stored(_filter_of(told, bits), "filter").scalar()
+    # Every different word of a row that may be told, as it is spelled, and where it stands.
+    texts = docs.select(F.col(id_col).alias("doc_id"), _clean(text_col).alias("_text"))
+    words = texts.select("doc_id", "_text", F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(_TERM), 0))).alias("word"))
+    words = words.withColumn("term", F.lower("word")).withColumn("bit", _bit(F.col("term"), bits))
+    word = F.get(held, F.shiftright("bit", 6).cast("int"))
+    words = words.filter(F.getbit(word, F.expr("cast(bit & 63 as int)")) == 1)
+    alone = F.concat(F.lit(r"(?<!\p{L})"), F.col("word"), F.lit(r"(?!\p{L})"))
+    words = words.select(row.alias("_row"), "term", places(F.col("_text"), alone).alias("at"))
+    # A set, as a row that is repeated finds the same places each time.
+    hits = words.join(told, "term").groupBy("_row").agg(F.collect_set(F.struct("at", "action")).alias("found"))
+    spot = lambda f: F.transform(f["at"], lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), w["value"].alias("value"), f["action"].alias("action")))
+    hits = hits.select("_row", F.array_sort(F.flatten(F.transform("found", spot))).alias("_terms"))
+    out = base.drop("mentions", "n_lines").join(hits, "_row", "left")
     all_base = F.concat(*KINDS)
     apart = F.filter("_terms", lambda t: ~F.exists(all_base, lambda f: (f["start"] < t["end"]) & (t["start"] < f["end"])))
     none = F.array().cast("array<struct<start:int,end:int,value:string,action:string>>")

@@ -19,10 +19,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_key(*cols: str):
+def row_key(*cols):
     """One string for a row: null and text parts never coincide, lengths keep the parts apart."""
     parts = []
     for c in cols:
-        text = F.col(c).cast("string")
+        text = (F.col(c) if isinstance(c, str) else c).cast("string")
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
     return F.concat(*parts)
+
+
+def whole(df: DataFrame):
+    """The row as the struct ``_doc``, so that no column of it can clash with others; ``_doc.*`` gives it back."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_doc")

@@ -1,6 +1,7 @@
 """Operators of the training-data pipeline against brute force, on small tables with odd rows."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -50,6 +51,10 @@ def test_exact_dedup_cases(odd, none):
     assert exact_dedup.first_of_each(none).count() == 0
     clash = odd.withColumns({"keep_id": F.lit(9), "_row": F.lit("x"), "_md5": F.lit("y")})
     assert exact_dedup.exact_duplicates(clash).count() == 9
+    clash = clash.withColumns({"text_sha256_": F.lit(1), "_doc": F.lit(2), "_id": F.lit(3)})
+    first = exact_dedup.first_of_each(clash)
+    assert first.columns == clash.columns and first.count() == 7
+    assert first.select("_row", "_doc").distinct().collect() == [("x", 2)]
 
 
 def test_decontamination_is_brute_force(spark, odd):
@@ -123,6 +128,24 @@ def test_order_minhash_finds_every_pair(spark, odd, none):
     assert order_minhash.near_duplicates(none).count() == 0
 
 
+def test_order_minhash_is_about_texts_not_ids(spark):
+    """An id with two texts, rows without an id, and columns named like those within."""
+    base = [f"a{i}" for i in range(200)]
+    near = lambda k: " ".join(base[:k] + ["new"] + base[k + 1 :])
+    other = " ".join(f"b{i}" for i in range(200))
+    rows = [(1, " ".join(base)), (2, near(100)), (2, other), (None, other + " b200"), (None, "c " * 50 + near(3)), (None, " ".join(f"d{i}" for i in range(90)))]
+    rows += [(None, " ".join(f"d{i}" for i in range(91))), (None, " ".join(f"d{i}" for i in range(91))), (5, "alone " * 20)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], DOCS).withColumns({"_row": F.lit("x"), "class_id": F.lit(7), "_key": F.lit(8)})
+    found = sorted(((r.doc_id, r.class_id, r.kept) for r in order_minhash.near_duplicates(docs).collect()), key=repr)
+    assert [f[:2] for f in found].count((2, 1)) == 1 and [f[:2] for f in found].count((2, 2)) == 1
+    assert (None, 2, False) in found and (2, 2, True) in found and (2, 1, False) in found
+    kept = order_minhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    texts = sorted((r.doc_id is None, r.doc_id, r.text) for r in kept.collect())
+    assert [t[:2] for t in texts] == [(False, 1), (False, 2), (False, 5), (True, None), (True, None)]
+    assert texts[1][2] == other and kept.filter("_row = 'x' and class_id = 7").count() == 5
+
+
 def test_alignment_needs_the_order():
     a = np.arange(100, dtype=np.uint64)
     assert order_minhash.aligned(a, a[5:], 0.8)
@@ -200,6 +223,14 @@ def test_chat_format_round_trip(spark):
     assert chat_format.digest(chat_format.read_back(chat_format.format_turns(turns.limit(0)))).count() == 0
 
 
+def test_chat_format_long_roles(spark):
+    """Roles of 100,000 characters, which a pattern must not match by recursion."""
+    roles = ["r" * 100_000, "\\" * 50_000 + ">\n", ">\n<turn " * 12_000]
+    turns = spark.createDataFrame([(c, 0, r, "x" * 1000) for c, r in enumerate(roles)], "conv_id long, turn long, role string, text string")
+    read = {r.conv_id: r.turns for r in chat_format.read_back(chat_format.format_turns(turns)).collect()}
+    assert all([tuple(t) for t in read[c]] == [(r, "x" * 1000)] for c, r in enumerate(roles))
+
+
 def chat_text(written):
     return re.sub(r"(?s)\\(.)", r"\1", written)
 
@@ -271,11 +302,65 @@ def test_pii_terms_reveal_anywhere_and_once(spark):
     rows += [(50 + i, f"ask then left first number{i} plain line", "en", "a", 1) for i in range(400)]
     docs = spark.createDataFrame(rows, DOCS)
     found = {r.doc_id: [(t.start, t.value, t.action) for t in r.terms] for r in pii.findings(docs).collect()}
-    assert found == {r.doc_id: [(t.start, t.value, t.action) for t in r.terms] for r in pii.findings(docs, told_terms=1).collect()}
+    assert found == {r.doc_id: [(t.start, t.value, t.action) for t in r.terms] for r in pii.findings(docs, most_bits=7).collect()}
     assert found[0] == [(4, "Zebulon", "generalise-email")] and found[3] == [(11, "zebulon", "generalise-email")]
     assert [t[:2] for t in found[4]] == [(4, "xanadu")] and found[50] == []
 
 
+def told_terms(rows):
+    """Terms and what they leave secret, by going through all lines of all rows."""
+    n, n_e, n_t, n_te = 0, {}, {}, {}
+    for _, text, *_ in rows:
+        for line in dict.fromkeys((text or "").split("\n")):
+            n += 1
+            terms = {w.lower() for w in re.findall(r"[^\W\d_]{3,}", line)}
+            found = {(p.split(":")[0], line[int(p.split(":")[1]) : int(p.split(":")[2])].lower()) for p in base_pii(line).split(",") if p}
+            for t in terms:
+                n_t[t] = n_t.get(t, 0) + 1
+            for e in found:
+                n_e[e] = n_e.get(e, 0) + 1
+                for t in terms:
+                    n_te[e, t] = n_te.get((e, t), 0) + 1
+    left = {}
+    for (e, t), k in n_te.items():
+        z2, whole = 0.6745**2, n_t[t]
+        p = k / whole
+        low = (p + z2 / (2 * whole) - 0.6745 * math.sqrt((p * (1 - p) + z2 / (4 * whole)) / whole)) / (1 + z2 / whole)
+        bits = -math.log2(low)
+        if round(bits, 9) <= 1 and math.log2(n / n_e[e]) - bits >= 1:
+            left[t] = min(left.get(t, 9), bits)
+    return {t: ("remove" if b <= 0.33 else "generalise-email") for t, b in left.items()}
+
+
+@pytest.mark.parametrize("copies", [1, 2, 20])
+def test_pii_disclosures_are_brute_force(spark, copies):
+    """Rows that are repeated count each time; unrelated lines change nothing."""
+    rng = random.Random(6)
+    names = ["Xanadu", "Ulla", "\u00c5sa", "Zeb", "Quill"]
+    rows = []
+    for i in range(60):
+        lines = [" ".join(rng.choices(["plain", "words", "only", "here", "more", *names], k=5)) for _ in range(2)]
+        if i % 3 == 0:
+            k = rng.randrange(5)
+            lines.append(f"{names[k]} writes {rng.choice(['often', 'now'])} from p{k}@example.com")
+        rows.append((i, "\n".join(lines + lines[:1]), "en", "a", 1))
+    rows += [(900, "ask Singular at once@example.org", "en", "a", 1)] * copies + [rows[3]] * (copies - 1)
+    got = {}
+    for unrelated in (0, 2000):
+        more = [(5000 + i, f"unrelated line number {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}x", "en", "a", 1) for i in range(unrelated)]
+        out = pii.findings(spark.createDataFrame(rows + more, DOCS)).collect()
+        told = told_terms(rows + more)
+        for r in out:
+            text = dict((x[0], x[1]) for x in rows + more)[r.doc_id]
+            spans = [f for k in ("email", "ip", "card", "phone") for f in r[k]]
+            free = lambda m: not any(f.start < m.end() and m.start() < f.end for f in spans)
+            want = [(m.start(), m.end(), m[0], told[m[0].lower()]) for m in re.finditer(r"[^\W\d_]{3,}", text) if m[0].lower() in told and free(m)]
+            assert [tuple(t) for t in r.terms] == want, r.doc_id
+        got[unrelated] = {r.doc_id: [tuple(t) for t in r.terms] for r in out if r.doc_id < 5000}
+        assert "singular" in told and got[unrelated][900]
+    assert got[0] == got[2000]
+
+
 def test_pii_places_of_long_texts(spark):
     text = " ".join(f"wörd{'x' * (i % 5)}" for i in range(3000)) + " \U0001f600 end"
     got = spark.createDataFrame([(text,)], "text string").select(pii.places(F.col("text"), r"\p{L}{3,}").alias("p")).first().p
