@@ -39,8 +39,9 @@ def _rendered(role, text):
     return F.concat(F.lit("<turn "), role, F.lit(">\n"), text, F.lit(CLOSE))
 
 
-#: The role of a turn ends at the first ``>`` with a line end that no backslash stands before.
-_HEAD = r"(?s)^<turn ((?:[^\\>]|\\.)*)>\n"
+#: The role of a turn ends at the first ``>`` with a line end that no backslash stands before. Possessive, as Java
+#: matches any other repeated group by recursion, which long roles overflow; a role has one reading only.
+_HEAD = r"(?s)^<turn ((?:[^\\>]++|\\.)*+)>\n"
 
 
 def parse(formatted):

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epilink.llm.tables import row_key
+from epilink.llm.tables import row_key, whole
 
 
 def normalised(text):
@@ -46,6 +46,6 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts."""
     kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(row_key("doc_id", "text_sha256").alias("_row"))
-    own = docs.withColumn("text_sha256_", F.sha2(normalised(F.col(text_col)), 256))
-    own = own.withColumn("_row", row_key(id_col, "text_sha256_")).drop("text_sha256_")
-    return own.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
+    rows = docs.select(whole(docs), F.col(id_col).alias("_id"), F.sha2(normalised(F.col(text_col)), 256).alias("_sha"))
+    rows = rows.select("_doc", row_key("_id", "_sha").alias("_row"))
+    return rows.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select("_doc.*")

@@ -8,7 +8,8 @@ verified by a banded alignment of the two whole sequences: the longest common su
 within the band in which enough matches can lie, and the similarity ``c / (n + m - c)``, which
 for texts without moves is the Jaccard similarity of the runs.
 
-Equal word sequences are collapsed before. All members of a bucket meet its leader first,
+Equal word sequences are collapsed before: a text, not a row or an id, is what sketches, links and classes are about,
+and ids come in only to choose the row that stays. All members of a bucket meet its leader first,
 which joins most of a group of copies into one component with a number of pairs in proportion to
 its size. Then those of different components whose leaders are the same, or in one component, meet,
 but only where they can be similar. Let the core of the group be the runs that more than half of its members have,
@@ -21,8 +22,9 @@ linked.
 Defined cases: texts without words (null, empty, only marks) are equal to each other only if the
 same after trimming white space, null as empty; texts of one to four words are one run and have
 equal texts only as duplicates; a repeated row belongs to the class of the row it repeats;
-a row with a null id belongs to a class by equal words only, and is its own class where no other
-row has an id; rows that share an id but not the text share a class; empty tables give empty tables.
+rows that share an id but not the text belong to the classes of their texts; rows with a null id are documents like
+others, but stay only where their class has no row with an id; empty tables give empty tables; other columns
+of the table do not matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from epilink.llm.tables import stored
+from epilink.llm.tables import stored, whole
 from epilink.llm.words import mix, shingles, slices
 
 WIDTH = 5
@@ -118,11 +120,11 @@ _SEEN = "_id long, _hash long, _key binary, _n int, _runs binary, _sketches arra
 _FILTER_BITS = 25
 
 
-def _id_filter(ids: DataFrame) -> np.ndarray:
-    """A bit for the hash of each id ``id``, as 64-bit words. Other ids may share a bit, none is missed."""
-    bit = F.shiftrightunsigned(F.xxhash64("id"), 64 - _FILTER_BITS)
+def _hash_filter(texts: DataFrame) -> np.ndarray:
+    """A bit for each ``_hash``, as 64-bit words. Other hashes may share a bit, none is missed."""
+    bit = F.shiftrightunsigned(F.xxhash64("_hash"), 64 - _FILTER_BITS)
     mask = F.expr("shiftleft(1L, cast(bit & 63 as int))")
-    rows = ids.select(bit.alias("bit")).select(F.shiftright("bit", 6).alias("at"), mask.alias("mask")).groupBy("at").agg(F.bit_or("mask").alias("mask"))
+    rows = texts.select(bit.alias("bit")).select(F.shiftright("bit", 6).alias("at"), mask.alias("mask")).groupBy("at").agg(F.bit_or("mask").alias("mask"))
     out = np.zeros(1 << (_FILTER_BITS - 6), dtype=np.int64)
     found = rows.toArrow()
     out[found.column(0).to_numpy()] = found.column(1).to_numpy()
@@ -165,7 +167,7 @@ def _read(texts: DataFrame, with_runs: bool) -> DataFrame:
 
 
 def _filtered(texts: DataFrame, bits: np.ndarray) -> DataFrame:
-    """The rows of ``texts`` whose id may be in the filter."""
+    """The rows of ``texts`` whose ``_hash`` may be in the filter."""
     sent = texts.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
@@ -174,9 +176,8 @@ def _filtered(texts: DataFrame, bits: np.ndarray) -> DataFrame:
             keep = (sent.value[bit >> 6] >> (bit & 63)) & 1
             yield batch.select(["_id", "_hash", "_text"]).filter(pa.array(keep == 1))
 
-    bit = F.shiftrightunsigned(F.xxhash64("_id"), 64 - _FILTER_BITS)
-    rows = texts.filter("_id is not null").select(bit.alias("_bit"), "_id", "_hash", "_text")
-    return rows.mapInArrow(run, texts.schema)
+    bit = F.shiftrightunsigned(F.xxhash64("_hash"), 64 - _FILTER_BITS)
+    return texts.select(bit.alias("_bit"), "_id", "_hash", "_text").mapInArrow(run, texts.schema)
 
 
 def _verified(pairs: DataFrame, runs: DataFrame, threshold: float) -> DataFrame:
@@ -340,29 +341,26 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row per document: ``doc_id``, ``class_id`` (smallest id of its class), ``n_links`` (texts similar to its
-    text that were found as links) and ``kept`` (it is the one of its class that stays).
+    """One row per document: ``doc_id``, ``class_id`` (smallest id of its class, null if it has none), ``n_links`` (texts
+    similar to its text that were found as links) and ``kept`` (it is the one of its class that stays).
 
-    All rows that repeat the kept id are marked as kept; :func:`one_of_each` then keeps one. ``text_hash`` tells
-    the rows of a null id apart.
+    Rows that repeat id and text of the kept one are marked as kept too; :func:`one_of_each` then keeps one. ``text_hash`` tells
+    rows with the same id apart.
     """
     plain = docs.select(F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_hash"), F.col(text_col).alias("_text"))
     seen = stored(_read(plain, False).drop("_runs"), "sketches")
-    # One text of each word sequence goes on.
-    firsts = stored(seen.groupBy("_key").agg(F.min("_id").alias("_first")), "texts")
-    single = firsts.filter("_first is not null").join(
-        seen.filter("size(_sketches) > 0").select("_key", F.col("_id").alias("_first"), "_n", "_sketches"), ["_key", "_first"]
-    )
-    single = stored(single.dropDuplicates(["_key", "_first"]), "single")
-    single = single.select(F.col("_first").alias("id"), F.col("_n").alias("n"), F.explode("_sketches").alias("bucket"))
+    # One text of each word sequence goes on, under a number that is fixed by the storing. The row that would stay comes with it.
+    row = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_hash").alias("hash")))
+    texts = seen.groupBy("_key").agg(row.alias("row"), F.any_value("_n").alias("n"), F.any_value("_sketches").alias("_sketches"))
+    texts = stored(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
+    single = texts.select("id", "n", F.explode("_sketches").alias("bucket"))
     shared = single.groupBy("bucket").agg(F.count("*").alias("_size"), F.min("id").alias("head")).filter("_size > 1").drop("_size")
     members = stored(single.join(shared, "bucket").select("id", "n", "head").distinct(), "members")
-    lengths = members.select("id", "n").distinct()
+    lengths = stored(members.select("id", "n").distinct().join(texts.select("id", "_key", F.col("row.hash").alias("_hash")), "id"), "lengths")
     # Few texts are candidates. The filter spares a shuffle of all the others; the join below is exact.
-    runs = _read(_filtered(plain, _id_filter(lengths)), True).select("_id", "_key", "_runs")
-    runs = runs.join(lengths.select(F.col("id").alias("_id")).distinct(), "_id")
-    runs = runs.join(firsts.select("_key", F.col("_first").alias("_id")), ["_key", "_id"])
-    runs = stored(runs.groupBy("_id").agg(F.min_by("_runs", "_key").alias("_runs")), "runs")
+    runs = _read(_filtered(plain, _hash_filter(lengths)), True).select("_hash", "_key", "_runs")
+    runs = runs.dropDuplicates(["_key", "_hash"]).join(lengths.select("_key", "_hash", F.col("id").alias("_id")), ["_key", "_hash"])
+    runs = stored(runs.select("_id", "_runs"), "runs")
     heads = lengths.select(F.col("id").alias("head"), F.col("n").alias("n_a"))
     pairs = members.filter("id <> head").join(heads, "head").withColumn("n_b", F.col("n")).filter(_alike(threshold))
     pairs = pairs.select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
@@ -380,21 +378,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = own.join(joined.select(F.col("id").alias("component"), F.col("component").alias("whole")), "component", "left").select("id", F.coalesce("whole", "component").alias("component"))
     edges = first.unionByName(more)
 
-    degree = edges.select(F.explode(F.array("a", "b")).alias("_first")).groupBy("_first").agg(F.count("*").alias("_links"))
-    classes = found.select(F.col("id").alias("_first"), "component").join(degree, "_first", "left")
-    of_text = firsts.join(classes, "_first", "left").select("_key", F.coalesce("component", "_first").alias("class_id"), F.coalesce("_links", F.lit(0)).alias("n_links"))
+    degree = edges.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("_links"))
+    classes = found.join(degree, "id", "left")
+    text = texts.select("id", "_key", F.struct("row.none", "row.id", "row.hash", F.col("_key").alias("key")).alias("row"))
+    # The row that stays is the one with the smallest id of all texts of the class.
+    own = found.join(text, "id").groupBy("component").agg(F.min("row").alias("stays"))
+    classes = classes.join(own, "component").select("id", "stays", "_links")
+    of_text = text.join(classes, "id", "left").select("_key", F.coalesce("stays", "row").alias("stays"), F.coalesce("_links", F.lit(0)).alias("n_links"))
+    kept = F.col("_id").eqNullSafe(F.col("stays.id")) & (F.col("_hash") == F.col("stays.hash")) & (F.col("_key") == F.col("stays.key"))
     return seen.select("_id", "_hash", "_key").join(of_text, "_key").select(
         F.col("_id").alias("doc_id"),
-        "class_id",
+        F.col("stays.id").alias("class_id"),
         "n_links",
-        F.col("_id").eqNullSafe(F.col("class_id")).alias("kept"),
+        kept.alias("kept"),
         F.col("_hash").alias("text_hash"),
     )
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each class: the one with the smallest id; repeated rows count once."""
-    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text_hash")
-    kept = near_duplicates(docs, id_col, text_col, threshold).filter("kept").select(name.alias("_row")).distinct()
-    own = F.concat_ws(":", F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("-")), F.xxhash64(text_col))
-    return docs.withColumn("_row", own).join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*docs.columns)
+
+    def name(id_: str, hashed):
+        return F.concat_ws(":", F.coalesce(F.col(id_).cast("long").cast("string"), F.lit("-")), hashed).alias("_row")
+
+    kept = near_duplicates(docs, id_col, text_col, threshold).filter("kept").select(name("doc_id", "text_hash")).distinct()
+    own = docs.select(whole(docs), name(id_col, F.xxhash64(text_col)))
+    return own.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select("_doc.*")
