@@ -10,8 +10,8 @@ from . import vocabulary
 from .operators.metrics import metrics_row, observe_ingestion
 from .plans import ingest, jobs
 from .session import get_session
-from .sinks import append_metrics, publish
-from .sources import read_json_map, read_table
+from .sinks import append_metrics, publish, read_dictionary, update_dictionary, write_json_map
+from .sources import is_batch_table, read_json_map, read_table
 from .sources.payloads import has_reading
 from .streaming import default_sources, run_all, topic_location
 
@@ -39,7 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--metrics-log", required=True)
     c.add_argument("--folder", help="write topics as text files below this folder instead of a broker")
     c.add_argument("--aliases", help="Parquet table alias, canonical, province, rank instead of the built-in places")
-    c.add_argument("--gazetteer", help="JSON object of name|country to lat and lon instead of the built-in one")
+    c.add_argument("--gazetteer", help="JSON object of name|country to lat and lon, or a stored gazetteer, instead of the built-in one")
     c.add_argument("--fallback", help="Parquet table name, lat, lon instead of the built-in points")
 
     c = commands.add_parser("link", help="link cases with weather and alerts")
@@ -61,6 +61,11 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--graph", required=True)
         c.add_argument("--out", required=True)
 
+    c = commands.add_parser("dictionary", help="add the entries of a JSON object of name|country to a stored gazetteer")
+    c.add_argument("--store", required=True, help="folder of the stored gazetteer, as publish takes it")
+    c.add_argument("--add", required=True, help="JSON object of name|country to lat and lon")
+    c.add_argument("--export", help="also write the whole gazetteer as one JSON object")
+
     c = commands.add_parser("summaries", help="cases, temperature and alerts per place")
     c.add_argument("--base", required=True)
     c.add_argument("--out")
@@ -77,9 +82,14 @@ def _print_all(table) -> None:
         print(*row, sep="\t")
 
 
+def _gazetteer(spark, path):
+    """A stored gazetteer, or one in a JSON file."""
+    return read_dictionary(spark, path) if is_batch_table(spark, path) else read_json_map(spark, path)
+
+
 def _dictionaries(spark, args) -> dict:
     """Place dictionaries that were given, by the names ``plans.ingest`` takes them under."""
-    readers = {"aliases": read_table, "gazetteer": read_json_map, "fallback": read_table}
+    readers = {"aliases": read_table, "gazetteer": _gazetteer, "fallback": read_table}
     return {name: read(spark, getattr(args, name)) for name, read in readers.items() if getattr(args, name)}
 
 
@@ -122,6 +132,10 @@ def main(argv: list[str] | None = None) -> None:
         print(*jobs.property_graph_job(spark, args.graph, args.out))
     elif args.command == "edges":
         print(jobs.edge_job(spark, args.graph, args.out))
+    elif args.command == "dictionary":
+        print(update_dictionary(read_json_map(spark, args.add), args.store).rows, "entries")
+        if args.export:
+            write_json_map(read_dictionary(spark, args.store), args.export)
     elif args.command == "summaries":
         for name, table in jobs.summary_job(spark, args.base, args.out).items():
             print(name)

@@ -19,6 +19,9 @@ from ..session import scratch_path
 from ..sinks import (
     append_metrics,
     merge_graph,
+    read_dictionary,
+    update_dictionary,
+    write_json_map,
     predicate_tags,
     predicates_of,
     rdfxml_rows,
@@ -44,9 +47,11 @@ from ..sources import (
     read_statistics,
     read_table,
     read_triples,
+    rejected_feeds,
     rejected_ntriples,
     stream_folder,
     read_batches,
+    read_json_map,
     read_graph,
     read_log,
     union_all,
@@ -397,6 +402,18 @@ def json_map(t: Tables) -> DataFrame:
     )
 
 
+@query
+def json_map_round_trip(t: Tables) -> DataFrame:
+    """A gazetteer of all customers stored, updated for every third with a later entry that wins, exported as one object and read."""
+    place = text.gazetteer_key(F.col("c_name"), F.lit("Pakistan"))
+    named = t.customer.select(place.alias("key"), (F.col("c_nationkey") + F.lit(0.5)).alias("lat"), F.col("c_acctbal").alias("lon"), "c_custkey")
+    store = scratch_path(t.spark, "gazetteer")
+    update_dictionary(named.drop("c_custkey"), store)
+    moved = named.where("c_custkey % 3 = 0").withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("lat", F.col("lat") + 100 * F.col("seq"))
+    update_dictionary(moved.drop("c_custkey"), store, order_by="seq")
+    return read_json_map(t.spark, write_json_map(read_dictionary(t.spark, store), scratch_path(t.spark, "gazetteer-json"))).select("key", "lat", "lon")
+
+
 def _feeds(t: Tables) -> DataFrame:
     """Each document as a feed of seven items; some miss their date or their link."""
     title = lambda n: F.concat(F.col("lang"), F.lit(f" {n} & <more>"))
@@ -420,6 +437,26 @@ def feed_items(t: Tables) -> DataFrame:
     return parse_feed_items(_feeds(t), "feed").select("doc_id", "source", "position", "title", "link", "published")
 
 
+@query
+def feed_rejected(t: Tables) -> DataFrame:
+    """Feeds of which some are cut within their third item, no XML, no feed, blank, or RSS 1.0; items read and why not all."""
+    form, feed = F.pmod("doc_id", F.lit(7)), F.col("feed")
+    first = F.concat(F.lit('<item rdf:about="a">'), F.substring_index(F.substring_index(feed, "<item>", -7), "</item>", 1), F.lit("</item>"))
+    written = (
+        F.when(form == 1, F.concat(F.substring_index(feed, "</item>", 2), F.lit("</item><item><title>cu")))
+        .when(form == 2, F.lit("no feed today & nothing else"))
+        .when(form == 3, F.lit("<html><body>moved</body></html>"))
+        .when(form == 4, F.concat(F.lit('<rdf:RDF xmlns:rdf="r" xmlns="n"><channel rdf:about="u"><title>c</title></channel>'), first, F.lit("</rdf:RDF>")))
+        .when(form == 5, F.lit(" "))
+        .when(form == 6, F.lit("<rss><channel></channel></rss>"))
+        .otherwise(feed)
+    )
+    feeds = _feeds(t).withColumn("feed", written)
+    read = parse_feed_items(feeds, "feed").groupBy("doc_id").agg(F.count(F.lit(1)).alias("items"))
+    rejected = rejected_feeds(feeds, "feed").select("doc_id", "reason", "saved")
+    return read.join(rejected, "doc_id", "full").select("doc_id", F.coalesce("items", F.lit(0)).alias("items"), "reason", "saved")
+
+
 @query
 def news_items(t: Tables) -> DataFrame:
     return ingest.news_records(_feeds(t), "feed").select("source", "title", "link", "published")

@@ -216,6 +216,14 @@ ORACLE: dict[str, str] = {
           CASE WHEN n % 2 = 0 THEN 'http://example.org/' || CASE WHEN n = 0 THEN 0 ELSE doc_id END ELSE '' END AS link,
           CASE WHEN n = 0 THEN 'Tue, 30 Jun 2026' ELSE '' END AS published
         FROM documents, range(7) r(n)""",
+    "json_map_round_trip": """
+        SELECT lower(c_name) || '|pakistan' AS key, c_nationkey + 0.5 + CASE WHEN c_custkey % 3 = 0 THEN 200 ELSE 0 END::DOUBLE AS lat, c_acctbal::DOUBLE AS lon
+        FROM customer""",
+    "feed_rejected": """
+        SELECT doc_id, CAST(CASE doc_id % 7 WHEN 0 THEN 7 WHEN 1 THEN 2 WHEN 4 THEN 1 ELSE 0 END AS BIGINT) AS items,
+          CASE doc_id % 7 WHEN 1 THEN 'unreadable' WHEN 2 THEN 'unreadable' WHEN 3 THEN 'no feed' WHEN 5 THEN 'empty' END AS reason,
+          CAST(CASE doc_id % 7 WHEN 1 THEN 2 WHEN 2 THEN 0 WHEN 3 THEN 0 WHEN 5 THEN 0 END AS INTEGER) AS saved
+        FROM documents WHERE doc_id % 7 <> 6""",
     "news_items": """
         SELECT source, CASE WHEN n = 0 THEN text ELSE lang || ' ' || n || ' & <more>' END AS title,
           CASE WHEN n % 2 = 0 THEN 'http://example.org/' || CASE WHEN n = 0 THEN 0 ELSE doc_id END ELSE '' END AS link,

@@ -1,6 +1,7 @@
 """Writers: tables, logs, messages, dictionaries and graph files."""
 
-from .batches import clean_up, compact, spread, write_batch
+from .batches import clean_up, compact, replace_all, spread, write_batch
+from .dictionaries import read_dictionary, update_dictionary, write_dictionary, write_json_map
 from .graph_files import (
     ntriples_lines,
     predicate_tags,

@@ -101,6 +101,13 @@ def compact(
         made.append(_write(rows, path, run[0].level + 1, run[0].first, run[-1].last, key, sum(e.failed for e in run), arrange, beside, **layout))
 
 
+def replace_all(df: DataFrame, path: str, key: str | None = None, **options) -> Entry:
+    """Make ``df`` all that the table holds. Readers see the old rows until the new entry is there, then the new ones."""
+    found = entries(df.sparkSession, path)
+    level, last = max((e.level + 1 for e in found), default=0), max((e.last for e in found), default=0)
+    return _write(df, path, level, 0, last, key, 0, options.pop("arrange", None), options.pop("beside", None), **options)
+
+
 def clean_up(spark: SparkSession, path: str, older_than_seconds: float = 7 * 24 * 3600) -> list[str]:
     """Delete what no reader needs any more, and give its names: entries and folders replaced so long ago, and folders
     of writes that began so long ago and never got an entry."""
