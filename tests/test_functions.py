@@ -188,3 +188,36 @@ def test_ids(spark):
     ids = [r[0] for r in df.select(prefixed_id(["x", "y"], "NDMA-")).collect()]
     assert ids == ["NDMA-" + h[:8].upper() for h in hashes]
     assert df.select(record_id().alias("u")).distinct().count() == 3
+
+
+def test_relative_keys_are_those_of_the_calendar(spark):
+    """Every phrase from every day of three weeks over a new year."""
+    from epilink.functions.temporal import extract_relative_key
+
+    names = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+    days = [dt.date(2025, 12, 20) + dt.timedelta(i) for i in range(21)]
+
+    def named(day):
+        out = {"today": 0, "Yesterday": -1, "TOMORROW": 1, "last week": -7, "past  week": -7, "this week": 0, "next week": 7}
+        out |= {"two days ago": -2, "a week ago": -7, "an  unseen day ago": None, "10 days ago": -10, "twelve weeks ago": -84}
+        for k, name in enumerate(names):
+            gap = (day.weekday() - k) % 7
+            out |= {f"on {name.title()}": -gap, f"last {name}": -(gap or 7), f"next {name}": 7 - gap, f"this {name}": k - day.weekday()}
+        return out
+
+    rows = [(d, phrase, n) for d in days for phrase, n in named(d).items()]
+    df = spark.createDataFrame([(d, f"It rained ({phrase}), they said.") for d, phrase, _ in rows], "d date, t string")
+    got = df.select(extract_relative_key(F.col("t"), F.col("d")), "d", "t").collect()
+    moved = spark.createDataFrame([(d + dt.timedelta(n) if n is not None else None, d, f"It rained ({p}), they said.") for d, p, n in rows], "m date, d date, t string")
+    want = {(r.d, r.t): r.k for r in moved.select(week_key(F.col("m")).alias("k"), "d", "t").collect()}
+    assert {(r[1], r[2]): r[0] for r in got} == want
+
+
+def test_relative_keys_beside_dates(spark):
+    from epilink.functions.temporal import extract_relative_key
+
+    day = F.lit(dt.date(2026, 7, 15))
+    key = lambda c: extract_relative_key(c, day, F.lit("none"))
+    texts = ["On 2026-06-30, not yesterday", "yesterday, not 2026-06-30", "2024-02-31 or last week", "Sundays and mondayish", "", None, "3 weeks", "yesterdays 2026-W03"]
+    assert one(spark, texts, "string", key) == ["2026-W27", "2026-W29", "2026-W28", "none", "none", "none", "none", "2026-W03"]
+    assert one(spark, ["last week"], "string", lambda c: extract_relative_key(c, F.lit(None).cast("date"))) == [None]
