@@ -12,7 +12,7 @@ kind of entity they reveal) and those that leave at most ``REMOVE`` bits are rem
 
 Texts are read three times: for entities and their lines, for the lines of each word, and for the places of told terms.
 The last pass looks for those words of a row only whose hash is in a bit filter of the told terms; of these only places are
-shuffled, to meet the terms themselves. The filter has ``FILTER_BITS`` bits for a term, at most 2^``MOST_BITS`` (16 MB); a fuller
+shuffled, to meet the terms themselves. The filter, which the driver sets up, has ``FILTER_BITS`` bits for a term, at most 2^``MOST_BITS`` (2 MB); a fuller
 one lets more places through and loses none.
 
 Defined cases: a null text counts as empty and has no findings; findings of one kind never
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ BOUND = 0.6745
 GENERALISE, REMOVE, TELLS = 1.0, 0.33, 1.0
 _TERM = r"\p{L}{3,}"
 #: Bits of the filter for each told term, and the binary logarithm of the most it may have.
-FILTER_BITS, MOST_BITS = 16, 27
+FILTER_BITS, MOST_BITS = 16, 24
 
 
 def _clean(text_col: str) -> Column:
@@ -173,13 +174,15 @@ def _bit(term: Column, bits: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(term), 64 - bits)
 
 
-def _filter_of(told: DataFrame, bits: int) -> DataFrame:
-    """One row: 2^``bits`` bits as an array of longs, those of the hashes of ``term`` set."""
+def _filter_of(told: DataFrame, bits: int) -> Column:
+    """2^``bits`` bits as a constant array of longs, those of the hashes of ``term`` set."""
     bit = _bit(F.col("term"), bits)
     mask = F.expr("shiftleft(1L, cast(bit & 63 as int))")
-    held = told.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("id")).agg(F.bit_or(mask).alias("mask"))
-    longs = told.sparkSession.range(1 << (bits - 6)).join(held, "id", "left")
-    return longs.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("mask", F.lit(0)).alias("mask")))).getField("mask").alias("bits"))
+    held = told.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(mask).alias("mask"))
+    longs = np.zeros(1 << (bits - 6), dtype=np.int64)
+    found = held.toArrow()
+    longs[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    return F.from_json(F.lit(str(longs.tolist())), "array<bigint>")
 
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove: float = REMOVE, most_bits: int = MOST_BITS) -> DataFrame:
@@ -192,19 +195,21 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
     action = F.when(F.col("left") <= remove, F.lit("remove")).otherwise(F.concat(F.lit("generalise-"), F.col("kind")))
     told = stored(told.select("term", action.alias("action")), "told")
     bits = min(most_bits, max(7, (told.count() * FILTER_BITS).bit_length()))
-    held = stored(_filter_of(told, bits), "filter").scalar()
-    # Every different word of a row that may be told, as it is spelled, and where it stands.
+    held = _filter_of(told, bits)
+
+    def may_be_told(word: Column) -> Column:
+        bit = _bit(F.lower(word), bits)
+        return F.getbit(F.get(held, F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    # The different words of a row that may be told, as they are spelled, and where they stand.
     texts = docs.select(F.col(id_col).alias("doc_id"), _clean(text_col).alias("_text"))
-    words = texts.select("doc_id", "_text", F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(_TERM), 0))).alias("word"))
-    words = words.withColumn("term", F.lower("word")).withColumn("bit", _bit(F.col("term"), bits))
-    word = F.get(held, F.shiftright("bit", 6).cast("int"))
-    words = words.filter(F.getbit(word, F.expr("cast(bit & 63 as int)")) == 1)
-    alone = F.concat(F.lit(r"(?<!\p{L})"), F.col("word"), F.lit(r"(?!\p{L})"))
-    words = words.select(row.alias("_row"), "term", places(F.col("_text"), alone).alias("at"))
+    words = F.filter(F.array_distinct(F.regexp_extract_all("_text", F.lit(_TERM), 0)), may_be_told)
+    texts = texts.select("doc_id", "_text", words.alias("_words")).filter("size(_words) > 0")
+    alone = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("_words", "|"), F.lit(r")(?!\p{L})"))
+    spots = texts.select(row.alias("_row"), places(F.col("_text"), alone).alias("at")).select("_row", F.explode("at").alias("w"))
+    spots = spots.withColumn("term", F.lower("w.value")).join(told, "term")
     # A set, as a row that is repeated finds the same places each time.
-    hits = words.join(told, "term").groupBy("_row").agg(F.collect_set(F.struct("at", "action")).alias("found"))
-    spot = lambda f: F.transform(f["at"], lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end"), w["value"].alias("value"), f["action"].alias("action")))
-    hits = hits.select("_row", F.array_sort(F.flatten(F.transform("found", spot))).alias("_terms"))
+    hits = spots.groupBy("_row").agg(F.array_sort(F.collect_set(F.struct("w.start", "w.end", "w.value", "action"))).alias("_terms"))
     out = base.drop("mentions", "n_lines").join(hits, "_row", "left")
     all_base = F.concat(*KINDS)
     apart = F.filter("_terms", lambda t: ~F.exists(all_base, lambda f: (f["start"] < t["end"]) & (t["start"] < f["end"])))
