@@ -13,7 +13,7 @@ from epilink.llm.decontaminate import decontaminate
 from epilink.llm.exact_dedup import first_of_each
 from epilink.llm.mixing import mix
 from epilink.llm.order_minhash import one_of_each
-from epilink.llm.tables import stored, table
+from epilink.llm.tables import release, stored, table
 from epilink.llm.toxicity import accepted
 
 
@@ -58,4 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
+        release(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
