@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of what a stored step has left behind: models, broadcasts and shuffle files.
+
+    Spark deletes those on the executors once the driver has collected its references to them, which a driver with
+    little to do may put off for long.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def row_key(*cols):
     """One string for a row: null and text parts never coincide, lengths keep the parts apart."""
     parts = []
