@@ -5,13 +5,15 @@ successor implies closed is closed (``li``, ``p``, ``td``, ``tr``, ``option`` an
 belongs to the body, text too), an end tag closes up to its
 element if that is open and is passed over otherwise. Scripts, styles, comments, ``head`` but for
 nothing, templates, controls without text, elements with ``hidden`` or ``aria-hidden="true"``, and those whose style says
-``display:none`` or ``visibility:hidden`` are invisible. White space collapses except in ``pre`` and ``textarea``. Blocks
+``display:none`` are invisible with all they hold; ``visibility`` is inherited, so that a visible child of a hidden element is seen.
+Text of drawings and formulas is seen, of a choice the option that is shown (all of them if several can be chosen). White space collapses except in ``pre`` and ``textarea``. Blocks
 stand on lines of their own, paragraphs, headings, lists and tables apart by an empty line; list items
-carry a dash or their number and are indented by depth; the cells of a table are padded to columns.
+carry a dash or their number and are indented by depth; the cells of a table are placed on a grid, on which cells may
+span rows and columns, and padded to columns.
 
 Defined cases: null pages give null, empty pages empty text; unclosed and misnested tags, stray
-``<`` and unknown entities are text or are closed at the end as above; pages of any length and depth are read in
-one pass without recursion over text; repeated rows are rendered alike; empty tables give empty tables.
+``<`` and unknown entities are text or are closed at the end as above; pages of any length and depth are read without
+recursion, inner tables before those around them; a cell spans 1,000 columns and 65,534 rows at most, as in browsers; repeated rows are rendered alike; empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 # Names of elements by how they behave.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("audio canvas datalist head iframe map math noframes noscript object script select style svg template title video".split())
+HIDDEN = set("audio canvas datalist defs desc head iframe map metadata noframes noscript object script style template title video".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
 APART = set("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
 BLOCK = APART | set(
@@ -48,7 +50,8 @@ _WALL = {"table", "td", "th", "body", "html"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_GONE = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -58,7 +61,14 @@ class Node:
     hidden: bool = False
     start: int = 1
     span: int = 1
+    rows: int = 1
+    #: Whether it sets its visibility; after :func:`_settle`, whether its own text is seen.
+    seen: bool | None = None
+    #: Of an option: it is chosen; of a choice: all its options are shown.
+    marked: bool = False
     children: list[Node | str] = field(default_factory=list)
+    #: Of a table: its lines, once they are laid out.
+    lines: list[str] | None = None
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -110,10 +120,14 @@ def tree(html: str) -> Node:
         node = Node(tag, tag in HIDDEN)
         if m[3]:
             a = _attributes(m[3])
-            unseen = "hidden" in a and a["hidden"].lower() != "until-found" or a.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(a.get("style", ""))
+            unseen = "hidden" in a and a["hidden"].lower() != "until-found" or a.get("aria-hidden", "").lower() == "true" or _GONE.search(a.get("style", ""))
             node.hidden |= bool(unseen)
+            if shown := _VISIBILITY.search(a.get("style", "")):
+                node.seen = shown[1].lower() == "visible"
+            node.marked = "selected" in a if tag == "option" else "multiple" in a or _number(a.get("size"), 0, 99) > 1
             node.start = _number(a["start"], -(10**9), 10**9) if tag == "ol" and "start" in a else 1
-            node.span = _number(a.get("colspan"), 1, 100)
+            node.span = _number(a.get("colspan"), 1, 1000)
+            node.rows = _number(a.get("rowspan"), 0, 65534)
             if tag == "img" and a.get("alt"):
                 node.children.append(a["alt"])
         open_[-1].children.append(node)
@@ -178,20 +192,57 @@ def render(html: str | None) -> str | None:
     """The visible text of a page."""
     if html is None:
         return None
-    return "\n".join(_rendered(tree(html))).strip("\n")
+    root = tree(html)
+    for table in reversed(_settle(root)):
+        table.lines = _table(table)
+    return "\n".join(_rendered(root)).strip("\n")
+
+
+def _settle(root: Node) -> list[Node]:
+    """Hand visibility down and hide the options that are not shown; all tables that are seen, outer ones first."""
+    tables = []
+    root.seen = True
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.hidden:
+            continue
+        if node.tag == "table":
+            tables.append(node)
+        if node.tag == "select" and not node.marked:
+            _choose(node)
+        for c in node.children:
+            if isinstance(c, Node):
+                c.seen = node.seen if c.seen is None else c.seen
+                stack.append(c)
+    return tables
+
+
+def _choose(select: Node) -> None:
+    """Hide all options but the last chosen one, or the first where none is."""
+    options, stack = [], [select]
+    while stack:
+        node = stack.pop()
+        if node.tag == "option":
+            options.append(node)
+        stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    shown = next((o for o in reversed(options) if o.marked), options[0] if options else None)
+    for o in options:
+        o.hidden |= o is not shown
 
 
 def _rendered(node: Node) -> list[str]:
-    """Lines of one node; the walk keeps its own stack, and only a table starts another one."""
+    """Lines of one node, in which all tables have their lines; the walk keeps its own stack."""
     out = _Lines()
-    stack: list[tuple] = [("open", node, False, None, 0)]
+    stack: list[tuple] = [("open", node, False, None, True)]
     while stack:
-        act, n, pre, lists, _ = stack.pop()
+        act, n, pre, lists, seen = stack.pop()
         if act == "call":
             n()
             continue
         if isinstance(n, str):
-            out.plain(n) if pre else out.word(n)
+            if seen:
+                out.plain(n) if pre else out.word(n)
             continue
         if n.hidden:
             continue
@@ -202,10 +253,10 @@ def _rendered(node: Node) -> list[str]:
         if tag == "hr":
             out.apart()
             continue
-        if tag == "table":
+        if n.lines is not None:
             out.apart()
             out.end()
-            for line in _table(n):
+            for line in n.lines:
                 out.parts.append(line)
                 out.end(True)
             out.apart()
@@ -236,56 +287,90 @@ def _rendered(node: Node) -> list[str]:
             after.append(lambda: setattr(out, "space", True))
         pre = pre or tag in ("pre", "textarea", "xmp")
         for f in after[::-1]:
-            stack.append(("call", f, None, None, 0))
-        stack.extend(("open", c, pre, lists, 0) for c in reversed(n.children))
+            stack.append(("call", f, None, None, True))
+        stack.extend(("open", c, pre, lists, n.seen) for c in reversed(n.children))
     out.end()
     return out.lines
 
 
+def _within(parent: Node, children: list[Node | str] | None = None) -> list[str]:
+    return _rendered(Node("div", seen=parent.seen, children=parent.children if children is None else children))
+
+
 def _table(table: Node) -> list[str]:
     """Rows of a table with cells padded to columns; a cell of several lines takes as many."""
     captions, rows = [], []
-    stack = [c for c in reversed(table.children)]
+    stack = [(c, table) for c in reversed(table.children)]
     while stack:
-        n = stack.pop()
+        n, parent = stack.pop()
         if isinstance(n, str):
-            if n.strip():
+            if parent.seen and n.strip():
                 captions += [_SPACE.sub(" ", n).strip()]
         elif n.hidden:
             continue
         elif n.tag == "tr":
-            cells = [(_rendered(Node("div", children=c.children)), c.span) for c in n.children if isinstance(c, Node) and c.tag in ("td", "th") and not c.hidden]
+            cells = [(_within(c), c.span, c.rows) for c in n.children if isinstance(c, Node) and c.tag in ("td", "th") and not c.hidden]
             loose = [c for c in n.children if not (isinstance(c, Node) and c.tag in ("td", "th"))]
             if any(isinstance(c, Node) or c.strip() for c in loose):
-                captions += _rendered(Node("div", children=loose))
+                captions += _within(n, loose)
             if cells:
                 rows.append(cells)
         elif n.tag in ("tbody", "thead", "tfoot"):
-            stack.extend(reversed(n.children))
+            stack.extend((c, n) for c in reversed(n.children))
         elif n.tag in ("td", "th"):
-            rows.append([(_rendered(Node("div", children=n.children)), n.span)])
+            rows.append([(_within(n), n.span, n.rows)])
         else:
             captions += _rendered(n)
-    widths: list[int] = []
-    for cells in rows:
-        at = 0
-        for lines, span in cells:
-            widths += [0] * (at + span - len(widths))
-            if span == 1:
-                widths[at] = max([widths[at], *map(len, lines)])
-            at += span
+    placed, widths = _grid(rows)
     out = [*captions]
-    for cells in rows:
-        for k in range(max([1, *(len(lines) for lines, _ in cells)])):
-            at, line = 0, []
-            for lines, span in cells:
+    for cells in placed:
+        for k in range(max([1, *(len(lines) for lines, _, _ in cells)])):
+            line = []
+            for lines, at, span in cells:
                 room = sum(widths[at : at + span]) + 3 * (span - 1)
                 line.append((lines[k] if k < len(lines) else "").ljust(room))
-                at += span
             out.append(" | ".join(line).rstrip())
     return out
 
 
+def _grid(rows: list[list[tuple[list[str], int, int]]]) -> tuple[list[list[tuple[list[str], int, int]]], list[int]]:
+    """Cells of each row with their first column and span, blank ones below a cell that spans rows; and the widths of the columns."""
+    placed, open_ = [], []  # open_: first column, span and rows left of the cells that reach into the next row
+    for i, cells in enumerate(rows):
+        own, held, at = [], sorted(open_), 0
+        waiting = list(cells)
+        while waiting or held:
+            if held and (held[0][0] <= at or not waiting):
+                own.append(([], held[0][0], held[0][1]))
+                at = max(at, held[0][0] + held[0][1])
+                held.pop(0)
+                continue
+            lines, span, down = waiting.pop(0)
+            # A cell ends where one from above begins.
+            if held:
+                span = max(1, min(span, held[0][0] - at))
+            own.append((lines, at, span))
+            if down != 1:
+                open_.append((at, span, down if down else len(rows) - i))
+            at += span
+        open_ = [(a, s, d - 1) for a, s, d in open_ if d > 1]
+        placed.append(own)
+    widths = [0] * max([0, *(at + span for own in placed for _, at, span in own)])
+    spanning = []
+    for own in placed:
+        for lines, at, span in own:
+            need = max([0, *map(len, lines)])
+            if span == 1:
+                widths[at] = max(widths[at], need)
+            elif need:
+                spanning.append((span, at, need))
+    # What a wide cell needs beyond its columns goes to the last of them.
+    for span, at, need in sorted(spanning):
+        room = sum(widths[at : at + span]) + 3 * (span - 1)
+        widths[at + span - 1] += max(0, need - room)
+    return placed, widths
+
+
 def extract(pages: DataFrame, html_col: str = "html", columns: list[str] | None = None) -> DataFrame:
     """``columns`` of ``pages`` (all but the page by default) and ``text``, its visible text."""
     columns = [c for c in pages.columns if c != html_col] if columns is None else columns

@@ -409,6 +409,17 @@ PAGES = {
     "<head>\n<meta name=a><noscript><img alt=x></noscript><script>s</script> text": "text",
     "<head><base href=a><template><p>x</template><link><style>s</style><h1>a</h1></head>b": "a\n\nb",
     "": "",
+    "<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>": "a | b\n  | c\nd | e",
+    "<table><tr><td>x<td rowspan=0>y<tr><td>zz<tr><td>w</table>": "x  | y\nzz |\nw  |",
+    "<table><tr><td colspan=2>a very wide one<td>end<tr><td>a<td>b<td>c</table>": "a very wide one | end\na | b           | c",
+    "<table><tr><td rowspan=2 colspan=2>q<td>r<tr><td>s</table>": "q   | r\n    | s",
+    "<select><option>one<option selected>two<option>three</select>!": "two\n!",
+    "<select><option>one<option>two</select>": "one",
+    "<select multiple><option>one<option>two</select>": "one\ntwo",
+    "<svg><title>t</title><text>drawn</text><style>s</style></svg> <math><mi>x</mi><mo>=</mo><mn>1</mn></math>": "drawn x=1",
+    "<div style='visibility:hidden'>no <b style='visibility: visible'>yes</b> no</div>": "yes",
+    "<table style='visibility:hidden'><tr><td>n<td style='visibility:visible'>y</table>": " | y",
+    "<div style='display:none'>no <b style='visibility: visible'>no</b></div>ok": "ok",
 }
 
 
@@ -417,6 +428,8 @@ def test_html(spark):
         assert html_text.render(page) == text, page
     deep = "<div>" * 5000 + "deep"
     assert html_text.render(deep) == "deep"
+    assert html_text.render("<table><tr><td>" * 5000 + "deep") == "deep"
+    assert html_text.render("<ul><li>a<table><tr><td>b<table><tr><td>c<td>d</table><td>e</table>") == "- a\n\n  b     | e\n        |\n  c | d |"
     rows = spark.createDataFrame([(1, "<p>a", "u"), (2, None, None), (1, "<p>a", "u")], "page_id long, html string, text string")
     assert sorted(map(repr, map(tuple, html_text.extract(rows, columns=["page_id"]).collect()))) == ["(1, 'a')", "(1, 'a')", "(2, None)"]
     assert html_text.extract(rows.limit(0)).count() == 0
