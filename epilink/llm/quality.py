@@ -2,28 +2,32 @@
 
 One view is the content of a text: hashed words and pairs of words, and shares of symbols,
 capitals, digits and repeated words. The other is what is known about its page: language, source, length, number
-and length of lines, number of repeated lines. Each view has a logistic classifier, in numpy. Over some rounds each classifier
-labels the unlabelled rows it is surest of, in the proportion of the labels, and these join the
-training rows of the other view. Both are then calibrated on labelled rows held back, and their
-calibrated log-odds are averaged, weighted by how well each does there.
+and length of lines, number of repeated lines. Each view has a logistic classifier, in numpy. In every round both views
+score all unlabelled documents; each labels those it is surest of, by the quantiles of its scores over the whole corpus
+and in the proportion of the labels, and these join the training rows of the other view. Both are then calibrated
+on labelled rows held back, and their calibrated log-odds are averaged, weighted by how well each does there.
 
-Fitting uses a bounded sample (see :class:`Sample`) of labelled and unlabelled rows, taken by a
-hash; every document is scored over its whole text.
+Rows are fitted on the driver, as features without their texts, so their number is bounded (see :class:`Sample`): labelled
+rows by a hash, and in each round, of all documents that lie beyond a quantile, as many by a hash for each view. All else
+covers every document over its whole text.
 
 Defined cases: null or empty texts and null metadata have features of their own and get a score;
-labels that contradict count as the larger; without labels of both kinds all scores are 0.5;
-repeated rows get equal scores; empty tables give empty tables.
+labels that contradict count as the larger; without labels of both kinds all scores are 0.5; rows without an id are scored
+and never learnt from; of rows that share an id one text, by its hash, is learnt from; repeated rows get equal scores;
+empty tables give empty tables; other columns of the table do not matter, whatever their names.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from epilink.llm.tables import stored
 from epilink.llm.words import Words, mix, slices
 
 _BITS = 14
@@ -33,11 +37,13 @@ THRESHOLD = 0.5
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of the rows that are fitted on, and the length of their texts."""
+    """Bounds of the rows that are fitted on: labelled ones, and those that a view labels for the other in one round."""
 
     labelled: int = 3000
-    unlabelled: int = 2000
-    characters: int = 20_000
+    #: Rounds, the share of all unlabelled documents a view is sure enough of to label, and how many of them it labels.
+    rounds: int = 3
+    surest: float = 0.05
+    each: int = 200
 
 
 @dataclass
@@ -187,48 +193,49 @@ class Model:
         return tuple(1 / (1 + np.exp(-np.clip(z, -30, 30))) for z in (self.share * a + (1 - self.share) * b, a, b))
 
 
-def cotrain(text: Rows, meta: Rows, y: np.ndarray, rounds: int = 3, each: int = 100, seed: int = 2) -> Model:
-    """Views fitted on rows with ``y`` 0 or 1, and on rows with -1 (unlabelled) as they label them for each other."""
-    known = np.flatnonzero(y >= 0)
-    if len(np.unique(y[known])) < 2:
-        return Model(View(np.zeros(CONTENT_SIZE)), View(np.zeros(PAGE_SIZE)))
-    rng = np.random.default_rng(seed)
-    order = rng.permutation(known)
-    held, fit = order[: len(order) // 4], order[len(order) // 4 :]
-    if min(len(np.unique(y[held])), len(np.unique(y[fit]))) < 2:
-        held = fit = known
-    share = (y[fit] == 1).mean()
-    own = [dict(zip(fit.tolist(), y[fit])) for _ in range(2)]
-    pool = set(np.flatnonzero(y < 0).tolist())
-    data = (text, meta)
-
-    def learn(k: int) -> View:
-        rows = np.array(sorted(own[k]))
-        return _fit(data[k].take(rows), np.array([own[k][r] for r in rows.tolist()], dtype=np.float64), views[k])
-
-    views = [View(np.zeros(CONTENT_SIZE)), View(np.zeros(PAGE_SIZE))]
-    views = [learn(0), learn(1)]
-    for _ in range(rounds):
-        if not pool:
-            break
-        left = np.array(sorted(pool))
-        for k in (0, 1):
-            z = views[k].logit(data[k].take(left))
-            by = np.argsort(z, kind="stable")
-            best, worst = by[::-1][: round(each * share)], by[: round(each * (1 - share))]
-            for rows, label in ((best[z[best] > 1], 1), (worst[z[worst] < -1], 0)):
-                own[1 - k].update((int(left[r]), label) for r in rows)
-                pool -= set(left[rows].tolist())
-        views = [learn(0), learn(1)]
-    gain = []
-    for k, v in enumerate(views):
-        z = v.logit(data[k].take(held))
-        v.scale, v.shift = _platt(z, y[held])
-        p = np.clip(1 / (1 + np.exp(-(v.scale * z + v.shift))), 1e-6, 1 - 1e-6)
-        rate = np.clip(y[held].mean(), 1e-6, 1 - 1e-6)
-        loss = -(y[held] * np.log(p) + (1 - y[held]) * np.log(1 - p)).mean()
-        gain.append(max(1e-3, -(rate * np.log(rate) + (1 - rate) * np.log(1 - rate)) - loss))
-    return Model(*views, share=gain[0] / sum(gain))
+#: Log-odds from which a view is sure of a label at all.
+_SURE = 1.0
+
+
+class CoTraining:
+    """Two views that are fitted on labelled rows, and on rows that they label for each other."""
+
+    def __init__(self, text: Rows, meta: Rows, y: np.ndarray, seed: int = 2) -> None:
+        order = np.random.default_rng(seed).permutation(len(y))
+        held, fit = order[: len(order) // 4], order[len(order) // 4 :]
+        if min(len(np.unique(y[held])), len(np.unique(y[fit]))) < 2:
+            held = fit = order
+        self.held = (text.take(held), meta.take(held), y[held])
+        self.share = float((y[fit] == 1).mean())
+        self.rows = [[text.take(fit)], [meta.take(fit)]]
+        self.labels = [[y[fit].astype(np.float64)], [y[fit].astype(np.float64)]]
+        self.views = [View(np.zeros(CONTENT_SIZE)), View(np.zeros(PAGE_SIZE))]
+        self.learn()
+
+    def learn(self) -> None:
+        self.views = [_fit(_stacked(self.rows[k]), np.concatenate(self.labels[k]), self.views[k]) for k in (0, 1)]
+
+    def taught(self, view: int, rows: Rows, labels: np.ndarray) -> None:
+        """Add rows that the other view has labelled to the training rows of ``view``."""
+        self.rows[view].append(rows)
+        self.labels[view].append(labels.astype(np.float64))
+
+    def model(self) -> Model:
+        """Both views, calibrated and weighted by what they tell of the rows held back."""
+        gain, y = [], self.held[2]
+        for v, rows in zip(self.views, self.held):
+            z = v.logit(rows)
+            v.scale, v.shift = _platt(z, y)
+            p = np.clip(1 / (1 + np.exp(-(v.scale * z + v.shift))), 1e-6, 1 - 1e-6)
+            rate = np.clip(y.mean(), 1e-6, 1 - 1e-6)
+            loss = -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
+            gain.append(max(1e-3, -(rate * np.log(rate) + (1 - rate) * np.log(1 - rate)) - loss))
+        return Model(*self.views, share=gain[0] / sum(gain))
+
+
+def _stacked(parts: list[Rows]) -> Rows:
+    begin = np.concatenate([[0], np.cumsum([r.n for r in parts])])
+    return Rows(*(np.concatenate(x) for x in zip(*((r.row + lo, r.column, r.value) for lo, r in zip(begin, parts)))), int(begin[-1]))
 
 
 _LINES = ("size(split(coalesce(text, ''), '\\n'))", "size(array_distinct(split(coalesce(text, ''), '\\n')))", "aggregate(split(coalesce(text, ''), '\\n'), 0, (a, l) -> greatest(a, length(l)))")
@@ -243,27 +250,89 @@ def _views(part: pa.RecordBatch, words: Words) -> tuple[Rows, Rows]:
     return content(words), page(c[0], c[1], c[2], list(zip(*c[3:])))
 
 
+_FEATURES = "c0 binary, v0 binary, c1 binary, v1 binary"
+
+
+def _features(docs: DataFrame, few: DataFrame, carried: list[str]) -> tuple[list[list], Rows, Rows]:
+    """Values of ``carried`` (columns of ``few``) and features in both views of one row of each id in ``few``, a bounded table."""
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, words in slices(batch.column(1)):
+                part = batch.slice(lo, hi - lo)
+                packed = []
+                for rows in _views(part, words):
+                    order = np.argsort(rows.row, kind="stable")
+                    at = np.searchsorted(rows.row[order], np.arange(rows.n + 1))
+                    for data in (rows.column[order].astype(np.int32), rows.value[order].astype(np.float32)):
+                        packed.append(pa.array([data[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns[8:], *packed], names=[*carried, *(f.split()[0] for f in _FEATURES.split(", "))])
+
+    prepared = _prepared(docs)
+    one = prepared.join(F.broadcast(few), "doc_id").groupBy("doc_id", *carried).agg(F.min_by(F.struct(*prepared.columns[1:]), F.xxhash64("text")).alias("d"))
+    one = one.select("doc_id", *[f"d.{c}" for c in prepared.columns[1:]], *carried).orderBy("doc_id", *carried)
+    schema = ", ".join([*(f"{c} {t}" for c, t in one.select(*carried).dtypes), _FEATURES])
+    found = one.mapInArrow(run, schema).toArrow()
+    views = []
+    for k in (0, 1):
+        columns, values = ([np.frombuffer(x.as_buffer(), t) for x in found.column(f"{n}{k}")] for n, t in (("c", np.int32), ("v", np.float32)))
+        row = np.repeat(np.arange(found.num_rows), [len(c) for c in columns])
+        views.append(Rows(row, np.concatenate([*columns, np.zeros(0, np.int32)]), np.concatenate([*values, np.zeros(0, np.float32)]), found.num_rows))
+    return [found.column(c).to_pylist() for c in carried], *views
+
+
+def _logits(docs: DataFrame, views: list[View]) -> DataFrame:
+    """``doc_id, z0, z1``: log-odds of every document in both views."""
+    sent = docs.sparkSession.sparkContext.broadcast(views)
+    rows = _prepared(docs)
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, words in slices(batch.column(1)):
+                part = batch.slice(lo, hi - lo)
+                z = [pa.array(v.logit(x)) for v, x in zip(sent.value, _views(part, words))]
+                yield pa.RecordBatch.from_arrays([part.column(0), *z], names=["doc_id", "z0", "z1"])
+
+    return rows.mapInArrow(run, rows.select("doc_id", F.lit(0.0).alias("z0"), F.lit(0.0).alias("z1")).schema)
+
+
+def _surest(scores: DataFrame, share: float, sample: Sample, turn: int) -> DataFrame:
+    """``doc_id, view, label`` of rows that the other view labels for ``view``; at most ``sample.each`` for each view."""
+    asked = [float(sample.surest * (1 - share)), float(1 - sample.surest * share)]
+    cuts = scores.agg(*[F.percentile_approx(f"z{k}", asked, 10_000) for k in (0, 1)]).first()
+    picked = []
+    for k, cut in enumerate(cuts):
+        low, high = cut or (0.0, 0.0)
+        z = F.col(f"z{k}")
+        for label, sure, n in ((1, (z >= high) & (z > _SURE), share), (0, (z <= low) & (z < -_SURE), 1 - share)):
+            own = scores.filter(sure).orderBy(F.xxhash64(F.lit(turn), F.col("doc_id")), "doc_id").limit(round(sample.each * n))
+            picked.append(own.select("doc_id", F.lit(1 - k).alias("view"), F.lit(label).alias("label")))
+    return reduce(DataFrame.unionAll, picked)
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: Sample = Sample()) -> Model:
-    known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("_y"))
-    short = docs.filter(F.coalesce(F.length("text"), F.lit(0)) <= sample.characters).select("doc_id").distinct()
-    picked = short.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample.labelled)
-    others = short.join(known, "doc_id", "left_anti").filter("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample.unlabelled)
-    few = F.broadcast(picked.unionByName(others.withColumn("_y", F.lit(-1))))
-    rows = _prepared(docs).join(few, "doc_id").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id").combine_chunks()
-    if not rows.num_rows:
+    known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
+    own = docs.filter("doc_id is not null").select("doc_id").distinct()
+    picked = own.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample.labelled)
+    (y,), text, meta = _features(docs, picked, ["label"])
+    y = np.array(y, dtype=np.int64)
+    if len(np.unique(y)) < 2:
         return Model(View(np.zeros(CONTENT_SIZE)), View(np.zeros(PAGE_SIZE)))
-    texts, metas = [], []
-    batch = rows.to_batches()[0]
-    for lo, hi, words in slices(batch.column(1)):
-        a, b = _views(batch.slice(lo, hi - lo), words)
-        texts.append((lo, a))
-        metas.append((lo, b))
-    y = np.array(rows.column("_y").to_pylist())
-
-    def all_of(parts: list) -> Rows:
-        return Rows(*(np.concatenate(x) for x in zip(*((r.row + lo, r.column, r.value) for lo, r in parts))), len(y))
-
-    return cotrain(all_of(texts), all_of(metas), y)
+    both = CoTraining(text, meta, y)
+    taken = known.select("doc_id")
+    for turn in range(sample.rounds):
+        scores = _logits(docs, both.views).filter("doc_id is not null").join(taken, "doc_id", "left_anti")
+        few = stored(_surest(stored(scores, "logits"), both.share, sample, turn), "labelled")
+        (views, marks), text, meta = _features(docs, few, ["view", "label"])
+        if not views:
+            break
+        views, marks = np.array(views), np.array(marks)
+        for k, rows in enumerate((text, meta)):
+            mine = np.flatnonzero(views == k)
+            both.taught(k, rows.take(mine), marks[mine])
+        taken = taken.union(few.select("doc_id")).distinct()
+        both.learn()
+    return both.model()
 
 
 def quality(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> DataFrame:

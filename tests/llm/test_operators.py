@@ -188,6 +188,25 @@ def test_quality_learns(spark, odd, none):
     assert quality.quality(none, marks).count() == 0
 
 
+def test_quality_learns_from_all_unlabelled_rows(spark):
+    """New words stand only in rows that one view can label, which are few of many unlabelled ones."""
+    rng = random.Random(8)
+    say = lambda letter, k=30: " ".join(rng.choices([f"{letter}{i}" for i in range(25)], k=k))
+    rows = [(i, say("g" if i % 2 else "b"), "en", "s1" if i % 2 else "s2", 100) for i in range(300)]
+    rows += [(1000 + i, say("n"), "en", "s3", 100) for i in range(3000)]
+    rows += [(5000 + i, say("c" if i % 2 else "d"), "en", "s1" if i % 2 else "s2", 100) for i in range(120)]
+    rows += [(9000 + i, say("c" if i % 2 else "d"), "en", "s4", 100) for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({"label": F.lit("x"), "z0": F.lit("y"), "view": F.lit("z")})
+    marks = labels(spark, [(i, i % 2, 0) for i in range(300)])
+    without = quality.fit(docs, marks, quality.Sample(rounds=0))
+    with_ = quality.fit(docs, marks)
+    right = {}
+    for name, model in (("without", without), ("with", with_)):
+        out = quality.quality(docs, marks, model).filter("doc_id >= 9000").collect()
+        right[name] = np.mean([(r.content_score > 0.5) == (r.doc_id % 2 == 1) for r in out])
+    assert right["with"] > 0.95 and right["without"] < 0.8
+
+
 def test_mixing_meets_its_targets(spark, odd, none):
     sizes = {"a": 900, "b": 90, "c": 10, None: 30}
     rows = [(k * 10000 + i, "one two three four", "en", s, 1) for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
