@@ -411,6 +411,88 @@ def test_secrets(spark, odd, none):
     assert secrets_scan.scan(none, net).count() == 0
 
 
+def test_secret_candidates():
+    def of(text):
+        return [text[a:b] for a, b in secrets_scan.candidates(text)]
+
+    assert of("my pwd is xk4mq9z2. and the password protected page, api_key: 'q!w#e$r%'") == ["xk4mq9z2", "protected", "q!w#e$r%"]
+    assert of("tokenization by a secretary, keyboards") == []
+    assert of("see Xk4mQ9z2 or abc123 or plain1234567890123 or AbcDefGhiJklMnopQr or averylongplainwordindeed") == ["Xk4mQ9z2", "plain1234567890123", "AbcDefGhiJklMnopQr"]
+    assert of("") == of("password:") == of("token " * 5) == []
+    long = "aB3" * 200_000
+    assert of(long + " " + "token" * 100_000 + " key" * 100_000) == [long]
+    assert of("=" * 300_000 + "1" + " a" + "=" * 300_000 + "1") == ["a" + "=" * 300_000 + "1"]
+
+
+def test_short_secrets_are_learnt():
+    """A network sees passwords of eight characters, finds them behind a word no pattern knows, and leaves plain words alone."""
+    rng = random.Random(5)
+    words = "the of account reset protected business economy library manager updated yesterday before system example".split()
+
+    def some(k):
+        return " ".join(rng.choices(words, k=k))
+
+    def password():
+        return "".join(rng.choices("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789", k=8))
+
+    x, y = [], []
+    for i in range(1200):
+        more = (f" password: {password()} {some(4)}", f" password {some(2)} token {some(2)} key protected Version2 iPhone15", "")[i % 3]
+        for windows, label in secrets_scan.labelled(some(8) + more, i % 2 == 0):
+            assert label < 2
+            x.append(windows[0])
+            y.append(label)
+    net = secrets_scan.train(np.array(x), np.array(y))
+
+    def found(text):
+        return any(kind == "model" for _, _, kind in secrets_scan.findings(net, [text])[0])
+
+    assert sum(found(f"{some(6)} my pwd {password()} {some(6)}") for _ in range(200)) >= 160
+    assert sum(found(f"{some(6)} my token {some(6)}") for _ in range(200)) <= 10
+
+
+def test_secrets_that_are_no_candidates_count_as_missed():
+    assert secrets_scan.labelled('a token="======" b', False) == [([], 2)]
+    rng = np.random.default_rng(1)
+    x = rng.integers(32, 127, (400, 2, secrets_scan._LENGTH))
+    x[:, 1] = 1
+    y = np.arange(400) % 2
+    exact, loose = (secrets_scan.train(x, y, recall=0.5, missed=m) for m in (0.5, 0.0))
+    assert exact.threshold <= loose.threshold
+
+
+def test_base_secrets_are_those_of_the_patterns():
+    """Base spans against a scan by hand, over random texts of the signs that matter."""
+    rng = random.Random(7)
+    pieces = ["password", "API_KEY", "apikey", "Token", '"', "'", " ", "  ", ":", "=", "abcdef", "x1", "AKIA", "ABCD1234", "0a" * 6, "0a" * 12, "\n", "é", "-"]
+    for _ in range(3000):
+        text = "".join(rng.choices(pieces, k=rng.randint(0, 14)))
+        if rng.random() < 0.5:
+            text += "".join(rng.choices(p)[0] for p in (pieces[:4], pieces[4:8], pieces[8:10], pieces[4:8], pieces[4:]))
+        want = []
+        at = 0
+        while m := re.compile(r"(?ai:password|passwd|secret|token|api_key|apikey)").search(text, at):
+            end = m.end()
+            end += text[end : end + 1] in ('"', "'") and bool(text[end : end + 1])
+            while text[end : end + 1] == " ":
+                end += 1
+            ok = text[end : end + 1] in (":", "=") and end < len(text)
+            begin = end + 1
+            while text[begin : begin + 1] == " ":
+                begin += 1
+            begin += text[begin : begin + 1] in ('"', "'") and bool(text[begin : begin + 1])
+            stop = begin
+            while stop < len(text) and (text[stop].isascii() and text[stop].isalnum() or text[stop] in "+/_.=-"):
+                stop += 1
+            if not ok or stop == begin:
+                at = m.start() + 1
+                continue
+            if stop - begin >= 6:
+                want.append((m.start(), stop, "assign"))
+            at = stop
+        assert [f for f in secrets_scan.base_findings(text) if f[2] == "assign"] == want, text
+
+
 PAGES = {
     "<p>one<p>two <b>bold</b>\n text": "one\n\ntwo bold text",
     "<ul><li>a<li>b<ul><li>c</ul><li>d</ul>x": "- a\n- b\n  - c\n- d\n\nx",
