@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import vocabulary
 from ..functions.text import gazetteer_key, python_strip
@@ -24,6 +24,10 @@ def collection_points(spark: SparkSession) -> DataFrame:
     return _fixed_table(spark, "name", vocabulary.COLLECTION_POINTS)
 
 
+def _located(point: str) -> Column:
+    return F.col(point)["lat"].isNotNull() & F.col(point)["lon"].isNotNull()
+
+
 def geocode(
     df: DataFrame,
     name_col: str,
@@ -39,12 +43,14 @@ def geocode(
     no entry the fallback ``(name, lat, lon)`` is asked for the raw name. The
     source is ``cache``, ``settings_fallback`` or ``unresolved``. Where a given
     dictionary repeats a key (fallback names differing only in case are the same
-    key), its smallest latitude, then longitude counts, so no row is multiplied.
+    key), its smallest latitude, then longitude counts, so no row is multiplied;
+    entries of a given dictionary that lack a coordinate are no entries.
     """
     spark = df.sparkSession
     kept = [c for c in df.columns if c not in ("lat", "lon", "geocode_source")]
     cached = (gazetteer if gazetteer is not None else gazetteer_table(spark)).select(F.col("key").alias("_key"), F.struct("lat", "lon").alias("_cached"))
     listed = (fallback if fallback is not None else collection_points(spark)).select(F.lower("name").alias("_raw"), F.struct("lat", "lon").alias("_listed"))
+    cached, listed = cached.filter(_located("_cached")), listed.filter(_located("_listed"))
     keyed = df.select(
         *kept,
         gazetteer_key(F.col(name_col), F.lit(country)).alias("_key"),

@@ -119,3 +119,11 @@ def test_geocode_keeps_one_row_per_row_on_repeated_keys(spark):
 
     found = sorted(tuple(r) for r in geocode(rows, "place", cached, listed).collect())
     assert found == [("here", 1.0, 9.0, "settings_fallback"), ("there", 3.0, 3.0, "cache")]
+
+
+def test_entries_without_a_coordinate_are_no_entries(spark):
+    listed = spark.createDataFrame([("here", None, 5.0), ("here", 2.0, 6.0), ("there", 7.0, None)], "name string, lat double, lon double")
+    cached = spark.createDataFrame([("here|pakistan", None, None), ("far|pakistan", 1.0, None), ("far|pakistan", 4.0, 4.0)], "key string, lat double, lon double")
+    rows = spark.createDataFrame([("here",), ("there",), ("far",)], "place string")
+    found = {r.place: (r.lat, r.lon, r.geocode_source) for r in geocode(rows, "place", cached, listed).collect()}
+    assert found == {"here": (2.0, 6.0, "settings_fallback"), "there": (None, None, "unresolved"), "far": (4.0, 4.0, "cache")}
