@@ -17,24 +17,22 @@ def top_n_per(df: DataFrame, group: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= n).drop("_rank")
 
 
-def latest_per(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """The row with the largest ``order_by`` per key."""
-    return top_n_per(df, keys, [F.col(order_by).desc()], 1)
+# Headline columns of a linked row, in the order shown.
+HEADLINE = (
+    "district_canonical",
+    "epi_week_key",
+    "disease",
+    "case_count",
+    "avg_temperature_c",
+    "avg_precipitation_mm",
+    "disaster_event_count",
+    "max_severity",
+    "has_concurrent_disaster",
+)
 
 
 def linked_sample(df: DataFrame, n: int = 10, keys: Sequence[str] = ("district_canonical", "epi_week_key")) -> DataFrame:
     """First ``n`` linked rows by key with the headline columns that are present."""
-    wanted = [
-        "district_canonical",
-        "epi_week_key",
-        "disease",
-        "case_count",
-        "avg_temperature_c",
-        "avg_precipitation_mm",
-        "disaster_event_count",
-        "max_severity",
-        "has_concurrent_disaster",
-    ]
-    shown = [c for c in wanted if c in df.columns]
+    shown = [c for c in HEADLINE if c in df.columns]
     rest = [c for c in shown if c not in keys]
     return df.select(*shown).orderBy(*keys, *rest).limit(n)

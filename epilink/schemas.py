@@ -22,6 +22,7 @@ def fields(**types: DataType) -> StructType:
     return StructType([StructField(name, type_) for name, type_ in types.items()])
 
 
+# Fields of the messages and tables, in their order.
 SURVEILLANCE = fields(
     record_id=S,
     source=S,
