@@ -353,8 +353,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_hash").alias("hash")))
     texts = seen.groupBy("_key").agg(row.alias("row"), F.any_value("_n").alias("n"), F.any_value("_sketches").alias("_sketches"))
     texts = stored(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
-    single = texts.select("id", "n", F.explode("_sketches").alias("bucket"))
-    shared = single.groupBy("bucket").agg(F.count("*").alias("_size"), F.min("id").alias("head")).filter("_size > 1").drop("_size")
+    # The leader of a bucket is the text with the smallest id of a row: what others were copied from mostly came first, and most
+    # copies are more like it than like each other. Any leader gives the same classes.
+    single = texts.select("id", "n", F.coalesce("row.id", F.lit((1 << 63) - 1)).alias("first"), F.explode("_sketches").alias("bucket"))
+    shared = single.groupBy("bucket").agg(F.count("*").alias("_size"), F.min_by("id", "first").alias("head")).filter("_size > 1").drop("_size")
     members = stored(single.join(shared, "bucket").select("id", "n", "head").distinct(), "members")
     lengths = stored(members.select("id", "n").distinct().join(texts.select("id", "_key", F.col("row.hash").alias("_hash")), "id"), "lengths")
     # Few texts are candidates. The filter spares a shuffle of all the others; the join below is exact.
