@@ -27,11 +27,19 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """``df``, marked for broadcast if it measures at most ``limit_bytes``.
+    """``df``, marked for broadcast if it measures at most ``limit_bytes``, else for a join by shuffling.
 
     It is measured and used, so give it a stored or settled table.
     """
-    return F.broadcast(df) if measured_bytes(df) <= limit_bytes else df
+    return marked(df, measured_bytes(df) <= limit_bytes)
+
+
+def marked(df: DataFrame, small: bool) -> DataFrame:
+    """``df`` as a join side that is broadcast if ``small`` and never otherwise.
+
+    Spark's own estimate follows the size of the files, whatever was made of their rows since.
+    """
+    return F.broadcast(df) if small else df.hint("merge")
 
 
 def left_lookup(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import vocabulary
 from ..functions.text import normalize_name, python_strip, python_title, squeeze
 from ..session import settle
-from .lookup import left_lookup
+from .lookup import BROADCAST_LIMIT_BYTES, left_lookup, marked, measured_bytes
 
 # Length of the pieces by which containment finds its candidates.
 GRAM = 3
@@ -79,7 +79,8 @@ def resolve_names(df: DataFrame, name_col: str, aliases: DataFrame | None = None
     Every step is an equi-join on the distinct names, whatever the size of the dictionary; the rows
     meet one table of names, which is broadcast if it measures small.
     """
-    exact = _by_alias(aliases if aliases is not None else alias_table(df.sparkSession))
+    exact = settle(_by_alias(aliases if aliases is not None else alias_table(df.sparkSession)))
+    small = measured_bytes(exact) <= BROADCAST_LIMIT_BYTES
     by_exact = exact.select(F.col("alias").alias("_norm"), F.col("place").alias("_exact"))
     by_tight = _by_tight_alias(exact).select(F.col("alias").alias("_tight_name"), F.col("place").alias("_tight"))
     tried = settle(
@@ -88,8 +89,8 @@ def resolve_names(df: DataFrame, name_col: str, aliases: DataFrame | None = None
         .distinct()
         .withColumn("_norm", normalize_name(F.col("_name")))
         .withColumn("_tight_name", squeeze(F.col("_norm")))
-        .join(by_exact, "_norm", "left")
-        .join(by_tight, "_tight_name", "left")
+        .join(marked(by_exact, small), "_norm", "left")
+        .join(marked(by_tight, small), "_tight_name", "left")
         .select("_name", "_norm", F.coalesce("_exact", "_tight").alias("_place"))
     )
     rest = tried.where(F.col("_place").isNull()).select("_norm").distinct()
@@ -114,13 +115,13 @@ def first_related(names: DataFrame, exact: DataFrame, min_len: int = 0) -> DataF
     name_in_alias = containments(own.where(F.length("text") >= min_len), listed).select(
         F.col("outer").alias("alias"), F.col("inner").alias("_norm")
     )
-    found = alias_in_name.unionByName(name_in_alias).join(hits, "alias").select("_norm", "hit")
+    found = alias_in_name.unionByName(name_in_alias).join(marked(hits, False), "alias").select("_norm", "hit")
     if min_len <= 0:
         # The empty text is contained in every text; there is one empty alias and one empty name at most.
         empty = hits.where(F.col("alias") == "").select(F.lit("").alias("_any"), "hit")
         any_alias = names.withColumn("_any", F.lit("")).join(F.broadcast(empty), "_any").select("_norm", "hit")
         whole = hits.agg(F.min("hit").alias("hit")).select(F.lit("").alias("_norm"), "hit").where(F.col("hit").isNotNull())
-        found = found.unionByName(any_alias).unionByName(names.join(whole, "_norm").select("_norm", "hit"))
+        found = found.unionByName(any_alias).unionByName(names.join(F.broadcast(whole), "_norm").select("_norm", "hit"))
     return found.groupBy("_norm").agg(F.min("hit").alias("hit"))
 
 
@@ -129,7 +130,7 @@ def containments(inner: DataFrame, outer: DataFrame) -> DataFrame:
 
     The pieces of ``GRAM`` characters of the outer texts are listed. An inner text must have all its pieces in an outer one, so it
     looks only at those that hold its rarest piece, and the pair is then tested. A text shorter than a piece is a piece itself;
-    empty texts are left out.
+    empty texts are left out. There are many more pieces than texts, so no side of these joins is broadcast.
     """
     places = F.sequence(F.lit(0), F.length("text") * GRAM - 1)
     size, start = F.col("_at") % GRAM + 1, F.floor(F.col("_at") / GRAM).cast("int") + 1
@@ -142,7 +143,7 @@ def containments(inner: DataFrame, outer: DataFrame) -> DataFrame:
     held = pieces(outer).select("piece", F.col("text").alias("outer"))
     often = held.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
     own = pieces(inner).where(F.col("size") == F.least(F.length("text"), F.lit(GRAM)))
-    known = own.join(often, "piece", "left").groupBy("text").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("rarest"))
+    known = own.join(marked(often, False), "piece", "left").groupBy("text").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("rarest"))
     # A piece that no outer text has rules out all of them.
     searched = known.where(F.col("rarest.n") > 0).select(F.col("text").alias("inner"), F.col("rarest.piece").alias("piece"))
-    return searched.join(held, "piece").where(F.contains("outer", F.col("inner"))).select("inner", "outer").distinct()
+    return searched.join(marked(held, False), "piece").where(F.contains("outer", F.col("inner"))).select("inner", "outer").distinct()

@@ -83,6 +83,15 @@ def test_containment_pairs_are_brute_force(spark):
     assert containments(side([]), side(outer)).count() == containments(side(inner), side([])).count() == 0
 
 
+def test_pieces_of_texts_are_never_broadcast(spark, tmp_path):
+    """The file of the texts is small, whatever number of pieces is made of them."""
+    spark.range(300).select(F.concat(F.lit("place "), "id").alias("text")).write.parquet(f"{tmp_path}/texts")
+    texts = spark.read.parquet(f"{tmp_path}/texts")
+    found = containments(texts.where("text like '%1'"), texts)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == sum(f"place {i}" in f"place {o}" for i in range(1, 300, 10) for o in range(300))
+
+
 def test_empty_dictionary(spark):
     none = spark.createDataFrame([], "alias string, canonical string, province string, rank int")
     got = resolve_names(spark.createDataFrame([("some town",)], "raw string"), "raw", none).first()
