@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from .. import vocabulary
+from .tables import is_folder
 
 
 def read_topic(
@@ -35,8 +36,11 @@ def read_topic(
     return reader.load(topic)
 
 
-def stream_folder(
-    spark: SparkSession, folder: str, schema: StructType, file_glob: str = "*.parquet"
-) -> DataFrame:
-    """Stream of the Parquet files in a folder whose names match ``file_glob``."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", file_glob).parquet(folder)
+def stream_table(spark: SparkSession, folder: str, schema: StructType, name: str) -> DataFrame:
+    """Stream of the Parquet table ``name`` of a folder, which is one file or itself a folder of files."""
+    path = f"{folder}/{name}"
+    reader = spark.readStream.schema(schema)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    # A stream reads folders alone, so one file is picked from its folder by name.
+    return reader.option("pathGlobFilter", name).parquet(folder)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from epilink import schemas, vocabulary
+from epilink.plans.catalog import QUERIES
 from epilink.sources import read_topic
 from epilink.streaming import default_sources, harmonize, harmonize_stream, run_all
 
@@ -70,6 +71,18 @@ def test_harmonize_tables_too(spark):
         harmonize(df, schemas.WEATHER, "daily")
 
 
+def test_tables_are_streamed_as_files_and_as_folders(spark, tmp_path, rows):
+    """A table of one file and one of several files in a folder give the same harmonised rows."""
+    docs = spark.createDataFrame([(i, f"text {i}", "web") for i in range(6)], "doc_id long, text string, source string")
+    docs.repartition(3).write.parquet(f"{tmp_path}/folder/documents.parquet")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/one")
+    (tmp_path / "file").mkdir()
+    (tmp_path / "file" / "documents.parquet").write_bytes(next((tmp_path / "one").glob("part-*.parquet")).read_bytes())
+    want = sorted([("web", f"text {i}", str(i), "") for i in range(6)], key=repr)
+    for form in ("folder", "file"):
+        assert rows(QUERIES["harmonize_plain"](spark, f"{tmp_path}/{form}"), "source", "title", "link", "published") == want
+
+
 def test_kafka_reader_asks_for_the_connector(spark):
     """Without the connector on the class path the Kafka form fails by name, not by accident."""
     with pytest.raises(Exception, match="(?i)kafka"):
