@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from epilink import schemas, vocabulary
 from epilink.operators.graph import edge_table, graph_nodes, property_graph, route_triples
 from epilink.operators.patterns import bgp, policy_status
-from epilink.operators.triples import knowledge_graph, policy_statements, triples_from, union_triples
+from epilink.operators.triples import Entity, knowledge_graph, policy_statements, triples_from, union_triples
 from epilink.sinks import predicate_tags, turtle_blocks, write_graph, write_ntriples, write_rdfxml, write_triples, write_turtle
 from epilink.sources import parse_ntriples, read_ntriples, read_rejected_ntriples, read_triples, rejected_ntriples
 
@@ -249,3 +249,28 @@ def test_pattern_constants_tell_types_apart(spark):
     made = spark.createDataFrame(rows, "s string, p string, o string, o_kind string, o_datatype string")
     for constant, want in (('"5"', "a"), (f'"5"^^<{whole}>', "b"), ('""5""', "c"), ("5", "d")):
         assert [r.s for r in bgp(made, [("?s", "p", constant)]).collect()] == [want]
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_are_cut_once_a_row(spark):
+    """The filter on statements must not repeat the work of cutting lines and undoing escapes."""
+    text = optimized(parse_ntriples(spark.range(1).select(F.col("id").cast("string").alias("value"))))
+    assert text.count("regexp_replace(replace(") == 1
+
+
+def test_turtle_looks_at_the_digits_of_a_double_once(spark):
+    made = spark.createDataFrame([("a", "b", "1.5", "literal", vocabulary.XSD_DOUBLE)], schemas.TRIPLES)
+    text = optimized(turtle_blocks(made))
+    assert text.count("[eE]") == 1 and text.lower().count("log10(abs") <= 4
+
+
+def test_numbers_are_merged_as_numbers(spark):
+    """Numbers become text after the merge; the two zeros stay two texts, and all NaN are one."""
+    rows = spark.createDataFrame([(x,) for x in (0.0, -0.0, 2.5, 2.5, float("nan"), float("nan"), None)], "x double")
+    made = triples_from(rows, [Entity("http://x/", "k", F.lit("a b")).has_double("p", F.col("x")), Entity("http://x/", "k", F.lit("n")).has_integer("q", F.col("x"))])
+    assert "number#" in re.search(r"Aggregate \[([^\]]*)\]", optimized(made))[1]
+    got = sorted((r.s, r.p, r.o) for r in made.collect())
+    assert got == [("http://x/k/a_b", "p", o) for o in ("-0.0", "0.0", "2.5", "nan")] + [("http://x/k/n", "q", o) for o in ("0", "2")]
