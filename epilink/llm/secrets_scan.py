@@ -5,7 +5,7 @@ or more characters: the first one behind a telling word, whatever it holds but b
 characters with lower case, upper case and a digit, or from 16 characters on with a digit and a letter or with lower case
 often followed by upper case. A convolutional network over the characters of a candidate and those around it, in numpy, scores
 it. It is trained on labelled findings, by default
-candidates of a bounded sample of texts labelled by the fixed patterns, whose telling names are
+the candidates of all texts labelled by the fixed patterns, whose telling names are
 masked for half of them so that the form of a secret is learnt, too. The threshold is the highest at which a wanted share of the labelled
 secrets held back from training is found, but one half at least; secrets that are no candidates count as not found.
 
@@ -53,8 +53,8 @@ _LENGTH = INNER + 2 * AROUND
 _DIM, _WIDTHS, _FILTERS = 8, (3, 5), 12
 #: Share of labelled secrets that the threshold must let through.
 RECALL = 0.98
-#: Texts whose candidates are labelled for training, and candidates of each kind at most.
-SAMPLE_TEXTS, SAMPLE_EACH = 20_000, 2_000
+#: Passes over the labelled candidates.
+EPOCHS = 6
 
 
 def base_findings(text: str) -> list[tuple[int, int, str]]:
@@ -139,15 +139,48 @@ class Network:
         return np.concatenate([1 / (1 + np.exp(-np.clip(self.forward(x[lo : lo + 512])[-1], -30, 30))) for lo in range(0, len(x), 512)]) if len(x) else np.zeros(0)
 
 
-def train(x: np.ndarray, y: np.ndarray, recall: float = RECALL, epochs: int = 6, seed: int = 3, missed: float = 0.0) -> Network:
-    """A network of labelled windows ``x``; a quarter is held back to set the threshold.
-
-    ``missed`` is the share of labelled secrets that are no candidates; those that are have to make up for them.
-    """
+def untrained(seed: int = 3) -> Network:
     rng = np.random.default_rng(seed)
     n = len(_WIDTHS) * _FILTERS * 2
     parts = [rng.normal(0, 0.3, (128, _DIM)), rng.normal(0, 0.3, (2, _DIM)), *(rng.normal(0, 0.3, (w, _DIM, _FILTERS)) for w in _WIDTHS), rng.normal(0, 0.2, n), np.zeros(1)]
-    net = Network([p.astype(np.float32) for p in parts])
+    return Network([p.astype(np.float32) for p in parts])
+
+
+def step(net: Network, squares: list[np.ndarray], x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
+    """One step of gradients over some labelled windows; ``net`` and ``squares`` change."""
+    wide, responses, top, peak, active, z = net.forward(x)
+    d = (weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)).astype(np.float32)
+    out = net.parts[-2]
+    grads = [np.zeros_like(p) for p in net.parts]
+    grads[-2], grads[-1] = active.T @ d, np.array([d.sum()])
+    back_e = np.zeros_like(wide)
+    for k, w in enumerate(_WIDTHS):
+        lo = k * _FILTERS
+        late = len(_WIDTHS) * _FILTERS + lo
+        g = d[:, None, None] * out[late : late + _FILTERS] * (responses[k] > 0) / _LENGTH
+        first = d[:, None] * out[lo : lo + _FILTERS] * (peak[k] > 0)
+        np.put_along_axis(g, top[k][:, None], np.take_along_axis(g, top[k][:, None], 1) + first[:, None], 1)
+        for j in range(w):
+            grads[2 + k][j] = np.einsum("nld,nlf->df", wide[:, j : j + _LENGTH], g)
+            back_e[:, j : j + _LENGTH] += g @ net.parts[2 + k][j].T
+    np.add.at(grads[0], x[:, 0], back_e[:, :_LENGTH])
+    np.add.at(grads[1], x[:, 1], back_e[:, :_LENGTH])
+    for p, q, s in zip(net.parts, grads, squares):
+        s += q**2
+        p -= 0.05 * q / np.sqrt(s)
+
+
+def spare_share(recall: float, missed: float) -> float:
+    """Share of the candidates that are secrets which the threshold may let go."""
+    return max(0.0, (1 - recall - missed) / (1 - missed))
+
+
+def train(x: np.ndarray, y: np.ndarray, recall: float = RECALL, epochs: int = EPOCHS, seed: int = 3, missed: float = 0.0) -> Network:
+    """A network of labelled windows ``x`` in memory; a quarter is held back to set the threshold.
+
+    ``missed`` is the share of labelled secrets that are no candidates; those that are have to make up for them.
+    """
+    net, rng = untrained(seed), np.random.default_rng(seed)
     held = rng.permutation(len(y)) % 4 == 0
     if len(np.unique(y[~held])) < 2 or not (y[held] == 1).any():
         return net
@@ -155,29 +188,9 @@ def train(x: np.ndarray, y: np.ndarray, recall: float = RECALL, epochs: int = 6,
     fit = np.flatnonzero(~held)
     for _ in range(epochs):
         for rows in np.array_split(rng.permutation(fit), max(1, len(fit) // 64)):
-            wide, responses, top, peak, active, z = net.forward(x[rows])
-            d = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) / len(rows)).astype(np.float32)
-            out = net.parts[-2]
-            grads = [np.zeros_like(p) for p in net.parts]
-            grads[-2], grads[-1] = active.T @ d, np.array([d.sum()])
-            back_e = np.zeros_like(wide)
-            for k, w in enumerate(_WIDTHS):
-                lo = k * _FILTERS
-                late = len(_WIDTHS) * _FILTERS + lo
-                g = d[:, None, None] * out[late : late + _FILTERS] * (responses[k] > 0) / _LENGTH
-                first = d[:, None] * out[lo : lo + _FILTERS] * (peak[k] > 0)
-                np.put_along_axis(g, top[k][:, None], np.take_along_axis(g, top[k][:, None], 1) + first[:, None], 1)
-                for j in range(w):
-                    grads[2 + k][j] = np.einsum("nld,nlf->df", wide[:, j : j + _LENGTH], g)
-                    back_e[:, j : j + _LENGTH] += g @ net.parts[2 + k][j].T
-            np.add.at(grads[0], x[rows][:, 0], back_e[:, :_LENGTH])
-            np.add.at(grads[1], x[rows][:, 1], back_e[:, :_LENGTH])
-            for p, q, s in zip(net.parts, grads, squares):
-                s += q**2
-                p -= 0.05 * q / np.sqrt(s)
+            step(net, squares, x[rows], y[rows], np.ones(len(rows)))
     known = np.sort(net.score(x[held & (y == 1)]))
-    spare = max(0.0, (1 - recall - missed) / (1 - missed))
-    net.threshold = float(max(known[int(spare * len(known))], 0.5))
+    net.threshold = float(max(known[int(spare_share(recall, missed) * len(known))], 0.5))
     return net
 
 
@@ -195,8 +208,51 @@ def labelled(text: str, mask: bool) -> list[tuple[list[np.ndarray], int]]:
     return out
 
 
-def fit(docs: DataFrame, text_col: str = "text", texts: int = SAMPLE_TEXTS, each: int = SAMPLE_EACH) -> Network:
-    """A network trained on the candidates of ``texts`` texts, taken by a hash, with at most ``each`` of a kind."""
+def _windows_of(batch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("x").to_pylist()), np.uint8).reshape(-1, 2, _LENGTH).astype(np.int64)
+
+
+def _pass(rows: DataFrame, net: Network, squares: list[np.ndarray], weight: tuple[float, float]) -> tuple[list, list]:
+    """One pass over all ``rows``: every task goes on from the same network over its rows; their means by the number of rows.
+
+    A network is a few thousand numbers, so that one of each task is little for the driver.
+    """
+    shapes = [p.shape for p in net.parts]
+    sent = rows.sparkSession.sparkContext.broadcast((net.parts, squares))
+
+    def run(batches):
+        own, sums, n = Network([p.copy() for p in sent.value[0]]), [s.copy() for s in sent.value[1]], 0
+        for batch in batches:
+            x, y = _windows_of(batch), batch.column("y").to_numpy()
+            for lo in range(0, len(y), 64):
+                step(own, sums, x[lo : lo + 64], y[lo : lo + 64], np.where(y[lo : lo + 64] == 1, weight[1], weight[0]))
+            n += len(y)
+        if n:
+            state = np.concatenate([p.ravel() for p in own.parts + sums]).astype(np.float32).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([state], pa.binary())], names=["n", "state"])
+
+    done = sorted((r.n, bytes(r.state)) for r in rows.select("x", "y").mapInArrow(run, "n long, state binary").collect())
+    total = sum(n for n, _ in done)
+    mean = sum(np.frombuffer(state, np.float32).astype(np.float64) * (n / total) for n, state in done).astype(np.float32)
+    cut = np.split(mean, np.cumsum([int(np.prod(s)) for s in shapes * 2])[:-1])
+    arrays = [a.reshape(s).copy() for a, s in zip(cut, shapes * 2)]
+    sent.destroy()
+    return arrays[: len(shapes)], arrays[len(shapes) :]
+
+
+def _scores(rows: DataFrame, net: Network) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(net.score(_windows_of(batch)).astype(np.float64), pa.float64())], names=["score"])
+
+    return rows.select("x").mapInArrow(run, "score double")
+
+
+def fit(docs: DataFrame, text_col: str = "text", recall: float = RECALL, epochs: int = EPOCHS) -> Network:
+    """A network trained on all candidates of all texts; a quarter of them, by a hash, is held back to set the threshold.
+
+    Repeats of a text are learnt once. Both labels weigh alike in all. Passes go over the candidates where they lie.
+    """
 
     def run(batches):
         for batch in batches:
@@ -208,16 +264,25 @@ def fit(docs: DataFrame, text_col: str = "text", texts: int = SAMPLE_TEXTS, each
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=["h", "k", "y", "x"]
             )
 
-    h = F.xxhash64(text_col)
-    # The smallest hashes are found without the texts; their rows are then read by that bound.
-    edge = docs.select(h.alias("h")).filter("h is not null").orderBy("h").limit(texts).agg(F.max("h")).first()[0]
-    found = docs.select(h.alias("h"), F.col(text_col).alias("t")).filter(F.col("h") <= F.lit(edge)).mapInArrow(run, "h long, k int, y int, x binary").distinct()
-    found = stored(found, "labelled")
-    rows = [r for y in (0, 1) for r in found.filter(F.col("y") == y).orderBy("h", "k", "x").limit(each).collect()]
-    x = np.array([np.frombuffer(r[3], np.uint8).reshape(2, _LENGTH) for r in rows], dtype=np.int64).reshape(-1, 2, _LENGTH)
-    secrets = {r.y: r["count"] for r in found.filter("y > 0").groupBy("y").count().collect()}
-    missed = secrets.get(2, 0) / max(1, sum(secrets.values()))
-    return train(x, np.array([r[2] for r in rows]), missed=missed if missed < 1 else 0.0)
+    found = docs.select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t")).mapInArrow(run, "h long, k int, y int, x binary").distinct()
+    found = found.withColumn("o", F.xxhash64("h", "k")).withColumn("held", F.pmod("o", F.lit(4)) == 0)
+    # In an order that says nothing about the rows and is the same in each run.
+    found = stored(found.sortWithinPartitions("o", "h", "k", "y", "x"), "labelled")
+    count = {(r.y, r.held): r["count"] for r in found.groupBy("y", "held").count().collect()}
+    secrets = {y: count.get((y, True), 0) + count.get((y, False), 0) for y in (1, 2)}
+    missed = secrets[2] / max(1, sum(secrets.values()))
+    n = [count.get((y, False), 0) for y in (0, 1)]
+    net, known = untrained(), count.get((1, True), 0)
+    if not all(n) or not known:
+        return net
+    squares = [np.full(p.shape, 1e-3, np.float32) for p in net.parts]
+    own = found.filter(~F.col("held") & (F.col("y") < 2))
+    for _ in range(epochs):
+        net.parts, squares = _pass(own, net, squares, tuple(sum(n) / (2 * k) for k in n))
+    at = int(spare_share(recall, missed if missed < 1 else 0.0) * known)
+    scores = _scores(found.filter(F.col("held") & (F.col("y") == 1)), net)
+    net.threshold = max(scores.orderBy("score").limit(at + 1).agg(F.max("score")).first()[0], 0.5)
+    return net
 
 
 def findings(net: Network, texts: list[str | None]) -> list[list[tuple[int, int, str]]]:

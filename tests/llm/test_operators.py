@@ -534,3 +534,23 @@ def test_html(spark):
     rows = spark.createDataFrame([(1, "<p>a", "u"), (2, None, None), (1, "<p>a", "u")], "page_id long, html string, text string")
     assert sorted(map(repr, map(tuple, html_text.extract(rows, columns=["page_id"]).collect()))) == ["(1, 'a')", "(1, 'a')", "(2, None)"]
     assert html_text.extract(rows.limit(0)).count() == 0
+
+
+def test_secrets_are_learnt_from_all_texts(spark, monkeypatch):
+    """Every candidate of every text is seen in a pass, however few there are of its kind or many in all."""
+    texts = [f"line {i} token=aB{i:06d}xY and the run Zz{i:05d}qQ here" for i in range(5000)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    seen, whole = [], secrets_scan._pass
+
+    def counted(rows, *more):
+        seen.append((rows.count(), rows.filter("y = 1").count()))
+        return whole(rows, *more)
+
+    monkeypatch.setattr(secrets_scan, "_pass", counted)
+    net = secrets_scan.fit(docs, epochs=1)
+    found = [y for i, t in enumerate(texts) for w, y in secrets_scan.labelled(t, False)]
+    assert len(found) == 10_000 and sum(found) == 5000
+    # Three quarters of them; the rest sets the threshold.
+    assert abs(seen[0][0] - 7500) < 300 and abs(seen[0][1] - 3750) < 200
+    again = secrets_scan.fit(docs, epochs=1)
+    assert net.threshold == again.threshold and all((p == q).all() for p, q in zip(net.parts, again.parts))
