@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from epilink.llm.tables import row_key, stored
+from epilink.operators.lookup import broadcast_if_small
 
 # What a base finding looks like, in the order in which kinds are listed. Runs that
 # cannot be cut differently are possessive, and begin where they can (``\G``: after the last match).
@@ -207,7 +208,7 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
     texts = texts.select("doc_id", "_text", words.alias("_words")).filter("size(_words) > 0")
     alone = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("_words", "|"), F.lit(r")(?!\p{L})"))
     spots = texts.select(row.alias("_row"), places(F.col("_text"), alone).alias("at")).select("_row", F.explode("at").alias("w"))
-    spots = spots.withColumn("term", F.lower("w.value")).join(told, "term")
+    spots = spots.withColumn("term", F.lower("w.value")).join(broadcast_if_small(told), "term")
     # A set, as a row that is repeated finds the same places each time.
     hits = spots.groupBy("_row").agg(F.array_sort(F.collect_set(F.struct("w.start", "w.end", "w.value", "action"))).alias("_terms"))
     out = base.drop("mentions", "n_lines").join(hits, "_row", "left")

@@ -554,3 +554,14 @@ def test_secrets_are_learnt_from_all_texts(spark, monkeypatch):
     assert abs(seen[0][0] - 7500) < 300 and abs(seen[0][1] - 3750) < 200
     again = secrets_scan.fit(docs, epochs=1)
     assert net.threshold == again.threshold and all((p == q).all() for p, q in zip(net.parts, again.parts))
+
+
+def test_told_terms_meet_the_words_without_a_shuffle(spark):
+    """A measured small table of terms is broadcast, whatever limit Spark's own estimate has."""
+    docs = spark.createDataFrame([(i, f"call anna{i % 3}x at anna{i % 3}@mail.org now") for i in range(40)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in pii.findings(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
