@@ -177,6 +177,28 @@ def test_toxicity_learns_and_handles_odd_rows(spark, odd, none):
     assert kept.columns == docs.columns and 420 < kept.count() < 480
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark):
+    """One bad word stands only in the rows whose hashes come last of 12,000, another only in texts of over 20,000 characters."""
+    rng = random.Random(3)
+    order = [r.id for r in spark.range(12000).orderBy(F.xxhash64("id")).collect()]
+    toxic = {i for i in order if i % 2}
+    late = set([i for i in order if i in toxic][-800:])
+    texts = {i: rng.choices([f"word{k}" for k in range(200)], k=8) for i in order}
+    for i in toxic:
+        texts[i][rng.randrange(8)] = "moron" if i in late else "vile"
+    rows = [(i, " ".join(t), "en", "a", 1) for i, t in texts.items()]
+    rows += [(20000 + i, " ".join(rng.choices(["long", "text", "of", "words"], k=5000) + ["scum"] * (i % 2)), "fr", "a", 1) for i in range(160)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(8)
+    marks = labels(spark, [(r[0], 1, r[0] % 2) for r in rows])
+    model, again = toxicity.fit(docs, marks), toxicity.fit(docs, marks)
+    assert (model.table == again.table).all() and (model.scale, model.shift) == (again.scale, again.shift)
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, marks, model).collect()}
+    for some in (toxic - late, late, set(order) - toxic, range(20000, 20160, 2), range(20001, 20160, 2)):
+        assert np.mean([got[i] == i % 2 for i in some]) > 0.97
+    # Counts of all rows: a bucket of every word of the rows that are fitted on.
+    assert (model.word_rows > 0).sum() >= 200 and model.thresholds.keys() == {"en"}
+
+
 def test_quality_learns(spark, odd, none):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choices([f"w{k}" for k in range(200)] if i % 3 else ["###", "BUY!!", "x1x"], k=50)), "en", f"s{i % 3}", 300) for i in range(300)]
