@@ -51,9 +51,12 @@ def exponent(sources: DataFrame, entropy: float = ENTROPY, repeats: float = REPE
     lo, hi = 0.0, 1.0
     for _ in range(_ROUNDS):
         tried = [lo + (hi - lo) * k / _WAYS for k in range(_WAYS + 1)]
-        sums = sources.agg(*(F.sum(F.pow(share, F.lit(t))) for t in tried), *(F.sum(F.pow(share, F.lit(t)) * F.log(share)) for t in tried)).first()
+        # One row for each exponent: a plan of one sum for each would take the driver a class of its own in every round.
+        each = sources.select(share.alias("p"), F.posexplode(F.lit(tried)).alias("k", "t")).groupBy("k")
+        each = each.agg(F.sum(F.pow("p", "t")).alias("z"), F.sum(F.pow("p", "t") * F.log("p")).alias("weighted")).collect()
+        sums = {r.k: (r.z, r.weighted) for r in each}
         # Entropy of p^t / z is log z - t * sum(p^t log p) / z, and falls as t grows.
-        reached = [_entropy(sums[k], sums[k + _WAYS + 1], t) >= entropy * log(n) for k, t in enumerate(tried)]
+        reached = [_entropy(*sums[k], t) >= entropy * log(n) for k, t in enumerate(tried)]
         last = max((k for k, ok in enumerate(reached) if ok), default=0)
         lo, hi = tried[last], tried[min(last + 1, _WAYS)]
         if lo == hi:

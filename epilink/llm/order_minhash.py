@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from epilink.llm.tables import stored, whole
+from epilink.llm.tables import release, stored, whole
 from epilink.llm.words import mix, shingles, slices
 
 WIDTH = 5
@@ -363,13 +363,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     runs = _read(_filtered(plain, _hash_filter(lengths)), True).select("_hash", "_key", "_runs")
     runs = runs.dropDuplicates(["_key", "_hash"]).join(lengths.select("_key", "_hash", F.col("id").alias("_id")), ["_key", "_hash"])
     runs = stored(runs.select("_id", "_runs"), "runs")
+    release(docs.sparkSession)
     heads = lengths.select(F.col("id").alias("head"), F.col("n").alias("n_a"))
     pairs = members.filter("id <> head").join(heads, "head").withColumn("n_b", F.col("n")).filter(_alike(threshold))
     pairs = pairs.select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     met = stored(_verified(pairs, runs, threshold), "met")
     first = met.filter("linked").select("a", "b")
     found = components(first)
+    release(docs.sparkSession)
     more = stored(_verified(_open_pairs(members, met, found, runs, threshold), runs, threshold).filter("linked").select("a", "b"), "edges")
+    release(docs.sparkSession)
     # The later links join whole components: one link of two components is as good as all.
     of = found.select("id", "component")
     ends = more

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epilink.llm.tables import stored
+from epilink.llm.tables import release, stored
 from epilink.llm.words import Words, slices
 
 THRESHOLD = 0.3
@@ -339,6 +339,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", epochs: int =
     squares = np.full(m.table.shape, 1e-4, np.float32)
     for _ in range(epochs):
         _pass(own, m, squares)
+        release(docs.sparkSession)
     return _calibrated(m, back)
 
 

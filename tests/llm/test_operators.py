@@ -152,6 +152,19 @@ def test_alignment_needs_the_order():
     assert not order_minhash.aligned(a, np.concatenate([a[50:], a[:50]]), 0.8)
 
 
+def test_exponent_reaches_the_entropy_by_small_plans(spark, monkeypatch):
+    counts = [10, 200, 3000, 40000]
+    sources = spark.createDataFrame([(f"s{n}", n) for n in counts], "source string, tokens long")
+    asked = []
+    for kind in (type(sources), type(sources.groupBy("source"))):
+        monkeypatch.setattr(kind, "agg", lambda self, *x, f=kind.agg: asked.append(len(x)) or f(self, *x))
+    t = mixing.exponent(sources, repeats=1e9)
+    w = [(n / sum(counts)) ** t for n in counts]
+    assert math.isclose(-sum(x / sum(w) * math.log(x / sum(w)) for x in w), mixing.ENTROPY * math.log(4), abs_tol=1e-6)
+    # The driver compiles and keeps each plan: 66 sums for a round were too many.
+    assert 0 < max(asked) <= 4
+
+
 def test_toxicity_learns_and_handles_odd_rows(spark, odd, none):
     rng = random.Random(1)
     plain = [f"word{i}" for i in range(300)]
