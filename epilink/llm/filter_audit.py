@@ -11,6 +11,8 @@ however many sets there are; ids are unique, so no key is hot.
 Rows are numbered when they are read, and these numbers are the ids. Only rows that fail something
 take part; the others survive everything and are counted. Equal texts are found by SHA-256, rows of the
 most frequent ones by a broadcast of a fixed number of groups, so that a text of a third of all rows is in no one task.
+Nothing else is broadcast (``merge`` hints): Spark goes by the size of files, and ids, marks and counts by part are many times
+larger in the driver's memory.
 
 The filters of the query (fixed values), on whole texts: ``A`` under 50 words, ``B`` distinct words under 65% of the
 words, ``C`` letters A-Z over 5% of the characters, ``D`` any of ``#$%&*|``, ``E`` the text of a smaller id.
@@ -62,7 +64,7 @@ def facts(docs: DataFrame, labels: DataFrame, part_col: str = "source", id_col:
     rows = marked(rows.select("doc_id", "part", F.unhex(F.sha2("_text", 256)).alias("_hash"), failing.alias("fails")), "facts")
     known = labels.groupBy("doc_id").agg((F.max("quality") == 1).alias("good"), (F.max("toxic") == 1).alias("toxic"))
     known = known.filter("doc_id is not null and (good or toxic)").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    joined = rows.withColumn("_salt", F.pmod("_row", F.lit(_SALTS)).cast("int")).join(known, ["doc_id", "_salt"], "left")
+    joined = rows.withColumn("_salt", F.pmod("_row", F.lit(_SALTS)).cast("int")).join(known.hint("merge"), ["doc_id", "_salt"], "left")
     return joined.select("_row", "doc_id", "part", "_hash", "fails", F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic"))
 
 
@@ -73,7 +75,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     largest = groups.orderBy(F.desc("_size"), "_hash").limit(_LARGEST)
     often = rows.join(F.broadcast(largest), "_hash")
     seldom = rows.join(F.broadcast(largest.select("_hash")), "_hash", "left_anti")
-    seldom = seldom.join(groups.join(F.broadcast(largest.select("_hash")), "_hash", "left_anti"), "_hash")
+    seldom = seldom.join(groups.join(F.broadcast(largest.select("_hash")), "_hash", "left_anti").hint("merge"), "_hash")
     return often.unionByName(seldom).filter(F.col("doc_id") > F.col("_least")).select(*rows.columns)
 
 
@@ -95,7 +97,7 @@ def survivors(universe: DataFrame, failing: DataFrame) -> DataFrame:
     """
     level = universe.select(F.lit(0).alias("set"), F.lit(-1).alias("_last"), "_row", "part")
     levels = [stored(level, "left")]
-    keys = failing.select("filter", "_row")
+    keys = failing.select("filter", "_row").hint("merge")
     for size in range(1, len(FILTERS) + 1):
         # Each set is made once, from the set without its last filter.
         after = F.sequence(F.col("_last") + 1, F.lit(len(FILTERS) - 1))
@@ -120,15 +122,15 @@ def interactions(rows: DataFrame, tables: dict[str, DataFrame]) -> tuple[DataFra
     sets = F.array(*map(F.lit, range(1 << len(FILTERS))))
     without = F.filter(sets, lambda s: F.getbit(s, F.col("filter")) == 0)
     next_ = failing.select("*", F.explode(without).alias("set"))
-    here = left.select("set", "_row")
+    here = left.select("set", "_row").hint("merge")
     ones = lambda c: F.sum(F.col(c).cast("long"))
     removed = next_.join(here, ["set", "_row"], "left_semi").groupBy("part", "set", "filter").agg(
         F.count("*").alias("removed"), ones("good").alias("good_lost"), ones("toxic").alias("toxic_lost")
     )
     redundant = next_.join(here, ["set", "_row"], "left_anti").groupBy("part", "set", "filter").agg(F.count("*").alias("redundant"))
-    steps = removed.join(redundant, ["part", "set", "filter"], "full").fillna(0, ["removed", "good_lost", "toxic_lost", "redundant"])
+    steps = removed.join(redundant.hint("merge"), ["part", "set", "filter"], "full").fillna(0, ["removed", "good_lost", "toxic_lost", "redundant"])
     # Rows that fail nothing are left by every set.
-    clean = rows.select("_row", "part").join(failing.select("_row"), "_row", "left_anti").select(F.explode(sets).alias("set"), "part")
+    clean = rows.select("_row", "part").join(failing.select("_row").hint("merge"), "_row", "left_anti").select(F.explode(sets).alias("set"), "part")
     pre = [d.groupBy("part", "set").agg(F.count("*").alias("kept")) for d in (left, clean)]
     kept = pre[0].unionByName(pre[1]).groupBy("part", "set").agg(F.sum("kept").alias("kept"))
     return stored(steps, "steps"), stored(kept, "kept")
@@ -154,8 +156,8 @@ def audit(docs: DataFrame, labels: DataFrame, part_col: str = "source", id_col:
             before |= _bit(f)
     plan = F.from_json(F.lit(json.dumps(listed)), "array<struct<filter_order:string,step:int,filter:int,set:int,after:int>>")
     out = rows.select("part").distinct().select("part", F.inline(plan))
-    out = out.join(steps, ["part", "set", "filter"], "left").join(whole, ["part", "filter"], "left")
-    out = out.join(kept.withColumnRenamed("set", "after"), ["part", "after"], "left")
+    out = out.join(steps.hint("merge"), ["part", "set", "filter"], "left").join(whole.hint("merge"), ["part", "filter"], "left")
+    out = out.join(kept.withColumnRenamed("set", "after").hint("merge"), ["part", "after"], "left")
     counts = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
     letter = F.substring(F.lit(FILTERS), F.col("filter") + 1, F.lit(1))
     return out.select("part", "filter_order", "step", letter.alias("filter"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts])

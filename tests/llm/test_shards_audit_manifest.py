@@ -145,6 +145,26 @@ def test_filter_audit_is_brute_force(spark, docs, rows, none):
     assert len(out) == 600 and {(r.kept, r.removed, r.shapley) for r in out} == {(1, 0, 0)}
 
 
+def test_filter_audit_broadcasts_a_fixed_number_of_groups_only(spark, docs, monkeypatch):
+    labels = spark.createDataFrame([(i, i % 2, int(i % 5 == 0)) for i in range(0, 700, 3)], "doc_id long, quality int, toxic int")
+    plans = {}
+
+    def broadcasts(df):
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        return final.count("BroadcastHashJoin")
+
+    def stored(df, label):
+        plans[label] = broadcasts(df)
+        return write(df, label)
+
+    write = filter_audit.stored
+    monkeypatch.setattr(filter_audit, "stored", stored)
+    plans["out"] = broadcasts(filter_audit.audit(docs, labels))
+    assert plans.pop("fails-E") <= 3  # Those of the largest groups.
+    assert {"rows", "texts", "left-1", "left-5", "steps", "kept", "out"} <= set(plans) and not any(plans.values()), plans
+
+
 def H(*parts):
     return hashlib.sha256("".join(parts).encode()).hexdigest()
 
